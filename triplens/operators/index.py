@@ -87,7 +87,7 @@ def _encode(rows: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:
 def tag_tokens(
     text: Column | str, lexicon: dict[str, str], default: str = "NN"
 ) -> Column:
-    """Tagged tokens of a text as an array of (token, tag), tags taken from ``lexicon``.
+    """Lower-cased tokens of a text as an array of (token, tag), tags taken from ``lexicon``.
 
     Words outside the lexicon get ``default``; a punctuation mark is its own tag.
     """
@@ -97,13 +97,12 @@ def tag_tokens(
         words_of.setdefault(tag, []).append(word.lower())
 
     def tagged(token: Column) -> Column:
-        lowered = F.lower(token)
         tag = F.when((F.char_length(token) == 1) & token.rlike(PUNCTUATION), token)
         for name, words in sorted(words_of.items()):
-            tag = tag.when(lowered.isin(sorted(words)), F.lit(name))
+            tag = tag.when(token.isin(sorted(words)), F.lit(name))
         return F.struct(token.alias("token"), tag.otherwise(F.lit(default)).alias("tag"))
 
-    return F.transform(tagging_tokens(text), tagged)
+    return F.transform(tagging_tokens(F.lower(text)), tagged)
 
 
 def noun_phrases(
