@@ -1,9 +1,8 @@
 """Porter stemming (M. F. Porter, "An algorithm for suffix stripping", 1980).
 
-The ``extended`` dialect adds the departures found in the common Python distribution of the
-algorithm: a few irregular words, words of one or two letters left alone, "-ies"/"-ied" of
-four-letter words kept as "-ie", "y" turned into "i" only behind a consonant that is not the
-first letter, and the suffix rules "bli", "alli", "fulli" and "logi".
+With the usual departures from the paper: a few irregular words, words of one or two letters
+left alone, "-ies"/"-ied" of four-letter words kept as "-ie", "y" turned into "i" only behind a
+consonant that is not the first letter, and the suffix rules "bli", "alli", "fulli" and "logi".
 """
 
 from __future__ import annotations
@@ -26,11 +25,10 @@ IRREGULAR = {
 # Suffix rules of steps 2, 3 and 4.
 STEP2 = {
     "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
-    "abli": "able", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize",
+    "bli": "ble", "fulli": "ful", "logi": "log", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize",
     "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful",
     "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
 }
-STEP2_EXTENDED = {**STEP2, "bli": "ble", "fulli": "ful", "logi": "log"}
 STEP3 = {
     "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": "",
 }
@@ -53,10 +51,10 @@ def _measure(stem: str) -> int:
     return _shape(stem).count("vc")
 
 
-def _ends_short(word: str, extended: bool) -> bool:
-    """Consonant, vowel, consonant other than w, x, y at the end."""
+def _ends_short(word: str) -> bool:
+    """Consonant, vowel, consonant other than w, x, y at the end; or just vowel, consonant."""
     shape = _shape(word)
-    if extended and shape == "vc":
+    if shape == "vc":
         return True
     return shape.endswith("cvc") and word[-1] not in "wxy"
 
@@ -70,18 +68,18 @@ def _longest(word: str, suffixes) -> str | None:
     return max(found, key=len) if found else None
 
 
-def _plural(word: str, extended: bool) -> str:
+def _plural(word: str) -> str:
     if word.endswith("sses"):
         return word[:-2]
     if word.endswith("ies"):
-        return word[:-1] if extended and len(word) == 4 else word[:-2]
+        return word[:-1] if len(word) == 4 else word[:-2]
     if word.endswith("s") and not word.endswith("ss"):
         return word[:-1]
     return word
 
 
-def _past(word: str, extended: bool) -> str:
-    if extended and word.endswith("ied"):
+def _past(word: str) -> str:
+    if word.endswith("ied"):
         return word[:-1] if len(word) == 4 else word[:-2]
     if word.endswith("eed"):
         return word[:-1] if _measure(word[:-3]) > 0 else word
@@ -93,29 +91,25 @@ def _past(word: str, extended: bool) -> str:
         return stem + "e"
     if _double_consonant(stem) and stem[-1] not in "lsz":
         return stem[:-1]
-    if _measure(stem) == 1 and _ends_short(stem, extended):
+    if _measure(stem) == 1 and _ends_short(stem):
         return stem + "e"
     return stem
 
 
-def _final_y(word: str, extended: bool) -> str:
+def _final_y(word: str) -> str:
     stem = word[:-1]
-    if not word.endswith("y"):
-        return word
-    if extended:
-        change = len(stem) > 1 and _shape(stem).endswith("c")
-    else:
-        change = "v" in _shape(stem)
-    return stem + "i" if change else word
+    if word.endswith("y") and len(stem) > 1 and _shape(stem).endswith("c"):
+        return stem + "i"
+    return word
 
 
-def _replace(word: str, rules: dict[str, str], extended: bool) -> str:
+def _replace(word: str, rules: dict[str, str]) -> str:
     suffix = _longest(word, rules)
     if suffix is None:
         return word
     stem = word[: -len(suffix)]
-    if extended and suffix == "alli" and _measure(stem) > 0:
-        return _replace(stem + "al", rules, extended)
+    if suffix == "alli" and _measure(stem) > 0:
+        return _replace(stem + "al", rules)
     # "logi" is measured with its l.
     measured = stem + "l" if suffix == "logi" else stem
     return stem + rules[suffix] if _measure(measured) > 0 else word
@@ -131,11 +125,11 @@ def _residual(word: str) -> str:
     return word
 
 
-def _tidy(word: str, extended: bool) -> str:
+def _tidy(word: str) -> str:
     if word.endswith("e"):
         stem = word[:-1]
         size = _measure(stem)
-        if size > 1 or (size == 1 and not _ends_short(stem, extended)):
+        if size > 1 or (size == 1 and not _ends_short(stem)):
             word = stem
     if word.endswith("ll") and _measure(word[:-1]) > 1:
         word = word[:-1]
@@ -143,19 +137,19 @@ def _tidy(word: str, extended: bool) -> str:
 
 
 @lru_cache(maxsize=1 << 17)
-def stem_word(word: str, extended: bool = True) -> str:
+def stem_word(word: str) -> str:
     """Stem of one word."""
     word = word.lower()
-    if extended and word in IRREGULAR:
+    if word in IRREGULAR:
         return IRREGULAR[word]
     if len(word) <= 2:
         return word
-    word = _plural(word, extended)
-    word = _past(word, extended)
-    word = _final_y(word, extended)
-    word = _replace(word, STEP2_EXTENDED if extended else STEP2, extended)
-    word = _replace(word, STEP3, extended)
-    return _tidy(_residual(word), extended)
+    word = _plural(word)
+    word = _past(word)
+    word = _final_y(word)
+    word = _replace(word, STEP2)
+    word = _replace(word, STEP3)
+    return _tidy(_residual(word))
 
 
 def _stem_batch(words: pa.Array) -> pa.Array:

@@ -51,7 +51,8 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "documents")
     documents = table(spark, sf_dir, "documents")
     tables.write_parquet(documents, path, partition_by=["lang"])
-    return spark.read.schema(documents.schema).parquet(path)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    return tables.register_parquet(spark, name, path, documents.schema)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,28 +22,24 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
 
 
+# Text keeps its spaces and quotes, and NULL is told from the empty string.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV with a header; text keeps its spaces, quotes and empty strings."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Write CSV with a header, in as many files as there are tasks."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read what :func:`write_csv` wrote (values without line breaks, so files split)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def write_word_index(words: DataFrame, path: str, id_column: str = "post_id") -> None:
