@@ -17,7 +17,7 @@ from triplens.operators.scoring import (
     score,
 )
 from triplens.plans.pages import answer
-from triplens.plans.posts import match_entities, match_title, rank_posts, word_map_of
+from triplens.plans.posts import match_entities, match_title, rank_index, rank_posts, rank_texts
 
 WORDS = ["a", "b", "c", "d", "x"]
 
@@ -66,12 +66,17 @@ def test_unknown_tokens(spark):
     assert score(index, ["nowhere"]).count() == 0
 
 
-def test_dictionary_tells_the_known_tokens(spark):
-    docs = {1: ["a", "b", "a"], 2: ["b"], 3: ["b", "c", "a"]}
-    words, located = build_word_index(frame(spark, docs))
+@pytest.mark.parametrize("ids", ["dense", "hashed"])
+def test_rank_index_equals_rank_posts(spark, ids):
+    docs = {1: ["a", "b", "a"], 2: ["b"], 3: ["b", "c", "a"], 4: ["a", "c", "c", "b"]}
+    index = frame(spark, docs)
+    words, located = build_word_index(index, ids=ids)
     tokens = ["b", "nowhere", "a"]
-    word_map = word_map_of(words, located, tokens)
-    assert computed(score(word_map, tokens, dictionary=words)) == brute_force(docs, tokens)
+    ranked = rank_index(words, located, tokens).collect()
+    assert len(ranked) == 3 and ranked == rank_posts(index, tokens).collect()
+    assert rank_index(words, located, ["nowhere"]).count() == 0
+    texts = spark.createDataFrame([(doc, " ".join(words)) for doc, words in docs.items()], "post_id int, text string")
+    assert rank_texts(texts, tokens, stops=[]).collect() == ranked
 
 
 def test_product_of_counts_does_not_overflow(spark):

@@ -36,7 +36,8 @@ def bfs(links: DataFrame, seeds: DataFrame, depth: int = 2) -> tuple[DataFrame,
     node hangs below the lowest src of the level that finds it first. Every level combines
     the finds of a node on the map side before the visited ones are taken out, and is stored,
     so neither a popular target nor a long loop piles up work. The sources that hold a large
-    share of all links are counted once; their links are read by many tasks.
+    share of all links are counted once; their links are read by many tasks. ``links`` is
+    read once per level and should be a stored table.
     """
     if depth < 1:
         raise ValueError("depth is at least 1")
@@ -92,15 +93,13 @@ def pagerank(
     share of the edges spread over salts, and each round then moves one row per vertex (and
     salt) plus the map-side sums per target. One scalar per round reaches the driver.
     """
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    total = degrees.select(F.sum("degree").alias("n"))
+    degrees = cut(edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
+    total = degrees.agg(F.sum("degree").alias("n"))
+    # Out-degrees above the share, so fewer than 1 / HOT_SHARE vertices are hot.
+    hot = F.col("degree") > F.lit(HOT_SHARE) * total.scalar()
     state = cut(
-        vertices.select("id").join(degrees.withColumnRenamed("src", "id"), "id", "left").select(
-            "id",
-            "degree",
-            # Out-degrees above the share, so fewer than 1 / HOT_SHARE vertices.
-            (F.col("degree") > F.lit(HOT_SHARE) * total.scalar()).alias("hot"),
-            F.lit(float(reset)).alias("rank"),
+        vertices.select("id").join(degrees.withColumn("hot", hot), "id", "left").select(
+            "id", "degree", "hot", F.lit(float(reset)).alias("rank")
         )
     )
     hot = F.broadcast(state.where("hot").select(F.col("id").alias("src"), F.lit(True).alias("hot")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
-from triplens.operators.ids import dense_ids
+from triplens.operators.ids import dense_ids, hashed_ids
 from triplens.operators.joins import HOT_SHARE, salted_join
 
 
@@ -49,39 +49,46 @@ def question_tokens(
     return df.withColumn("tokens", F.array_distinct(F.array_remove(tokens, "")))
 
 
-def word_counts(tokens: DataFrame) -> DataFrame:
-    """Occurrences per distinct word."""
-    return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def build_word_index(tokens: DataFrame, id_column: str = "post_id") -> tuple[DataFrame, DataFrame]:
+def build_word_index(
+    tokens: DataFrame, id_column: str = "post_id", ids: str = "dense"
+) -> tuple[DataFrame, DataFrame]:
     """``word_list`` (word, word_id) and ``word_location`` (word_id, id, location).
 
-    The counts that make the dictionary also tell which words are frequent, so the encoding
-    join is salted without a further pass over the tokens.
+    ``dense`` ids count up from 0 in word order; the occurrences are joined with the
+    dictionary. ``hashed`` ids need no join and no shuffle of the occurrences, which is the
+    choice for large corpora; should two words share a hash, dense ids are used instead.
     """
-    dictionary = dense_ids(word_counts(tokens), "word", "word_id")
-    encoded = _encode(tokens, dictionary, "word")
-    return dictionary.select("word", "word_id"), encoded.select("word_id", id_column, "location")
+    words, located = _encoded(tokens, "word", "word_id", ids)
+    return words, located.select("word_id", id_column, "location")
 
 
 def build_entity_index(
-    entities: DataFrame, id_column: str = "post_id"
+    entities: DataFrame, id_column: str = "post_id", ids: str = "dense"
 ) -> tuple[DataFrame, DataFrame]:
     """``entity_list`` (entity, entity_id) and ``entity_location`` (id, entity_id).
 
-    An entity named twice in a document keeps both rows.
+    An entity named twice in a document keeps both rows. ``ids`` as in
+    :func:`build_word_index`.
     """
-    counts = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
-    dictionary = dense_ids(counts, "entity", "entity_id")
-    encoded = _encode(entities, dictionary, "entity")
-    return dictionary.select("entity", "entity_id"), encoded.select(id_column, "entity_id")
-
-
-def _encode(rows: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:
-    total = dictionary.select(F.sum("n").alias("n"))
-    hot = dictionary.where(F.col("n") > F.lit(HOT_SHARE) * total.scalar()).select(key)
-    return salted_join(rows, dictionary.drop("n"), [key], hot=hot)
+    names, located = _encoded(entities, "entity", "entity_id", ids)
+    return names, located.select(id_column, "entity_id")
+
+
+def _encoded(rows: DataFrame, key: str, id_column: str, ids: str) -> tuple[DataFrame, DataFrame]:
+    if ids not in ("dense", "hashed"):
+        raise ValueError("ids is 'dense' or 'hashed'")
+    if ids == "hashed":
+        dictionary = hashed_ids(rows.select(key).distinct(), key, id_column)
+        if dictionary is not None:
+            return dictionary, rows.withColumn(id_column, F.xxhash64(key))
+    # The counts that make the dictionary also tell which keys are frequent, so the join is
+    # salted without a further pass over the rows.
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    dictionary = dense_ids(counts, key, id_column)
+    total = dictionary.agg(F.sum("_n").alias("_n"))
+    hot = dictionary.where(F.col("_n") > F.lit(HOT_SHARE) * total.scalar()).select(key)
+    dictionary = dictionary.drop("_n")
+    return dictionary, salted_join(rows, dictionary, [key], hot=hot)
 
 
 def tag_tokens(

@@ -14,10 +14,11 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     """Keys holding more than ``share`` of the rows of ``df``; fewer than ``1 / share`` rows.
 
     The count combines on the map side, so a hot key costs its task one row per input
-    partition. The bound on the result is arithmetic, which makes it safe to broadcast.
+    partition; the total is summed from the same shuffled counts. The bound on the result is
+    arithmetic, which makes it safe to broadcast.
     """
     counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.select(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_n"))
     return counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(*keys)
 
 

@@ -43,14 +43,13 @@ def occurrences(
     tokens: Sequence[str],
     id_column: str = "post_id",
     strict: bool = False,
-    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """Rows (id, step, steps, location) of the documents that hold all query tokens.
 
     ``index`` has (word, id, location). ``step`` is a token's place among the counted tokens
     and ``steps`` their number. With ``strict`` a token missing from the whole index leaves
-    no document; otherwise such tokens do not count. ``dictionary`` (column word) tells which
-    tokens exist without a further look at the index.
+    no document; otherwise such tokens do not count, which takes a look at the index to see
+    which tokens exist.
     """
     tokens = list(dict.fromkeys(tokens))
     wanted = index.where(F.col("word").isin(tokens))
@@ -59,9 +58,8 @@ def occurrences(
         counted = asked
     else:
         # One row: the asked tokens that exist, in the order they were asked.
-        known_words = wanted if dictionary is None else dictionary.where(F.col("word").isin(tokens))
         known = F.collect_set("word")
-        counted = known_words.agg(
+        counted = wanted.agg(
             F.filter(asked, lambda token: F.array_contains(known, token)).alias("known")
         ).scalar()
     wanted = wanted.withColumn("_counted", counted)
@@ -110,14 +108,13 @@ def score(
     tokens: Sequence[str],
     id_column: str = "post_id",
     strict: bool = False,
-    dictionary: DataFrame | None = None,
 ) -> DataFrame:
     """``location_score``, ``dist_score`` and ``tokens_count`` per document with all tokens.
 
     One shuffle, by document, of the query tokens' occurrences only.
     """
     tokens = list(dict.fromkeys(tokens))
-    rows = occurrences(index, tokens, id_column, strict, dictionary)
+    rows = occurrences(index, tokens, id_column, strict)
     rows = _chain_costs(rows, id_column, len(tokens))
     last = F.col("step") == F.col("steps") - 1
     per_token = rows.groupBy(id_column, "step", "steps").agg(

@@ -29,9 +29,10 @@ def crawl(
     but leads nowhere.
     """
     spark = pages.sparkSession
-    links = graph.extract_links(pages, host, prefix).select(
+    # Stored, so that the html is searched for links once and not on every level.
+    links = cut(graph.extract_links(pages, host, prefix).select(
         F.col("from_url").alias("src"), F.col("to_url").alias("dst")
-    )
+    ))
     start = spark.createDataFrame([(seed,) for seed in seeds], "node string")
     visited, forest = graph.bfs(links, start, depth)
     read = visited.where(F.col("level") < depth).select(F.col("node").alias("url"))
@@ -103,7 +104,7 @@ def search_pages(
 ) -> DataFrame:
     """Rank the crawled urls by links, keep the best ``candidates``, rank those by words."""
     vertices, edges = graph.link_graph(urls, links)
-    ranks = graph.pagerank(vertices, edges, reset, tol, max_iter)
+    ranks = graph.pagerank(vertices, cut(edges), reset, tol, max_iter)
     chosen = cut(graph.top_pages(ranks, candidates))
     return rank_pages(page_words(pages, chosen, stops, stem), chosen, tokens, k, weights)
 

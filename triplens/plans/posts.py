@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from triplens.functions.text import ENGLISH_STOP_WORDS, byte_levenshtein
 from triplens.operators import index as word_index
 from triplens.operators.scoring import POST_WEIGHTS, Weights, rank, rescale_scores, score
+from triplens.session import cut
 
 
 def tokens_of(
@@ -84,20 +85,57 @@ def rank_posts(
     weights: Weights = POST_WEIGHTS,
     url_prefix: str = "",
     id_column: str = "post_id",
-    dictionary: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Posts by weighted word scores, with their url. ``word_map`` has (word, id, location)."""
-    scores = rescale_scores(score(word_map, tokens, id_column, dictionary=dictionary))
+    scores = rescale_scores(score(word_map, tokens, id_column, strict))
     return rank(scores, id_column, weights, k).withColumn(
         "url", F.concat(F.lit(url_prefix), F.col(id_column).cast("string"))
     )
 
 
-def word_map_of(word_list: DataFrame, word_location: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """The stored index restricted to the query's words, as (word, id, location).
+def rank_index(
+    word_list: DataFrame,
+    word_location: DataFrame,
+    tokens: Sequence[str],
+    k: int | None = 5,
+    weights: Weights = POST_WEIGHTS,
+    url_prefix: str = "",
+    id_column: str = "post_id",
+) -> DataFrame:
+    """:func:`rank_posts` over the stored index.
+
+    The ids of the query's words, at most one per token, come to the driver first. The scan
+    of the occurrences then filters on constants, which Parquet uses to skip what it need not
+    read, and tokens the dictionary lacks are known to be ignored.
+    """
+    asked = word_list.where(F.col("word").isin(list(tokens))).select("word_id", "word")
+    word_of = {row["word_id"]: row["word"] for row in asked.collect()}
+    located = word_location.where(F.col("word_id").isin(list(word_of)))
+    word = F.lit(None).cast("string")
+    for word_id, name in word_of.items():
+        word = F.when(F.col("word_id") == word_id, F.lit(name)).otherwise(word)
+    known = [token for token in tokens if token in word_of.values()]
+    word_map = located.select(word.alias("word"), id_column, "location")
+    return rank_posts(word_map, known, k, weights, url_prefix, id_column, strict=True)
+
+
+def rank_texts(
+    posts: DataFrame,
+    tokens: Sequence[str],
+    k: int | None = 5,
+    weights: Weights = POST_WEIGHTS,
+    url_prefix: str = "",
+    id_column: str = "post_id",
+    text: str = "text",
+    stops: Iterable[str] = ENGLISH_STOP_WORDS,
+    stem: bool = True,
+) -> DataFrame:
+    """:func:`rank_posts` straight from texts, without a stored index.
 
-    The dictionary side holds at most one row per query token, so it is broadcast and the
-    occurrences are filtered where they are read.
+    The texts are read once: the query words' occurrences, a small part of all, are stored and
+    then serve the look-up of known tokens, the scores and their extremes.
     """
-    wanted = word_list.where(F.col("word").isin(list(tokens)))
-    return word_location.join(F.broadcast(wanted), "word_id").drop("word_id")
+    words = word_index.tokenize(posts, id_column, text, stops, stem=stem)
+    asked = cut(words.where(F.col("word").isin(list(tokens))))
+    return rank_posts(asked, tokens, k, weights, url_prefix, id_column)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triplens.functions.text import ENGLISH_STOP_WORDS
 from triplens.session import shared_dir
+from triplens.sources.tables import read_parquet
 
 # Unicode whitespace as Python and (with the four ASCII separators) the tokeniser see it.
 SQL_SPACE = (
@@ -17,8 +18,12 @@ SQL_SPACE = (
 )
 
 
+# Tables of long texts.
+TEXTS = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread=name in TEXTS)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

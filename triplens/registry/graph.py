@@ -11,6 +11,7 @@ from triplens.plans import pages as page_plans
 from triplens.plans import posts
 from triplens.registry.common import naive_scores_cte, ranking_sql, rescaled_cte, table, tokens_cte
 from triplens.registry import text as text_queries
+from triplens.session import cut
 
 HOST = "https://wiki.example"
 PREFIX = "/"
@@ -71,11 +72,11 @@ def _seeds(spark: SparkSession) -> DataFrame:
 
 
 def bfs_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.bfs(_page_edges(spark, sf_dir), _seeds(spark), DEPTH)[1]
+    return graph.bfs(cut(_page_edges(spark, sf_dir)), _seeds(spark), DEPTH)[1]
 
 
 def bfs_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.bfs(_page_edges(spark, sf_dir), _seeds(spark), DEPTH)[0]
+    return graph.bfs(cut(_page_edges(spark, sf_dir)), _seeds(spark), DEPTH)[0]
 
 
 def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +105,7 @@ def _found_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     pages = table(spark, sf_dir, "pages").withColumn(
         "url", F.concat_ws("#", "url", F.col("page_id").cast("string"))
     )
-    visited, forest = graph.bfs(_page_edges(spark, sf_dir), _seeds(spark), DEPTH)
+    visited, forest = graph.bfs(cut(_page_edges(spark, sf_dir)), _seeds(spark), DEPTH)
     url_of = pages.select(F.col("page_id").alias("node"), "url")
     urls = visited.join(url_of, "node").select("url")
     links = (
@@ -124,9 +125,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from_posts = posts.rank_posts(
-        text_queries._tokens(spark, sf_dir), text_queries.TOKENS, 5,
-        url_prefix=text_queries.URL_PREFIX, id_column="doc_id",
+    from_posts = posts.rank_texts(
+        table(spark, sf_dir, "documents"), text_queries.TOKENS, 5,
+        url_prefix=text_queries.URL_PREFIX, id_column="doc_id", stem=False,
     )
     pages, urls, links = _found_pages(spark, sf_dir)
     from_pages = page_plans.search_pages(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from triplens.functions.stem import stem
 from triplens.operators import index as word_index
+from triplens.operators.joins import salted_join
 from triplens.operators.scoring import SCORES, leaderboard, occurrences, rescale_scores, score
 from triplens.plans import posts
 from triplens.registry.common import (
@@ -18,7 +19,6 @@ from triplens.registry.common import (
     table,
     tokens_cte,
 )
-from triplens.functions.text import ENGLISH_STOP_WORDS
 
 TOKENS = ["tion", "er", "st"]
 # The second token occurs nowhere.
@@ -59,6 +59,12 @@ def word_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")[1]
 
 
+def word_index_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence found again through the hashed ids."""
+    words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id", ids="hashed")
+    return salted_join(located, words, ["word_id"]).select("word", "doc_id", "location")
+
+
 def question_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = word_index.question_tokens(table(spark, sf_dir, "benchmark"), "text", stem=False)
     return asked.select("item_id", F.array_join("tokens", " ").alias("tokens"))
@@ -113,16 +119,16 @@ def _leaderboard(by: str):
 
 
 def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = posts.rank_posts(_tokens(spark, sf_dir), TOKENS, 10, url_prefix=URL_PREFIX, id_column="doc_id")
+    docs = table(spark, sf_dir, "documents")
+    ranked = posts.rank_texts(docs, TOKENS, 10, url_prefix=URL_PREFIX, id_column="doc_id", stem=False)
     return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
 
 
 def rank_documents_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same ranking through the dictionary and the encoded occurrences."""
     words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")
-    word_map = posts.word_map_of(words, located, TOKENS_ONE_UNKNOWN)
-    ranked = posts.rank_posts(
-        word_map, TOKENS_ONE_UNKNOWN, 10, url_prefix=URL_PREFIX, id_column="doc_id", dictionary=words
+    ranked = posts.rank_index(
+        words, located, TOKENS_ONE_UNKNOWN, 10, url_prefix=URL_PREFIX, id_column="doc_id"
     )
     return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
 
@@ -175,6 +181,7 @@ QUERIES = {
     "page_token_positions": page_token_positions,
     "word_dictionary": word_dictionary,
     "word_location": word_location,
+    "word_index_hashed": word_index_hashed,
     "question_tokens": question_tokens,
     "stemmed_vocabulary": stemmed_vocabulary,
     "contains_all_terms": contains_all_terms,
@@ -264,6 +271,7 @@ SELECT page_id, word, location FROM tok""",
     "word_dictionary": f"WITH {DOC_TOKENS}, {_WORD_LIST} SELECT word, word_id FROM word_list",
     "word_location": f"""WITH {DOC_TOKENS}, {_WORD_LIST}
 SELECT word_id, doc_id, location FROM tok JOIN word_list USING (word)""",
+    "word_index_hashed": f"WITH {DOC_TOKENS} SELECT word, doc_id, location FROM tok",
     "question_tokens": f"""WITH {tokens_cte('benchmark', 'item_id', 'text', 'item_id')},
 firsts AS (SELECT item_id, word, min(location) AS location FROM tok GROUP BY item_id, word)
 SELECT item_id, coalesce(string_agg(word, ' ' ORDER BY location), '') AS tokens

@@ -17,6 +17,18 @@ def register_parquet(
     return spark.table(name)
 
 
+def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """Scan Parquet files.
+
+    ``spread`` is for work that is heavy per row, such as cutting up texts: a scan that splits
+    into fewer tasks than there are cores is dealt out evenly first. Large inputs have more
+    splits than that and are left alone.
+    """
+    scan = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if spread and scan.rdd.getNumPartitions() < cores else scan
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Write Parquet in as many files as there are tasks."""
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
@@ -42,14 +54,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def write_word_index(words: DataFrame, path: str, id_column: str = "post_id") -> None:
-    """Store (word, id, location) so that a query reads little of it.
+def write_word_index(
+    words: DataFrame, path: str, id_column: str = "post_id", word_column: str = "word"
+) -> None:
+    """Store (word or word_id, id, location) so that a query reads little of it.
 
     Ranges of (word, id) split a frequent word over many files, while the row-group
     statistics still let ``word IN (...)`` skip all other files.
     """
-    ordered = words.repartitionByRange("word", id_column).sortWithinPartitions(
-        "word", id_column, "location"
+    ordered = words.repartitionByRange(word_column, id_column).sortWithinPartitions(
+        word_column, id_column, "location"
     )
     ordered.write.mode("overwrite").parquet(path)
 
