@@ -60,8 +60,9 @@ def main() -> None:
     spark = build_session("triplens-bench", f"local[{cpus}]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     queries = {**QUERIES, "naive_self_join": naive_self_join}
-    # One run to start the executor threads and load the classes.
-    timed(QUERIES["daily_counts"], spark, sf_dir)
+    # Runs that are not counted: start the threads, load and compile the classes.
+    for name in ("rank_documents", "naive_self_join", "daily_counts"):
+        timed(queries[name], spark, sf_dir)
     seconds = {name: round(timed(queries[name], spark, sf_dir), 3) for name in names}
     total = round(sum(value for name, value in seconds.items() if name != "naive_self_join"), 3)
     print(json.dumps({

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplens.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
+from triplens.session import cut
 
 # Cells of one level are split into SPLIT x SPLIT cells on the next.
 SPLIT = 8
@@ -58,11 +59,13 @@ def _cover(points: DataFrame, radius_km: float, size: float) -> DataFrame:
 
 
 def _summed_up(places: DataFrame, by: list[str]) -> DataFrame:
-    """One row per group of ``by``: a place of it and the reach. ``places`` has (lat, lng)."""
+    """One row per group of ``by``: a place of it (any will do) and the reach."""
     tall = F.max("lat") - F.min("lat")
     wide = F.max("lng") - F.min("lng")
     return places.groupBy(*by).agg(
-        F.min(F.struct("lat", "lng")).alias("_rep"),
+        # Both come from the same row.
+        F.first("lat").alias("_rep_lat"),
+        F.first("lng").alias("_rep_lng"),
         ((tall + wide) * KM_PER_DEGREE * MARGIN).alias("_reach"),
     )
 
@@ -81,7 +84,8 @@ def nearest(
 ) -> DataFrame:
     """``value`` of the nearest place within ``radius_km``; points with none keep NULL.
 
-    ``points`` has ``point_key`` (unique) and (lat, lng); ``places`` has (lat, lng, value).
+    ``points`` has ``point_key`` (unique) and (lat, lng) and should be a stored table;
+    ``places`` has (lat, lng, value).
     Equal distances: the smallest value wins. Candidate cells get smaller level by level
     and keep only those that can still hold the nearest place, so a point next to a crowded
     cell is compared with cell summaries and with the places of a few smallest cells, not
@@ -98,6 +102,8 @@ def nearest(
             column, _cell(F.col("lng") + 180.0, step)
         )
         keys.append([row, column])
+    # Every level reads the places again.
+    cells = cut(cells)
 
     by_point = Window.partitionBy(*point_key)
     found = _cover(_on_map(points), radius_km, size).withColumnsRenamed({"_row": "_row0", "_col": "_col0"})
@@ -105,7 +111,7 @@ def nearest(
         summary = _summed_up(cells, [*(keys[level - 1] if level else []), *keys[level]])
         found = (
             found.join(summary, keys[level - 1] if level else keys[0])
-            .withColumn("_d", _distance("_rep.lat", "_rep.lng"))
+            .withColumn("_d", _distance("_rep_lat", "_rep_lng"))
             .withColumn("_best", F.least(F.min("_d").over(by_point) * MARGIN, F.lit(radius_km * MARGIN)))
             .where(F.col("_d") - F.col("_reach") <= F.col("_best"))
             .select(*points.columns, *keys[level])
@@ -140,7 +146,7 @@ def nearby_names(
     met = (
         _cover(_on_map(points).select(*point_key, "lat", "lng"), radius_km, size)
         .join(groups, ["_row", "_col"])
-        .withColumn("_d", _distance("_rep.lat", "_rep.lng"))
+        .withColumn("_d", _distance("_rep_lat", "_rep_lng"))
         .where(F.col("_d") - F.col("_reach") <= radius_km)
     )
     inside = met.where(F.col("_d") <= radius_km)

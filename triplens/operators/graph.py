@@ -41,7 +41,7 @@ def bfs(links: DataFrame, seeds: DataFrame, depth: int = 2) -> tuple[DataFrame,
     """
     if depth < 1:
         raise ValueError("depth is at least 1")
-    hot = cut(hot_keys(links, ["src"]))
+    hot = hot_keys(links, ["src"])
     visited = seeds.select("node").distinct().withColumn("level", F.lit(0))
     frontier = visited
     levels = []
@@ -68,13 +68,16 @@ def bfs(links: DataFrame, seeds: DataFrame, depth: int = 2) -> tuple[DataFrame,
 def link_graph(urls: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``vertices`` (id, url) and ``edges`` (src, dst, relationship) of links between ``urls``.
 
-    ``links`` has (from_url, to_url); links from or to an unknown url are dropped.
+    ``links`` has (from_url, to_url) and is read once for the frequent urls of either end and
+    once for the joins; links from or to an unknown url are dropped.
     """
     vertices = dense_ids(urls.select("url").distinct(), "url", "id")
     sources = vertices.select(F.col("url").alias("from_url"), F.col("id").alias("src"))
     targets = vertices.select(F.col("url").alias("to_url"), F.col("id").alias("dst"))
-    encoded = salted_join(links.select("from_url", "to_url"), sources, ["from_url"])
-    encoded = salted_join(encoded.select("src", "to_url"), targets, ["to_url"])
+    encoded = links.select("from_url", "to_url")
+    frequent = {end: hot_keys(encoded, [end]) for end in encoded.columns}
+    for end, ids in (("from_url", sources), ("to_url", targets)):
+        encoded = salted_join(encoded, ids, [end], frequent[end])
     return vertices, encoded.select("src", "dst", F.lit("contains").alias("relationship"))
 
 

@@ -11,6 +11,7 @@ from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
 from triplens.operators.ids import dense_ids, hashed_ids
 from triplens.operators.joins import HOT_SHARE, salted_join
+from triplens.session import cut
 
 
 def tokenize(
@@ -86,7 +87,7 @@ def _encoded(rows: DataFrame, key: str, id_column: str, ids: str) -> tuple[DataF
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     dictionary = dense_ids(counts, key, id_column)
     total = dictionary.agg(F.sum("_n").alias("_n"))
-    hot = dictionary.where(F.col("_n") > F.lit(HOT_SHARE) * total.scalar()).select(key)
+    hot = cut(dictionary.where(F.col("_n") > F.lit(HOT_SHARE) * total.scalar()).select(key))
     dictionary = dictionary.drop("_n")
     return dictionary, salted_join(rows, dictionary, [key], hot=hot)
 

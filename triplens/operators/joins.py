@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triplens.session import cut
+
 # A key is hot when it holds more than this share of the rows, so at most 200 keys are hot.
 HOT_SHARE = 0.005
 SALTS = 32
@@ -15,11 +17,12 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
 
     The count combines on the map side, so a hot key costs its task one row per input
     partition; the total is summed from the same shuffled counts. The bound on the result is
-    arithmetic, which makes it safe to broadcast.
+    arithmetic, which makes it safe to broadcast. The few keys found are stored, so using them
+    on both sides of a join does not count again.
     """
     counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_n"))
-    return counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(*keys)
+    return cut(counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(*keys))
 
 
 def salted_join(

@@ -120,6 +120,23 @@ def rank_index(
     return rank_posts(word_map, known, k, weights, url_prefix, id_column, strict=True)
 
 
+def words_asked(
+    posts: DataFrame,
+    tokens: Sequence[str],
+    id_column: str = "post_id",
+    text: str = "text",
+    stops: Iterable[str] = ENGLISH_STOP_WORDS,
+    stem: bool = True,
+) -> DataFrame:
+    """Occurrences (id, word, location) of the query's words in texts without a stored index.
+
+    The texts are read once: the occurrences, a small part of all, are stored and then serve
+    the look-up of known tokens, the scores and their extremes.
+    """
+    words = word_index.tokenize(posts, id_column, text, stops, stem=stem)
+    return cut(words.where(F.col("word").isin(list(tokens))))
+
+
 def rank_texts(
     posts: DataFrame,
     tokens: Sequence[str],
@@ -131,11 +148,6 @@ def rank_texts(
     stops: Iterable[str] = ENGLISH_STOP_WORDS,
     stem: bool = True,
 ) -> DataFrame:
-    """:func:`rank_posts` straight from texts, without a stored index.
-
-    The texts are read once: the query words' occurrences, a small part of all, are stored and
-    then serve the look-up of known tokens, the scores and their extremes.
-    """
-    words = word_index.tokenize(posts, id_column, text, stops, stem=stem)
-    asked = cut(words.where(F.col("word").isin(list(tokens))))
+    """:func:`rank_posts` straight from texts."""
+    asked = words_asked(posts, tokens, id_column, text, stops, stem)
     return rank_posts(asked, tokens, k, weights, url_prefix, id_column)

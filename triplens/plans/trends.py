@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from triplens.functions.stem import stem as stem_word
 from triplens.functions.text import strip_retweet_header, tweet_body, tweet_links
 from triplens.operators.geojoin import nearby_names, nearest
+from triplens.session import cut
 
 
 def country_trend_pairs(trends: DataFrame, world: str, countries: Sequence[str]) -> DataFrame:
@@ -135,14 +136,13 @@ def _with_position(spots: DataFrame) -> DataFrame:
 def hot_spots_level1(photos: DataFrame, gazetteer: DataFrame, radius_km: float) -> DataFrame:
     """Photos per exact coordinate with the label of the nearest gazetteer entry.
 
-    Photos are counted before anything is looked up, so the geographic join sees each
+    Photos are counted, once, before anything is looked up, so the geographic join sees each
     coordinate once. Coordinates with nothing around get an empty label.
     """
-    spots = _with_position(
-        photos.groupBy("latitude", "longitude").agg(
-            F.count("id").alias("count"), F.min("post_date").alias("post_date")
-        )
+    counted = photos.groupBy("latitude", "longitude").agg(
+        F.count("id").alias("count"), F.min("post_date").alias("post_date")
     )
+    spots = cut(_with_position(counted))
     labels = gazetteer.select(
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("lng"),
@@ -172,6 +172,7 @@ def hot_spots_level2(spots: DataFrame, places: DataFrame, radius_km: float) -> D
     The string holds every distinct name within the radius; take the rows of
     :func:`nearby_places` where that is too many for one cell.
     """
+    spots = cut(spots)
     names = (
         nearby_places(spots, places, radius_km)
         .groupBy("latitude", "longitude")

@@ -18,12 +18,8 @@ SQL_SPACE = (
 )
 
 
-# Tables of long texts.
-TEXTS = ("documents", "pages")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread=name in TEXTS)
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

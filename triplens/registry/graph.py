@@ -30,7 +30,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", spread=True)
     return pages.select("page_id", visible_text(F.col("html")).alias("text"))
 
 
@@ -80,7 +80,7 @@ def bfs_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = graph.extract_links(table(spark, sf_dir, "pages"), HOST, PREFIX)
+    links = cut(graph.extract_links(table(spark, sf_dir, "pages"), HOST, PREFIX))
     urls = links.select(F.col("from_url").alias("url")).union(links.select("to_url"))
     return graph.link_graph(urls, links)[1]
 
@@ -126,7 +126,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from_posts = posts.rank_texts(
-        table(spark, sf_dir, "documents"), text_queries.TOKENS, 5,
+        table(spark, sf_dir, "documents", spread=True), text_queries.TOKENS, 5,
         url_prefix=text_queries.URL_PREFIX, id_column="doc_id", stem=False,
     )
     pages, urls, links = _found_pages(spark, sf_dir)

@@ -65,7 +65,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranking over a stored index: only the query's words are read."""
     path = fresh_path(spark, "index")
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", spread=True)
     words = word_index.tokenize(documents, "doc_id", "text", stem=False)
     tables.write_word_index(words, path, "doc_id")
     ranked = posts.rank_posts(

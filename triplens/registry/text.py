@@ -37,17 +37,22 @@ DOC_TOKENS = tokens_cte("documents", "doc_id", "text", "doc_id")
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return word_index.tokenize(docs, "doc_id", "text", stem=False)
 
 
+def _asked(spark: SparkSession, sf_dir: str, tokens: list[str]) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", spread=True)
+    return posts.words_asked(docs, tokens, "doc_id", stem=False)
+
+
 def tokenize_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens(spark, sf_dir)
 
 
 def page_token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_index.tokenize(
-        table(spark, sf_dir, "pages"), "page_id", "html", max_len=20, stem=False
+        table(spark, sf_dir, "pages", spread=True), "page_id", "html", max_len=20, stem=False
     )
 
 
@@ -76,7 +81,7 @@ def stemmed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contains_all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = occurrences(_tokens(spark, sf_dir), TOKENS_ONE_UNKNOWN, "doc_id")
+    rows = occurrences(_asked(spark, sf_dir, TOKENS_ONE_UNKNOWN), TOKENS_ONE_UNKNOWN, "doc_id")
     return rows.select("doc_id", "step", "location")
 
 
@@ -86,7 +91,7 @@ def contains_all_terms_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(_tokens(spark, sf_dir), TOKENS, "doc_id")
+    return score(_asked(spark, sf_dir, TOKENS), TOKENS, "doc_id")
 
 
 def score_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +107,7 @@ def score_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_single_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(_tokens(spark, sf_dir), TOKENS[:1], "doc_id")
+    return score(_asked(spark, sf_dir, TOKENS[:1]), TOKENS[:1], "doc_id")
 
 
 def score_rescaled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +124,7 @@ def _leaderboard(by: str):
 
 
 def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     ranked = posts.rank_texts(docs, TOKENS, 10, url_prefix=URL_PREFIX, id_column="doc_id", stem=False)
     return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
 
@@ -142,7 +147,7 @@ def match_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return word_index.noun_phrases(docs, "doc_id", word_index.tag_tokens("text", LEXICON))
 
 
@@ -151,7 +156,7 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def noun_phrases_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     tagged = word_index.tag_tokens("text", LEXICON)
     return word_index.noun_phrases(docs, "doc_id", tagged, legacy_drop_last=True)
 
