@@ -1,9 +1,10 @@
 """Joins of coordinates with the places around them.
 
-Places are gathered into square cells of latitude and longitude. A cell is summed up by one
-of its places and a reach: no place of the cell is farther from that place than the reach.
-By the triangle inequality a cell is then at least ``distance - reach`` and its nearest place
-at most ``distance`` away, so whole cells are ruled out without reading their places.
+Places are gathered into cells: rows of equal latitude, each cut into columns about as wide
+as the row is high, so fewer columns towards the poles. A cell is summed up by one of its
+places and a reach: no place of the cell is farther from that place than the reach. By the
+triangle inequality a cell is then at least ``distance - reach`` and its nearest place at most
+``distance`` away, so whole cells are ruled out without reading their places.
 """
 
 from __future__ import annotations
@@ -20,10 +21,8 @@ from triplens.session import cut
 SPLIT = 8
 # Absorbs rounding where cells and reaches are compared with distances.
 MARGIN = 1.0001
-
-
-def _cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size)).cast("long")
+# Places, counted, are broadcast up to this many rows (tens of megabytes).
+BROADCAST_ROWS = 200_000
 
 
 def _on_map(rows: DataFrame) -> DataFrame:
@@ -32,44 +31,69 @@ def _on_map(rows: DataFrame) -> DataFrame:
     return rows.withColumn("lng", F.when(lng >= 180.0, lng - 360.0).otherwise(lng))
 
 
+def _row(lat: Column, size: float) -> Column:
+    return F.floor(lat / F.lit(size)).cast("long")
+
+
+def _columns(row: Column, size: float) -> Column:
+    """Number of columns of a row, from the length of its edge nearer to the equator."""
+    edge = F.when(row >= 0, row).otherwise(-row - 1) * F.lit(size)
+    around = F.lit(360.0) * F.cos(F.radians(F.least(edge, F.lit(90.0))))
+    return F.greatest(F.floor(around / F.lit(size)), F.lit(1)).cast("long")
+
+
+def _column(lng: Column, columns: Column) -> Column:
+    return F.floor((lng + 180.0) / 360.0 * columns).cast("long")
+
+
 def _cover(points: DataFrame, radius_km: float, size: float) -> DataFrame:
     """Repeat every point (lat, lng) for each cell (_row, _col) within the radius.
 
-    Longitude cells widen towards the poles, where the circle spans more of them, and wrap
-    around at 180 degrees. The number of cells depends on the radius and latitude only.
+    The number of cells depends on the radius only: the columns widen towards the poles just
+    as the circle does.
     """
     reach = radius_km * MARGIN / KM_PER_DEGREE
-    columns = math.ceil(360.0 / size)
     angle = min(radius_km * MARGIN / EARTH_RADIUS_KM, math.pi / 2)
     # Half-width in longitude of a circle around this latitude; all around when it holds a pole.
     ratio = F.lit(math.sin(angle)) / F.cos(F.radians("lat"))
     around = (F.abs("lat") + reach >= 90.0) | (ratio >= 1.0)
     width = F.when(around, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))))
-    west, east = F.col("lng") - width, F.col("lng") + width
-    first, last = _cell(west + 180.0, size), _cell(east + 180.0, size)
-    rows = F.sequence(_cell(F.col("lat") - reach, size), _cell(F.col("lat") + reach, size))
-    # The last column is cut short by the date line, so one more is taken when wrapping.
-    wraps = (west < -180.0) | (east > 180.0)
-    last = F.least(F.when(wraps, last + 1).otherwise(last), first + columns - 1)
-    first = F.when(wraps, F.greatest(first - 1, last - columns + 1)).otherwise(first)
-    wrapped = F.array_distinct(
-        F.transform(F.sequence(first, last), lambda column: F.pmod(column, F.lit(columns)))
+    rows = F.sequence(_row(F.col("lat") - reach, size), _row(F.col("lat") + reach, size))
+    columns = F.col("_columns")
+    first = _column(F.col("lng") - width, columns)
+    last = F.least(_column(F.col("lng") + width, columns), first + columns - 1)
+    wrapped = F.transform(F.sequence(first, last), lambda column: F.pmod(column, columns))
+    return (
+        points.withColumn("_row", F.explode(rows))
+        .withColumn("_columns", _columns(F.col("_row"), size))
+        .withColumn("_col", F.explode(wrapped))
+        .drop("_columns")
     )
-    return points.withColumn("_row", F.explode(rows)).withColumn("_col", F.explode(wrapped))
 
 
 def _summed_up(places: DataFrame, by: list[str]) -> DataFrame:
     """One row per group of ``by``: a place of it (any will do) and the reach."""
+    # A straight line on the map between two places of the group is no longer than this, and
+    # the way over the globe is no longer than the line.
     tall = F.max("lat") - F.min("lat")
-    wide = F.max("lng") - F.min("lng")
+    wide = (F.max("lng") - F.min("lng")) * F.max(F.cos(F.radians("lat")))
     return places.groupBy(*by).agg(
         # Both come from the same row.
         F.first("lat").alias("_rep_lat"),
         F.first("lng").alias("_rep_lng"),
-        ((tall + wide) * KM_PER_DEGREE * MARGIN).alias("_reach"),
+        (F.hypot(tall, wide) * KM_PER_DEGREE * MARGIN).alias("_reach"),
     )
 
 
+def _beside(places: DataFrame, rows: int) -> DataFrame:
+    """Places as the side of a join: broadcast when counted to be few, sort-merged otherwise.
+
+    Spark's own estimate does not know how many rows the cover of the other side makes, so it
+    is not left to choose a broadcast here. Sort-merge joins split skewed cells at run time.
+    """
+    return F.broadcast(places) if rows <= BROADCAST_ROWS else places.hint("merge")
+
+
 def _distance(lat: str, lng: str) -> Column:
     return haversine_km(F.col("lat"), F.col("lng"), F.col(lat), F.col(lng))
 
@@ -85,42 +109,47 @@ def nearest(
     """``value`` of the nearest place within ``radius_km``; points with none keep NULL.
 
     ``points`` has ``point_key`` (unique) and (lat, lng) and should be a stored table;
-    ``places`` has (lat, lng, value).
-    Equal distances: the smallest value wins. Candidate cells get smaller level by level
-    and keep only those that can still hold the nearest place, so a point next to a crowded
-    cell is compared with cell summaries and with the places of a few smallest cells, not
-    with the crowd. Copies of a place collapse before the join.
+    ``places`` has (lat, lng, value). Equal distances: the smallest value wins. Candidate
+    cells get smaller level by level and keep only those that can still hold the nearest
+    place, so a point next to a crowded cell is compared with cell summaries and with the
+    places of a few smallest cells, not with the crowd. Copies of a place collapse before the
+    join.
     """
     size = radius_km / KM_PER_DEGREE
-    unique = _on_map(places).groupBy("lat", "lng").agg(F.min(value).alias("_value"))
-    cells = unique
+    cells = _on_map(places).groupBy("lat", "lng").agg(F.min(value).alias("_value"))
+    cells = cells.withColumn("_columns", _columns(_row(F.col("lat"), size), size))
     keys = []
     for level in range(levels):
-        row, column = f"_row{level}", f"_col{level}"
-        step = size / SPLIT**level
-        cells = cells.withColumn(row, _cell(F.col("lat"), step)).withColumn(
-            column, _cell(F.col("lng") + 180.0, step)
-        )
-        keys.append([row, column])
+        keys.append([f"_row{level}", f"_col{level}"])
+        cells = cells.withColumns({
+            keys[level][0]: _row(F.col("lat"), size / SPLIT**level),
+            keys[level][1]: _column(F.col("lng"), F.col("_columns") * SPLIT**level),
+        })
     # Every level reads the places again.
-    cells = cut(cells)
+    cells = cut(cells.drop("_columns"))
+    count = cells.count()
 
     by_point = Window.partitionBy(*point_key)
     found = _cover(_on_map(points), radius_km, size).withColumnsRenamed({"_row": "_row0", "_col": "_col0"})
+    found = found.withColumn("_best", F.lit(radius_km * MARGIN))
+    possible = F.col("_d") - F.col("_reach") <= F.col("_best")
     for level in range(levels):
-        summary = _summed_up(cells, [*(keys[level - 1] if level else []), *keys[level]])
+        parent = keys[level - 1] if level else keys[0]
+        by = [*parent, *keys[level]] if level else keys[0]
         found = (
-            found.join(summary, keys[level - 1] if level else keys[0])
+            found.join(_beside(_summed_up(cells, by), count), parent)
             .withColumn("_d", _distance("_rep_lat", "_rep_lng"))
-            .withColumn("_best", F.least(F.min("_d").over(by_point) * MARGIN, F.lit(radius_km * MARGIN)))
-            .where(F.col("_d") - F.col("_reach") <= F.col("_best"))
-            .select(*points.columns, *keys[level])
+            # What the level above already ruled out does not reach the shuffle by point.
+            .where(possible)
+            .withColumn("_best", F.least("_best", F.min("_d").over(by_point) * MARGIN))
+            .where(possible)
+            .select(*points.columns, *keys[level], "_best")
         )
     leaf = cells.select(
         *keys[-1], F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), "_value"
     )
     matched = (
-        found.join(leaf, keys[-1])
+        found.join(_beside(leaf, count), keys[-1])
         .withColumn("_d", _distance("_lat", "_lng"))
         .where(F.col("_d") <= radius_km)
         .groupBy(*point_key)
@@ -139,13 +168,16 @@ def nearby_names(
     at place by place.
     """
     size = radius_km / KM_PER_DEGREE / 4
-    cells = _on_map(places).select("lat", "lng", F.col(name).alias("_name")).withColumns({
-        "_row": _cell(F.col("lat"), size), "_col": _cell(F.col("lng") + 180.0, size),
-    })
-    groups = _summed_up(cells, ["_row", "_col", "_name"])
+    row = _row(F.col("lat"), size)
+    cells = cut(
+        _on_map(places).select("lat", "lng", F.col(name).alias("_name")).distinct().withColumns({
+            "_row": row, "_col": _column(F.col("lng"), _columns(row, size)),
+        })
+    )
+    count = cells.count()
     met = (
         _cover(_on_map(points).select(*point_key, "lat", "lng"), radius_km, size)
-        .join(groups, ["_row", "_col"])
+        .join(_beside(_summed_up(cells, ["_row", "_col", "_name"]), count), ["_row", "_col"])
         .withColumn("_d", _distance("_rep_lat", "_rep_lng"))
         .where(F.col("_d") - F.col("_reach") <= radius_km)
     )
@@ -153,8 +185,8 @@ def nearby_names(
     unsettled = met.where(F.col("_d") > radius_km)
     single = cells.select(
         "_row", "_col", "_name", F.col("lat").alias("_lat"), F.col("lng").alias("_lng")
-    ).distinct()
-    at_edge = unsettled.join(single, ["_row", "_col", "_name"]).where(
+    )
+    at_edge = unsettled.join(_beside(single, count), ["_row", "_col", "_name"]).where(
         _distance("_lat", "_lng") <= radius_km
     )
     wanted = [*point_key, F.col("_name").alias(name)]
