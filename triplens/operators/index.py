@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplens.functions.stem import stem_tokens
@@ -150,11 +150,20 @@ def noun_phrases(
 def noun_phrases_of_rows(
     tokens: DataFrame, id_column: str, order: str, legacy_drop_last: bool = False
 ) -> DataFrame:
-    """As :func:`noun_phrases`, for a table with one tagged token (id, order, token, tag) a row."""
-    tagged = tokens.groupBy(id_column).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(order, "token", "tag"))),
-            lambda item: F.struct(item["token"].alias("token"), item["tag"].alias("tag")),
-        ).alias("tagged")
+    """As :func:`noun_phrases`, for a table with one tagged token (id, order, token, tag) a row.
+
+    Tokens are numbered by run of equal tags with one window per document, which spills rather
+    than gathering a document in memory; only the words of one phrase are put together.
+    """
+    in_order = Window.partitionBy(id_column).orderBy(order)
+    same = F.coalesce(F.lag("tag").over(in_order) == F.col("tag"), F.lit(False))
+    runs = (
+        tokens.withColumn("_new", F.when(same, 0).otherwise(1))
+        .withColumn("_run", F.sum("_new").over(in_order))
+        .where(F.col("tag").startswith("NN"))
     )
-    return noun_phrases(tagged, id_column, "tagged", legacy_drop_last)
+    if legacy_drop_last:
+        runs = runs.withColumn("_last", F.max("_run").over(Window.partitionBy(id_column)))
+        runs = runs.where(F.col("_run") < F.col("_last"))
+    words = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.lower("token").alias("word"))))
+    return runs.groupBy(id_column, "_run").agg(F.array_join(words["word"], " ").alias("entity")).drop("_run")

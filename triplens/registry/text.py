@@ -155,6 +155,12 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _phrases(spark, sf_dir)
 
 
+def noun_phrases_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", spread=True)
+    tagged = docs.select("doc_id", F.posexplode(word_index.tag_tokens("text", LEXICON)).alias("pos", "item"))
+    return word_index.noun_phrases_of_rows(tagged.select("doc_id", "pos", "item.*"), "doc_id", "pos")
+
+
 def noun_phrases_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", spread=True)
     tagged = word_index.tag_tokens("text", LEXICON)
@@ -203,6 +209,7 @@ QUERIES = {
     "rank_documents_indexed": rank_documents_indexed,
     "match_title": match_title,
     "noun_phrases": noun_phrases,
+    "noun_phrases_of_rows": noun_phrases_of_rows,
     "noun_phrases_legacy": noun_phrases_legacy,
     "entity_dictionary": entity_dictionary,
     "entity_location": entity_location,
@@ -311,6 +318,7 @@ SELECT post_id, title, CAST(levenshtein(title, '{QUESTION}') AS INTEGER) AS leve
 FROM (SELECT page_id AS post_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)
 ORDER BY levenshtein_score, post_id LIMIT 5""",
     "noun_phrases": f"WITH {_PHRASES} SELECT doc_id, entity FROM phrases",
+    "noun_phrases_of_rows": f"WITH {_PHRASES} SELECT doc_id, entity FROM phrases",
     "noun_phrases_legacy": f"""WITH {_PHRASES}
 SELECT doc_id, entity FROM phrases p
 WHERE run < (SELECT max(run) FROM phrases q WHERE q.doc_id = p.doc_id)""",
