@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from triplens.llm import exact
+from triplens.llm import exact, packing, pieces
 
 QUERIES = {
+    "op7_packing": packing.op7_packing,
     "op8_exact_dedup": exact.op8_exact_dedup,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 
 ORACLES = {
