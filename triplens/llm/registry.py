@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from triplens.llm import exact, packing, pieces, substrings
+from triplens.llm import exact, packing, pieces, substrings, warc
 
 QUERIES = {
+    "op10_warc": warc.op10_warc,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op7_packing": packing.op7_packing,
     "op8_exact_dedup": exact.op8_exact_dedup,
