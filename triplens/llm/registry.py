@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from triplens.llm import exact, packing, pieces, substrings, warc
+from triplens.llm import exact, jaccard, packing, pieces, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
+    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op7_packing": packing.op7_packing,
     "op8_exact_dedup": exact.op8_exact_dedup,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_ngram_jaccard": jaccard.OP4_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
 }
