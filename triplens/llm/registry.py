@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from triplens.llm import exact, jaccard, packing, pieces, substrings, warc
+from triplens.llm import exact, jaccard, language, packing, pieces, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
+    "op1_language_id": language.op1_language_id,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_substring_dedup": substrings.op5_substring_dedup,
     "op7_packing": packing.op7_packing,
