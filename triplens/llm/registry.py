@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from triplens.llm import exact, jaccard, language, packing, pieces, pii, substrings, warc
+from triplens.llm import ann, exact, jaccard, language, packing, pieces, pii, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
     "op1_language_id": language.op1_language_id,
+    "op2_multi_index": ann.op2_multi_index,
     "op3_pii": pii.op3_pii,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_substring_dedup": substrings.op5_substring_dedup,
