@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round finds unreachable, the cleaner gives up after the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
     return spark.read.parquet(path)
 
 
