@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from triplens.llm import ann, exact, jaccard, language, packing, pieces, pii, substrings, warc
+from triplens.llm import ann, exact, html, jaccard, language, packing, pieces, pii, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_substring_dedup": substrings.op5_substring_dedup,
+    "op6_html_labeller": html.op6_html_labeller,
     "op7_packing": packing.op7_packing,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
