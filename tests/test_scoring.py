@@ -145,8 +145,15 @@ def test_answer_gate(spark):
     def ranked(*rows):
         return spark.createDataFrame(list(rows), "url string, ranking double")
 
-    posts, pages = ranked(("p", 5.0), ("q", 1.0)), ranked(("w", 3.0))
+    posts, found = ranked(("p", 5.0), ("q", 1.0)), ranked(("w", 3.0))
+    asked = []
+
+    def pages():
+        asked.append(1)
+        return found
+
     assert sorted(row["url"] for row in answer(posts, pages, 5.0).collect()) == ["p", "q"]
+    assert not asked
     assert [row["url"] for row in answer(posts, pages, 5.1).collect()] == ["w"]
     assert [row["url"] for row in answer(posts.where("false"), pages, 0.0).collect()] == ["w"]
     assert math.isclose(answer(posts, pages, 9.0).first()["ranking"], 3.0)

@@ -27,7 +27,7 @@ ENGLISH_STOP_WORDS = (
 # fast here as the same set spelled out.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 # Fixed value: retweet header up to the last colon followed by white space.
-RETWEET_HEADER = r"RT[ \t\n\x0b\f\r]@[\w\W]+:[ \t\n\x0b\f\r]"
+RETWEET_HEADER = r"RT\s@[\w\W]+:\s"
 # Fixed value: what introduces a link inside a tweet.
 LINK_SCHEME = "https://"
 # Pages keep only raw tokens shorter than this.
@@ -91,9 +91,18 @@ def nearest_token_distance(name: Column, tokens: Iterable[str]) -> Column:
     return F.array_min(F.array(*distances))
 
 
+# An anchor with an href, the value in either quotes or bare; other attributes may come first.
+ANCHOR_HREF = (
+    r"""(?i)<a(?=\s)(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*"""
+    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+)
+
+
 def hrefs(html: Column) -> Column:
-    """Every double-quoted href value of the page, in order."""
-    return F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), 1)
+    """The href of every anchor of the page, in order, character references decoded."""
+    values = F.regexp_extract_all(html, F.lit(ANCHOR_HREF), 1)
+    bare = F.transform(values, lambda value: F.regexp_replace(value, r"""^["']|["']$""", ""))
+    return F.transform(bare, decode_references)
 
 
 def text_links(links: Column, prefix: str, host: str) -> Column:
@@ -114,15 +123,53 @@ def image_name(url: Column, file_prefix: str) -> Column:
 
 
 def visible_text(html: Column) -> Column:
-    """Text of a page: no scripts, styles, comments or tags; the common entities decoded."""
+    """Text of a page: no scripts, styles, comments or tags; character references decoded."""
     text = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
     text = F.regexp_replace(text, r"<[^>]*>", " ")
-    # &amp; goes last, otherwise "&amp;lt;" would be decoded twice.
-    for entity, plain in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    return decode_references(text)
+
+
+# Names of the characters U+00A0 to U+00FF in this order, and of some beyond.
+LATIN_REFERENCES = (
+    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr deg plusmn sup2 sup3 acute "
+    "micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest Agrave Aacute Acirc Atilde Auml Aring AElig "
+    "Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash "
+    "Ugrave Uacute Ucirc Uuml Yacute THORN szlig agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc "
+    "euml igrave iacute icirc iuml eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml "
+    "yacute thorn yuml"
+).split()
+CHARACTER_REFERENCES = {name: chr(0xA0 + at) for at, name in enumerate(LATIN_REFERENCES)} | {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "ndash": "\u2013", "mdash": "\u2014",
+    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "bull": "\u2022", "hellip": "\u2026",
+    "euro": "\u20ac", "trade": "\u2122",
+}
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+
+
+def decode_references(text: Column) -> Column:
+    """Decimal, hexadecimal and named character references as their characters, each once.
+
+    A text without an ampersand is passed on as it is. Others are cut at their references; what
+    stands for no character (an unknown name, a number outside Unicode) stays.
+    """
+    between = F.split(text, REFERENCE)
+    found = F.regexp_extract_all(text, F.lit(REFERENCE), 0)
+    names = F.create_map(*[F.lit(x) for pair in CHARACTER_REFERENCES.items() for x in pair])
+
+    def character(reference: Column) -> Column:
+        name = F.substring(reference, 2, F.char_length(reference) - 2)
+        hexadecimal = F.lower(name).startswith("#x")
+        decimal, sixteen = F.conv(F.substring(name, 2, 7), 10, 10), F.conv(F.substring(name, 3, 6), 16, 10)
+        number = F.when(hexadecimal, sixteen).otherwise(decimal).cast("int")
+        known = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        # UTF-32 of the number; a no-break space counts as a space.
+        decoded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        numeric = F.when(known, F.when(number == 0xA0, " ").otherwise(decoded))
+        return F.coalesce(F.when(name.startswith("#"), numeric).otherwise(names[name]), reference)
+
+    # There is one part more than there are references.
+    parts = F.zip_with(between, F.transform(found, character), lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
 def strip_retweet_header(text: Column) -> Column:
@@ -147,5 +194,13 @@ def tweet_links(cleaned: Column) -> Column:
 
 
 def parse_query_string(query: Column) -> Column:
-    """``?a=1&b=2`` to a map."""
-    return F.str_to_map(F.substring(query, 2, 2**31 - 1), F.lit("&"), F.lit("="))
+    """``?a=1&b=2`` to a map; of a repeated name the last value counts."""
+    pairs = F.transform(
+        F.split(F.substring(query, 2, 2**31 - 1), "&"),
+        lambda part: F.struct(
+            F.substring_index(part, "=", 1).alias("key"),
+            F.when(F.contains(part, F.lit("=")), F.substring(part, F.instr(part, "=") + 1, F.char_length(part))).alias("value"),
+        ),
+    )
+    later = F.filter(pairs, lambda pair, at: ~F.exists(F.slice(pairs, at + 2, F.size(pairs)), lambda other: other["key"] == pair["key"]))
+    return F.map_from_entries(later)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,13 +88,13 @@ def pagerank(
     edges: DataFrame,
     reset: float = 0.15,
     tol: float = 0.01,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     normalize: bool = False,
 ) -> DataFrame:
     """Add ``pagerank`` to ``vertices``: reset + (1 - reset) * sum of rank / out-degree.
 
-    All ranks start at ``reset``; the loop ends when no rank moves by ``tol`` or more, or
-    after ``max_iter`` rounds. The edges are laid out once, the few vertices with a large
+    All ranks start at ``reset``; the loop ends when no rank moves by ``tol`` or more. A caller
+    that sets ``max_iter`` gets an error, not ranks cut short, if more rounds are needed. The edges are laid out once, the few vertices with a large
     share of the edges spread over salts, and each round then moves one row per vertex (and
     salt) plus the map-side sums per target. One scalar per round reaches the driver.
     """
@@ -116,7 +118,7 @@ def pagerank(
     )
     salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     try:
-        for _ in range(max_iter):
+        for done in itertools.count(1):
             sent = state.where(F.col("degree").isNotNull()).select(
                 F.col("id").alias("src"),
                 (F.col("rank") / F.col("degree")).alias("share"),
@@ -137,6 +139,8 @@ def pagerank(
             moved = state.agg(F.max("moved")).first()[0]
             if moved is None or moved < tol:
                 break
+            if done == max_iter:
+                raise RuntimeError(f"ranks still move by {moved} after {max_iter} rounds")
     finally:
         laid_out.unpersist()
     ranks = state.select("id", F.col("rank").alias("pagerank"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,24 +24,45 @@ def crawl(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Follow links from the seed urls over stored pages.
 
-    Returns the found ``urls`` (url, level), the ``links`` between them (from_url, to_url) and
+    Returns the found ``urls`` (url, level), the ``links`` that found them (from_url, to_url) and
     the ``images`` (name, url) on the pages that were read. A page that is not stored is found
     but leads nowhere.
+
+    Each level looks for links only in the pages of the urls found last. Few urls are sent to the
+    scan of the pages, so that no html is moved; many are joined by shuffle. A page is read once,
+    on the level after the one that found it.
     """
+    if depth < 1:
+        raise ValueError("depth is at least 1")
     spark = pages.sparkSession
-    # Stored, so that the html is searched for links once and not on every level.
-    links = cut(graph.extract_links(pages, host, prefix).select(
-        F.col("from_url").alias("src"), F.col("to_url").alias("dst")
-    ))
-    start = spark.createDataFrame([(seed,) for seed in seeds], "node string")
-    visited, forest = graph.bfs(links, start, depth)
-    read = visited.where(F.col("level") < depth).select(F.col("node").alias("url"))
-    images = graph.extract_images(pages.join(read, "url", "left_semi"), host, prefix)
-    return (
-        visited.select(F.col("node").alias("url"), "level"),
-        forest.select(F.col("src").alias("from_url"), F.col("dst").alias("to_url")),
-        images,
-    )
+    urls = cut(spark.createDataFrame([(seed,) for seed in seeds], "url string").distinct().withColumn("level", F.lit(0)))
+    frontier, links = urls, None
+    for level in range(1, depth + 1):
+        found = (
+            graph.extract_links(_pages_of(pages, frontier), host, prefix)
+            .groupBy("to_url")
+            .agg(F.min("from_url").alias("from_url"))
+            .join(urls.select(F.col("url").alias("to_url")), "to_url", "left_anti")
+        )
+        found = cut(found.select("from_url", "to_url"))
+        links = found if links is None else links.unionByName(found)
+        frontier = found.select(F.col("to_url").alias("url"), F.lit(level).alias("level"))
+        urls = urls.unionByName(frontier)
+        if found.isEmpty():
+            break
+    images = graph.extract_images(_pages_of(pages, urls.where(F.col("level") < depth)), host, prefix)
+    return urls, links, images
+
+
+# Urls up to this number are broadcast, after a count; at some hundred bytes each they are few MB.
+FEW_URLS = 50_000
+
+
+def _pages_of(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """The stored pages of ``urls``."""
+    wanted = urls.select("url")
+    few = wanted.limit(FEW_URLS + 1).count() <= FEW_URLS
+    return pages.join(F.broadcast(wanted) if few else wanted, "url", "left_semi")
 
 
 def match_image(images: DataFrame, tokens: Sequence[str], k: int | None = 5) -> DataFrame:
@@ -70,7 +91,10 @@ def page_words(
     :func:`triplens.operators.graph.top_pages`, whose limit lets Spark see that it is small
     enough to broadcast; a large one is joined by shuffle.
     """
-    read = pages.join(chosen.select("uid", "url"), "url")
+    # A url stored more than once is read once: with its smallest page.
+    read = pages.join(chosen.select("uid", "url"), "url").groupBy("uid", "url").agg(
+        F.min_by("html", "page_id").alias("html")
+    )
     text = visible_text(F.col("html")) if text is None else text
     return tokenize(read, "uid", text, stops, PAGE_TOKEN_LIMIT, stem)
 
@@ -100,7 +124,7 @@ def search_pages(
     weights: Weights = PAGE_WEIGHTS,
     reset: float = 0.15,
     tol: float = 0.01,
-    max_iter: int = 100,
+    max_iter: int | None = None,
 ) -> DataFrame:
     """Rank the crawled urls by links, keep the best ``candidates``, rank those by words."""
     vertices, edges = graph.link_graph(urls, links)
@@ -109,13 +133,14 @@ def search_pages(
     return rank_pages(page_words(pages, chosen, stops, stem), chosen, tokens, k, weights)
 
 
-def answer(posts: DataFrame, pages: DataFrame, threshold: float) -> DataFrame:
-    """Ranked posts if the best reaches ``threshold``, ranked pages otherwise.
+def answer(posts: DataFrame, search: Callable[[], DataFrame], threshold: float) -> DataFrame:
+    """Ranked posts if the best reaches ``threshold``, else what ``search`` finds in pages.
 
-    Both sides need ``url`` and ``ranking``; the result adds ``origin``.
+    Both need ``url`` and ``ranking``; the result adds ``origin``. The posts are stored and their
+    best ranking read; ``search`` is called, and pages are looked at, only if it is too low.
     """
-    best = posts.agg(F.max("ranking").alias("best")).scalar()
-    enough = F.coalesce(best >= F.lit(float(threshold)), F.lit(False))
-    from_posts = posts.where(enough).select(F.lit("posts").alias("origin"), "url", "ranking")
-    from_pages = pages.where(~enough).select(F.lit("pages").alias("origin"), "url", "ranking")
-    return from_posts.unionByName(from_pages)
+    posts = cut(posts.select("url", "ranking"))
+    best = posts.agg(F.max("ranking")).first()[0]
+    if best is not None and best >= threshold:
+        return posts.select(F.lit("posts").alias("origin"), "url", "ranking")
+    return search().select(F.lit("pages").alias("origin"), "url", "ranking")

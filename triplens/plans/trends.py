@@ -30,15 +30,17 @@ def country_trend_pairs(trends: DataFrame, world: str, countries: Sequence[str])
 
 
 def country_trends(trends: DataFrame, world: str, countries: Sequence[str]) -> DataFrame:
-    """:func:`country_trend_pairs` as two parallel lists per country.
+    """:func:`country_trend_pairs` as two parallel lists per country, empty if nothing is common.
 
     Meant for feeds, where a place lists some dozens of trends; use the pairs for more.
     """
-    pair = F.struct("name", "url")
+    listed = trends.where(F.col("place").isin(list(countries))).select(F.col("place").alias("country"), "woeid").distinct()
+    pairs = country_trend_pairs(trends, world, countries).withColumn("pair", F.struct("name", "url"))
+    # collect_list skips nulls, so a country without a pair gets an empty list.
     return (
-        country_trend_pairs(trends, world, countries)
+        listed.join(pairs.select("country", "woeid", "pair"), ["country", "woeid"], "left")
         .groupBy("country", "woeid")
-        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+        .agg(F.array_sort(F.collect_list("pair")).alias("_pairs"))
         .select(
             "country", "woeid",
             F.col("_pairs.name").alias("tag"), F.col("_pairs.url").alias("url"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplens.functions.text import hrefs, visible_text
@@ -19,18 +19,32 @@ IMAGE_TOKENS = ["onthe", "backpacking", "tionha"]
 PAGE_TOKENS = ["en", "tion", "er"]
 SEEDS = [0, 1, 2]
 DEPTH = 3
-ROUNDS = 5
+TOLERANCE = 0.01
 CANDIDATES = 200
-THRESHOLD = 8.0
+# The best post ranks between these.
+LOW_THRESHOLD, HIGH_THRESHOLD = 1.0, 8.0
+
+
+def _varied_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with their anchors written in other ways, and with hrefs that are no anchors."""
+    form = F.col("page_id") % 3
+    html = F.regexp_replace("html", "<head>", '<head><link rel="next" href="/style"><base data-href="/base">')
+    single = F.regexp_replace(html, '<a href="([^"]*)">', "<A class=k HREF = '$1'>")
+    bare = F.regexp_replace(html, '<a href="([^"]*)">', '<a title="a > b" href=$1 data-href="/x">')
+    html = F.when(form == 0, html).when(form == 1, single).otherwise(bare)
+    return table(spark, sf_dir, "pages", spread=True).withColumn("html", html)
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = graph.extract_links(table(spark, sf_dir, "pages"), HOST, PREFIX)
+    links = graph.extract_links(_varied_pages(spark, sf_dir), HOST, PREFIX)
     return links.select("page_id", "from_url", "to_url")
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages", spread=True)
+    """Some letters are written as decimal, hexadecimal and named references."""
+    html = F.replace(F.replace("html", F.lit("é"), F.lit("&#233;")), F.lit("è"), F.lit("&#xE8;"))
+    html = F.replace(F.replace(html, F.lit("ü"), F.lit("&uuml;")), F.lit("ñ"), F.lit("&ntilde;"))
+    pages = table(spark, sf_dir, "pages", spread=True).withColumn("html", html)
     return pages.select("page_id", visible_text(F.col("html")).alias("text"))
 
 
@@ -87,7 +101,7 @@ def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _page_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     vertices = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url")
-    return graph.pagerank(vertices, _page_edges(spark, sf_dir), tol=0.0, max_iter=ROUNDS)
+    return graph.pagerank(vertices, _page_edges(spark, sf_dir), tol=TOLERANCE)
 
 
 def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +114,27 @@ def pagerank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.withColumn("pagerank", F.round("pagerank", 6))
 
 
+def _crawled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A crawl over the pages, with hrefs that name stored pages by the rule of the page edges."""
+    def name(page: str) -> Column:
+        return F.concat(F.lit("/p"), F.lpad(F.col(page).cast("string"), 9, "0"))
+
+    anchors = _page_edges(spark, sf_dir).groupBy(F.col("src").alias("page_id")).agg(
+        F.array_join(F.collect_list(F.concat(F.lit('<a href="'), name("dst"), F.lit('">x</a>'))), " ").alias("html")
+    )
+    pages = anchors.select("page_id", F.concat(F.lit(HOST), name("page_id")).alias("url"), "html")
+    seeds = [f"{HOST}/p{seed:09d}" for seed in SEEDS]
+    return page_plans.crawl(cut(pages), seeds, HOST, PREFIX, DEPTH)
+
+
+def crawl_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawled(spark, sf_dir)[0]
+
+
+def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crawled(spark, sf_dir)[1]
+
+
 def _found_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages with unique urls, the urls found from the seeds, and the links that found them."""
     pages = table(spark, sf_dir, "pages").withColumn(
@@ -119,24 +154,38 @@ def _found_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, urls, links = _found_pages(spark, sf_dir)
     ranked = page_plans.search_pages(
-        pages, urls, links, PAGE_TOKENS, 5, CANDIDATES, stem=False, tol=0.0, max_iter=ROUNDS
+        pages, urls, links, PAGE_TOKENS, 5, CANDIDATES, stem=False, tol=TOLERANCE
     )
     return ranked.select("uid", "url", F.round("ranking", 6).alias("ranking"))
 
 
-def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _answer(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
     from_posts = posts.rank_texts(
         table(spark, sf_dir, "documents", spread=True), text_queries.TOKENS, 5,
         url_prefix=text_queries.URL_PREFIX, id_column="doc_id", stem=False,
     )
-    pages, urls, links = _found_pages(spark, sf_dir)
-    from_pages = page_plans.search_pages(
-        pages, urls, links, PAGE_TOKENS, 5, CANDIDATES, stem=False, tol=0.0, max_iter=ROUNDS
-    )
-    chosen = page_plans.answer(from_posts, from_pages, THRESHOLD)
+
+
+    def from_pages() -> DataFrame:
+        pages, urls, links = _found_pages(spark, sf_dir)
+        return page_plans.search_pages(
+            pages, urls, links, PAGE_TOKENS, 5, CANDIDATES, stem=False, tol=TOLERANCE
+        )
+
+    chosen = page_plans.answer(from_posts, from_pages, threshold)
     return chosen.withColumn("ranking", F.round("ranking", 6))
 
 
+def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No post is good enough, so pages answer."""
+    return _answer(spark, sf_dir, HIGH_THRESHOLD)
+
+
+def answer_gate_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts are good enough, and no page is looked at."""
+    return _answer(spark, sf_dir, LOW_THRESHOLD)
+
+
 QUERIES = {
     "page_links": page_links,
     "page_text": page_text,
@@ -150,8 +199,14 @@ QUERIES = {
     "pagerank_top": pagerank_top,
     "search_pages": search_pages,
     "answer_gate": answer_gate,
+    "answer_gate_posts": answer_gate_posts,
+    "crawl_urls": crawl_urls,
+    "crawl_links": crawl_links,
 }
 
+# Rounds the SQL can look at.
+UNROLLED = 60
+
 _HREFS = """
 href AS (
   SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages)"""
@@ -190,17 +245,28 @@ seen{level} AS MATERIALIZED (
 
 
 def _ranks_cte(vertices: str, edges: str) -> str:
+    """``ranks`` (id, r) of the first round in which no rank moves by the tolerance or more.
+
+    The rounds are unrolled; that they are enough shows in ``ranks`` not being empty.
+    """
     parts = [
-        f"degree AS (SELECT src, count(*) AS n FROM {edges} GROUP BY src)",
-        f"rank0 AS (SELECT id, CAST(0.15 AS DOUBLE) AS r FROM {vertices})",
+        f"degree AS MATERIALIZED (SELECT src, count(*) AS n FROM {edges} GROUP BY src)",
+        f"rank0 AS MATERIALIZED (SELECT id, CAST(0.15 AS DOUBLE) AS r FROM {vertices})",
     ]
-    for step in range(1, ROUNDS + 1):
+    for step in range(1, UNROLLED + 1):
         parts.append(f"""
 rank{step} AS MATERIALIZED (
   SELECT v.id, CAST(0.15 AS DOUBLE) + CAST(0.85 AS DOUBLE) * coalesce(sum(p.r / d.n), 0.0) AS r
   FROM {vertices} v LEFT JOIN {edges} e ON e.dst = v.id
   LEFT JOIN degree d ON d.src = e.src LEFT JOIN rank{step - 1} p ON p.id = e.src
   GROUP BY v.id)""")
+    moves = " UNION ALL ".join(
+        f"SELECT {k} AS k, max(abs(a.r - b.r)) AS moved FROM rank{k} a JOIN rank{k - 1} b USING (id)"
+        for k in range(1, UNROLLED + 1)
+    )
+    every = " UNION ALL ".join(f"SELECT {k} AS k, id, r FROM rank{k}" for k in range(1, UNROLLED + 1))
+    parts.append(f"stop AS MATERIALIZED (SELECT min(k) AS k FROM ({moves}) WHERE moved < {TOLERANCE})")
+    parts.append(f"ranks AS MATERIALIZED (SELECT id, r FROM ({every}) JOIN stop USING (k))")
     return ",".join(parts)
 
 
@@ -213,8 +279,10 @@ for _pattern, _plain in (
     ("<[^>]*>", " "),
 ):
     _VISIBLE = f"regexp_replace({_VISIBLE}, '{_pattern}', '{_plain}', 'g')"
+# The references that the pages hold; &amp; goes last, otherwise what it leaves would be decoded too.
 for _entity, _plain in (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&"),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"),
+    ("&middot;", "·"), ("&amp;", "&"),
 ):
     _VISIBLE = f"replace({_VISIBLE}, '{_entity}', '{_plain}')"
 
@@ -229,7 +297,7 @@ found_edges AS MATERIALIZED (
   JOIN named y ON y.page_id = f.dst JOIN found_vertices b ON b.url = y.url),
 {_ranks_cte('found_vertices', 'found_edges')},
 chosen AS MATERIALIZED (
-  SELECT v.id AS uid, v.url, v.html FROM found_vertices v JOIN rank{ROUNDS} r ON r.id = v.id
+  SELECT v.id AS uid, v.url, v.html FROM found_vertices v JOIN ranks r ON r.id = v.id
   ORDER BY round(r.r, 9) DESC, v.id LIMIT {CANDIDATES}),
 {tokens_cte('chosen', 'uid', _VISIBLE, 'uid', max_len=20, name='ptok')},
 {naive_scores_cte(PAGE_TOKENS, 'uid', 'ptok', 'pscores')},
@@ -238,6 +306,24 @@ page_answer AS (
   SELECT uid, url, {ranking_sql(2.0, 3.5, 4.0)} AS ranking
   FROM prescaled JOIN chosen USING (uid) ORDER BY ranking DESC, uid LIMIT 5)"""
 
+
+def _gate_sql(threshold: float) -> str:
+    return f"""WITH {_SEARCH},
+{text_queries.DOC_TOKENS}, {naive_scores_cte(text_queries.TOKENS, 'doc_id')}, {rescaled_cte()},
+post_answer AS (
+  SELECT doc_id, '{text_queries.URL_PREFIX}' || CAST(doc_id AS VARCHAR) AS url,
+         {ranking_sql(4.0, 3.5, 1.0)} AS ranking FROM rescaled
+  ORDER BY ranking DESC, doc_id LIMIT 5),
+best AS (SELECT coalesce(max(ranking) >= {threshold}, false) AS enough FROM post_answer)
+SELECT 'posts' AS origin, url, round(ranking, 6) AS ranking FROM post_answer, best WHERE enough
+UNION ALL
+SELECT 'pages' AS origin, url, round(ranking, 6) AS ranking FROM page_answer, best WHERE NOT enough"""
+
+
+def _crawl_name(page: str) -> str:
+    return f"'{HOST}/p' || lpad(CAST({page} AS VARCHAR), 9, '0')"
+
+
 ORACLES = {
     "page_links": f"WITH {_LINKS} SELECT page_id, from_url, to_url FROM links",
     "page_text": f"SELECT page_id, {_VISIBLE} AS text FROM pages",
@@ -255,19 +341,15 @@ vertices AS (
 SELECT a.id AS src, b.id AS dst, 'contains' AS relationship
 FROM links JOIN vertices a ON a.url = from_url JOIN vertices b ON b.url = to_url""",
     "pagerank": f"""WITH {_PAGE_RANKS}
-SELECT r.id, url, round(r, 6) AS pagerank FROM rank{ROUNDS} r JOIN page_vertices USING (id)""",
+SELECT r.id, url, round(r, 6) AS pagerank FROM ranks r JOIN page_vertices USING (id)""",
     "pagerank_top": f"""WITH {_PAGE_RANKS}
-SELECT r.id AS uid, url, round(r, 6) AS pagerank FROM rank{ROUNDS} r JOIN page_vertices USING (id)
+SELECT r.id AS uid, url, round(r, 6) AS pagerank FROM ranks r JOIN page_vertices USING (id)
 ORDER BY round(r, 9) DESC, r.id LIMIT {CANDIDATES}""",
     "search_pages": f"WITH {_SEARCH} SELECT uid, url, round(ranking, 6) AS ranking FROM page_answer",
-    "answer_gate": f"""WITH {_SEARCH},
-{text_queries.DOC_TOKENS}, {naive_scores_cte(text_queries.TOKENS, 'doc_id')}, {rescaled_cte()},
-post_answer AS (
-  SELECT doc_id, '{text_queries.URL_PREFIX}' || CAST(doc_id AS VARCHAR) AS url,
-         {ranking_sql(4.0, 3.5, 1.0)} AS ranking FROM rescaled
-  ORDER BY ranking DESC, doc_id LIMIT 5),
-best AS (SELECT coalesce(max(ranking) >= {THRESHOLD}, false) AS enough FROM post_answer)
-SELECT 'posts' AS origin, url, round(ranking, 6) AS ranking FROM post_answer, best WHERE enough
-UNION ALL
-SELECT 'pages' AS origin, url, round(ranking, 6) AS ranking FROM page_answer, best WHERE NOT enough""",
+    "answer_gate": _gate_sql(HIGH_THRESHOLD),
+    "answer_gate_posts": _gate_sql(LOW_THRESHOLD),
+    "crawl_urls": f"""WITH {_EDGES}, {_forest_cte()}
+SELECT {_crawl_name('node')} AS url, level FROM seen{DEPTH}""",
+    "crawl_links": f"""WITH {_EDGES}, {_forest_cte()}
+SELECT {_crawl_name('src')} AS from_url, {_crawl_name('dst')} AS to_url FROM forest""",
 }

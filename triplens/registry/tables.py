@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from triplens import schemas
 from triplens.operators import index as word_index
@@ -11,6 +14,7 @@ from triplens.plans import posts
 from triplens.registry import text as text_queries
 from triplens.registry import trends as trend_queries
 from triplens.registry.common import fresh_path, table
+from triplens.session import cut
 from triplens.sources import tables
 
 
@@ -33,6 +37,25 @@ def _as_text(orders: DataFrame) -> DataFrame:
 
 
 def merge_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real tables in a schema of their own: snapshot and overwrite, then the day appended once more.
+
+    The daily table has its columns in another order. The rows are stored before the schema goes.
+    """
+    base, daily = _split_by_last_day(_orders(spark, sf_dir))
+    schema = f"merge_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    try:
+        base.write.saveAsTable(f"{schema}.base")
+        daily.select(*reversed(daily.columns)).write.saveAsTable(f"{schema}.daily")
+        tables.merge_daily(spark, f"{schema}.base", f"{schema}.daily", f"{schema}.copy")
+        tables.append_daily(spark.table(f"{schema}.daily"), f"{schema}.base")
+        return cut(_as_text(spark.table(f"{schema}.base")))
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
+def split_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders again out of the base and the last day."""
     base, daily = _split_by_last_day(_orders(spark, sf_dir))
     return _as_text(tables.merged(base, daily))
 
@@ -52,7 +75,10 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     tables.write_parquet(documents, path, partition_by=["lang"])
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    return tables.register_parquet(spark, name, path, documents.schema)
+    read = tables.register_parquet(spark, name, path, documents.schema)
+    # The name goes, the files and the frame that reads them stay.
+    tables.drop_table(spark, name)
+    return read
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +88,19 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("post_date", F.col("post_date").cast("string"))
 
 
+def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes, backslashes, the mark for NULL, and NULL itself."""
+    path = fresh_path(spark, "texts")
+    odd = (
+        F.when(F.col("doc_id") % 7 == 0, F.lit("\\N"))
+        .when(F.col("doc_id") % 7 == 1, F.concat(F.col("text"), F.lit('\r\n"x, \\n" \\\\ \\\n')))
+        .when(F.col("doc_id") % 7 == 2, F.lit(""))
+        .when(F.col("doc_id") % 7 != 3, F.col("text"))
+    )
+    tables.write_csv(table(spark, sf_dir, "documents").select("doc_id", odd.alias("text")), path)
+    return tables.read_csv(spark, path, StructType.fromDDL("doc_id long, text string"))
+
+
 def stored_word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranking over a stored index: only the query's words are read."""
     path = fresh_path(spark, "index")
@@ -77,7 +116,9 @@ def stored_word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "merge_daily": merge_daily,
+    "split_orders": split_orders,
     "append_daily": append_daily,
+    "csv_texts": csv_texts,
     "parquet_roundtrip": parquet_roundtrip,
     "csv_roundtrip": csv_roundtrip,
     "stored_word_index": stored_word_index,
@@ -88,7 +129,11 @@ SELECT o_orderkey, o_custkey, o_totalprice,
        CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS post_date FROM orders"""
 
 ORACLES = {
-    "merge_daily": _ORDERS,
+    "merge_daily": f"""{_ORDERS} UNION ALL SELECT * FROM ({_ORDERS})
+WHERE post_date = (SELECT max(post_date) FROM ({_ORDERS}))""",
+    "split_orders": _ORDERS,
+    "csv_texts": r"""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '\N' WHEN 2 THEN '' WHEN 3 THEN NULL
+  WHEN 1 THEN text || chr(13) || chr(10) || '"x, \n" \\ \' || chr(10) ELSE text END AS text FROM documents""",
     "append_daily": _ORDERS,
     "parquet_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "csv_roundtrip": trend_queries.ORACLES["photos_by_date"],

@@ -22,11 +22,13 @@ NEARBY_RADIUS_KM = 400.0
 def _trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event lists a trend: its type is the place, its properties the trend's name."""
     events = table(spark, sf_dir, "events")
+    # What the last place lists is listed nowhere else.
+    name = F.when(F.col("event_type") == COUNTRIES[-1], F.concat(F.lit("only "), "props")).otherwise(F.col("props"))
     woeid = F.array_position(F.array(*[F.lit(name) for name in [WORLD, *COUNTRIES]]), F.col("event_type"))
     return events.select(
         F.col("event_type").alias("place"),
         woeid.cast("long").alias("woeid"),
-        F.col("props").alias("name"),
+        name.alias("name"),
         F.concat(F.lit("https://trends.example/"), F.dayofmonth("ts").cast("string")).alias("url"),
     )
 
@@ -72,7 +74,7 @@ def _status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.to_json(F.struct(
         F.array(status).alias("statuses"),
         F.struct(
-            F.concat(F.lit("?max_id="), F.col("conv_id").cast("string"), F.lit("&q=travel")).alias("next_results")
+            F.concat(F.lit("?max_id=0&max_id="), F.col("conv_id").cast("string"), F.lit("&q=travel")).alias("next_results")
         ).alias("search_metadata"),
     ))
     return said.select(F.from_json(page, schemas.STATUS_PAGE).alias("page")).select("page.*")
@@ -84,12 +86,11 @@ def clean_retweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tweets per keyword search, and the parameters of the next page."""
-    pages = _status_pages(spark, sf_dir)
     following = feeds.next_page(F.col("search_metadata.next_results"))
+    pages = _status_pages(spark, sf_dir).withColumn("next", following)
+    pages = pages.withColumns({"max_id": F.col("next")["max_id"], "q": F.col("next")["q"]})
     return (
-        pages.withColumn("next", following)
-        .select(F.col("next")["max_id"].alias("max_id"), F.col("next")["q"].alias("q"), F.inline("statuses"))
-        .where(F.col("text").ilike("%la%"))
+        feeds.statuses(pages, "La", keep=["max_id", "q"])
         .groupBy("max_id", "q")
         .agg(F.count(F.lit(1)).alias("tweets"), F.sum("retweet_count").alias("retweets"))
     )
@@ -278,7 +279,8 @@ _PLACES_IN_ORDER = ", ".join(f"'{name}'" for name in [WORLD, *COUNTRIES])
 _PAIRS = f"""
 listed AS (
   SELECT DISTINCT event_type AS place, list_position([{_PLACES_IN_ORDER}], event_type) AS woeid,
-         props AS name, 'https://trends.example/' || CAST(day(ts) AS VARCHAR) AS url FROM events),
+         CASE WHEN event_type = '{COUNTRIES[-1]}' THEN 'only ' || props ELSE props END AS name,
+         'https://trends.example/' || CAST(day(ts) AS VARCHAR) AS url FROM events),
 pairs AS (
   SELECT place AS country, CAST(woeid AS BIGINT) AS woeid, name, url FROM listed
   WHERE place IN ({quoted(COUNTRIES)})
@@ -358,8 +360,10 @@ near AS (
 ORACLES = {
     "country_trend_pairs": f"WITH {_PAIRS} SELECT country, woeid, name, url FROM pairs",
     "country_trends": f"""WITH {_PAIRS}
-SELECT country, woeid, string_agg(name, ' ' ORDER BY name, url) AS tag,
-       string_agg(url, ' ' ORDER BY name, url) AS url FROM pairs GROUP BY country, woeid""",
+SELECT place AS country, CAST(l.woeid AS BIGINT) AS woeid, coalesce(string_agg(p.name, ' ' ORDER BY p.name, p.url), '') AS tag,
+       coalesce(string_agg(p.url, ' ' ORDER BY p.name, p.url), '') AS url
+FROM (SELECT DISTINCT place, woeid FROM listed WHERE place IN ({quoted(COUNTRIES)})) l
+LEFT JOIN pairs p ON p.country = l.place AND p.woeid = l.woeid GROUP BY place, l.woeid""",
     "clean_retweets": rf"""WITH {_TWEETS},
 cleaned AS (
   SELECT *, coalesce(string_split_regex(text, 'RT[\x09-\x0d ]@[\w\W]+:[\x09-\x0d ]')[2], text) AS body

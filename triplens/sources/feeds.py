@@ -38,10 +38,14 @@ def posts(feed: DataFrame, subreddits: Sequence[str], url_prefix: str) -> DataFr
     )
 
 
-def statuses(pages: DataFrame, keyword: str | None = None) -> DataFrame:
-    """All tweets of landed search pages (:data:`triplens.schemas.STATUS_PAGE`)."""
-    tweets = pages.select(F.inline("statuses"))
-    return tweets if keyword is None else tweets.where(F.col("text").ilike(f"%{keyword}%"))
+def statuses(pages: DataFrame, keyword: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """All tweets of landed search pages (:data:`triplens.schemas.STATUS_PAGE`).
+
+    ``keyword`` is looked for in any case; ``keep`` names columns of the page to hand on.
+    """
+    tweets = pages.select(*keep, F.inline("statuses"))
+    # Not a pattern: a keyword may hold % and _.
+    return tweets if keyword is None else tweets.where(F.lower("text").contains(F.lower(F.lit(keyword))))
 
 
 def next_page(query: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 def register_parquet(
@@ -20,13 +20,19 @@ def register_parquet(
 def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
     """Scan Parquet files.
 
-    ``spread`` is for work that is heavy per row, such as cutting up texts: a scan that splits
-    into fewer tasks than there are cores is dealt out evenly first. Large inputs have more
-    splits than that and are left alone.
+    ``spread`` is for work that is heavy per row, such as cutting up texts. A table of less than
+    one split that is a single row group can't be cut by the scan, and is dealt out to all cores;
+    anything larger is left to the scan's own splits, so no large table is ever moved for this.
     """
     scan = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return scan.repartition(cores) if spread and scan.rdd.getNumPartitions() < cores else scan
+    if not spread:
+        return scan
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    small = int(str(size)) < split
+    return scan.repartition(spark.sparkContext.defaultParallelism) if small else scan
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -44,14 +50,40 @@ CSV_OPTIONS = {
 }
 
 
+def _escaped(column: Column) -> Column:
+    """Text without line breaks; no escaped text is the mark for NULL."""
+    plain = F.replace(column, F.lit("\\"), F.lit("\\\\"))
+    plain = F.replace(plain, F.lit("\n"), F.lit("\\n"))
+    return F.replace(plain, F.lit("\r"), F.lit("\\r"))
+
+
+def _unescaped(column: Column) -> Column:
+    """Undo :func:`_escaped`: text is cut at doubled backslashes, which are single ones again."""
+    parts = F.transform(
+        F.split(column, r"\\\\"),
+        lambda part: F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.when(column.isNotNull(), F.array_join(parts, "\\"))
+
+
+def _texts(schema: StructType) -> list[str]:
+    return [field.name for field in schema.fields if isinstance(field.dataType, StringType)]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV with a header, in as many files as there are tasks."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """Write CSV with a header, in as many files as there are tasks.
+
+    Line breaks and backslashes in texts are written as \\n, \\r and a doubled backslash, so a row is
+    a line and files split.
+    """
+    lines = df.withColumns({name: _escaped(F.col(name)) for name in _texts(df.schema)})
+    lines.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read what :func:`write_csv` wrote (values without line breaks, so files split)."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Read what :func:`write_csv` wrote."""
+    lines = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return lines.withColumns({name: _unescaped(F.col(name)) for name in _texts(schema)})
 
 
 def write_word_index(
@@ -91,14 +123,25 @@ def merged(base: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def append_daily(daily: DataFrame, table: str) -> None:
-    """Add a day's rows to the stored table; nothing already there is rewritten."""
-    daily.write.mode("append").insertInto(table)
+    """Add a day's rows to the stored table, columns by name; nothing already there is rewritten."""
+    _in_order_of(daily, table).write.mode("append").insertInto(table)
+
+
+def _in_order_of(rows: DataFrame, table: str) -> DataFrame:
+    """``insertInto`` goes by position, so columns are put in the table's order first."""
+    names = rows.sparkSession.table(table).columns
+    if set(names) != set(rows.columns):
+        raise ValueError(f"columns {rows.columns} are not those of {table}: {names}")
+    return rows.select(*names)
 
 
 def replace_days(daily: DataFrame, path: str, day: str = "post_date") -> None:
-    """Write the days in ``daily``, replacing exactly those days: a rerun changes nothing."""
+    """Write the days in ``daily``, replacing exactly those days: a rerun changes nothing.
+
+    Rows are dealt out by day, and a large day is split by its size at run time.
+    """
     (
-        daily.repartition(day, F.pmod(F.xxhash64(*daily.columns), F.lit(16)))
+        daily.hint("rebalance", F.col(day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -109,5 +152,6 @@ def replace_days(daily: DataFrame, path: str, day: str = "post_date") -> None:
 def merge_daily(spark: SparkSession, base: str, daily: str, copy: str) -> DataFrame:
     """The snapshot-and-overwrite merge: copy ``base``, then overwrite it with copy and daily."""
     snapshot(spark, base, copy)
-    merged(spark.table(copy), spark.table(daily)).write.mode("overwrite").insertInto(base)
+    both = merged(spark.table(copy), spark.table(daily))
+    _in_order_of(both, base).write.mode("overwrite").insertInto(base)
     return spark.table(base)
