@@ -19,11 +19,13 @@ from triplens.registry.common import (
     table,
     tokens_cte,
 )
+from triplens.registry.stems import stems_cte
 
 TOKENS = ["tion", "er", "st"]
 # The second token occurs nowhere.
 TOKENS_ONE_UNKNOWN = ["tion", "zzyzx", "er", "st"]
 QUESTION = "Thheouble heenwh on reti?"
+STEMMED_QUESTION, STEMMED_TOKENS = "The tions, and ers or sts?", ["tion", "er", "st"]
 URL_PREFIX = "https://posts.example/travel/"
 LEXICON = {
     "the": "DT", "la": "DT", "le": "DT", "les": "DT", "der": "DT", "die": "DT", "el": "DT",
@@ -75,6 +77,11 @@ def question_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("item_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+def question_tokens_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = word_index.question_tokens(table(spark, sf_dir, "benchmark"), "text")
+    return asked.select("item_id", F.array_join("tokens", " ").alias("tokens"))
+
+
 def stemmed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = _tokens(spark, sf_dir).select("word").distinct()
     return words.select("word", stem(F.col("word")).alias("stem"))
@@ -129,6 +136,14 @@ def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
 
 
+def rank_documents_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts and question both stemmed, which is the default."""
+    docs = table(spark, sf_dir, "documents", spread=True)
+    tokens = posts.tokens_of(spark, STEMMED_QUESTION)
+    ranked = posts.rank_texts(docs, tokens, 10, url_prefix=URL_PREFIX, id_column="doc_id")
+    return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
+
+
 def rank_documents_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same ranking through the dictionary and the encoded occurrences."""
     words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")
@@ -194,6 +209,7 @@ QUERIES = {
     "word_location": word_location,
     "word_index_hashed": word_index_hashed,
     "question_tokens": question_tokens,
+    "question_tokens_stemmed": question_tokens_stemmed,
     "stemmed_vocabulary": stemmed_vocabulary,
     "contains_all_terms": contains_all_terms,
     "contains_all_terms_strict": contains_all_terms_strict,
@@ -206,6 +222,7 @@ QUERIES = {
     "leaderboard_distance": _leaderboard("distance"),
     "leaderboard_frequency": _leaderboard("frequency"),
     "rank_documents": rank_documents,
+    "rank_documents_stemmed": rank_documents_stemmed,
     "rank_documents_indexed": rank_documents_indexed,
     "match_title": match_title,
     "noun_phrases": noun_phrases,
@@ -288,6 +305,19 @@ SELECT word_id, doc_id, location FROM tok JOIN word_list USING (word)""",
 firsts AS (SELECT item_id, word, min(location) AS location FROM tok GROUP BY item_id, word)
 SELECT item_id, coalesce(string_agg(word, ' ' ORDER BY location), '') AS tokens
 FROM benchmark LEFT JOIN firsts USING (item_id) GROUP BY item_id""",
+    "question_tokens_stemmed": f"""WITH {tokens_cte('benchmark', 'item_id', 'text', 'item_id')},
+{stems_cte('SELECT word FROM tok', 'stems')},
+firsts AS (SELECT item_id, stem, min(location) AS location FROM tok JOIN stems USING (word) GROUP BY item_id, stem)
+SELECT item_id, coalesce(string_agg(stem, ' ' ORDER BY location), '') AS tokens
+FROM benchmark LEFT JOIN firsts USING (item_id) GROUP BY item_id""",
+    "stemmed_vocabulary": f"""WITH {DOC_TOKENS}, {stems_cte('SELECT word FROM tok', 'stems')}
+SELECT word, stem FROM stems""",
+    "rank_documents_stemmed": f"""WITH {DOC_TOKENS}, {stems_cte('SELECT word FROM tok', 'stems')},
+stok AS MATERIALIZED (SELECT doc_id, stem AS word, location FROM tok JOIN stems USING (word)),
+{naive_scores_cte(STEMMED_TOKENS, 'doc_id', 'stok')}, {rescaled_cte()}
+SELECT doc_id, '{URL_PREFIX}' || CAST(doc_id AS VARCHAR) AS url, round(ranking, 6) AS ranking
+FROM (SELECT doc_id, {ranking_sql(4.0, 3.5, 1.0)} AS ranking FROM rescaled)
+ORDER BY ranking DESC, doc_id LIMIT 10""",
     "contains_all_terms": f"""WITH {DOC_TOKENS},
 hit AS (
   SELECT doc_id, CASE word WHEN 'tion' THEN 0 WHEN 'er' THEN 1 ELSE 2 END AS step, location

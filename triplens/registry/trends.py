@@ -9,6 +9,7 @@ from triplens import schemas
 from triplens.functions.dates import date_key, weekday_label
 from triplens.plans import trends
 from triplens.registry.common import SQL_SPACE, quoted, table
+from triplens.registry.stems import stems_cte
 from triplens.sources import feeds
 
 WORLD = "view"
@@ -385,6 +386,11 @@ SELECT CAST(sum(n_chars) AS BIGINT) AS count, min((source, lang))[1] AS title, t
        min((source, lang))[2] AS location, '' AS urls
 FROM documents GROUP BY text ORDER BY count DESC, text""",
     "related_tags_top": f"WITH {_TOP_TAGS} SELECT tag, count FROM top",
+    "related_tags_stemmed": f"""WITH
+names AS (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents),
+{stems_cte('SELECT word FROM names', 'stems')}
+SELECT stem AS tag, count(*) AS count FROM names JOIN stems USING (word)
+GROUP BY stem ORDER BY count DESC, tag LIMIT 5""",
     "related_tag_list": f"""WITH {_TOP_TAGS}
 SELECT string_agg(tag, ',' ORDER BY count DESC, tag) AS tags FROM top""",
     "landed_posts": f"""
