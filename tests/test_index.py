@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from triplens.operators.ids import dense_ids
+from triplens.operators.ids import dense_ids, hashed, hashed_ids
 from triplens.operators.index import (
     build_entity_index,
     build_word_index,
@@ -18,9 +18,22 @@ def test_dense_ids_follow_the_key(spark):
     assert [row["n"] for row in rows] == list(range(5000))
 
 
+def test_hashed_ids_with_collisions(spark):
+    """With hashes of 6 bits, 40 keys share many; ids are unique, and only the exceptions differ from the hash."""
+    words = spark.range(40).select(F.concat(F.lit("w"), "id").alias("k"))
+    numbered, exceptions = hashed_ids(words, "k", "n", bits=6)
+    ids = {row["k"]: row["n"] for row in numbered.collect()}
+    assert len(ids) == len(set(ids.values())) == 40
+    plain = {row["k"]: row["n"] for row in words.withColumn("n", hashed("k", 6)).collect()}
+    assert {row["k"]: row["n"] for row in exceptions.collect()} == {k: n for k, n in ids.items() if plain[k] != n} != {}
+    for value in set(plain.values()):
+        assert ids[min(k for k in plain if plain[k] == value)] == value
+    assert hashed_ids(words, "k", "n")[1].isEmpty()
+
+
 def test_word_index(spark):
     docs = spark.createDataFrame([("p1", "blue sea blue"), ("p2", "sea")], "post_id string, text string")
-    words, located = build_word_index(tokenize(docs, "post_id", "text"))
+    words, located = build_word_index(tokenize(docs, "post_id", "text"), ids="dense")
     assert {row["word"]: row["word_id"] for row in words.collect()} == {"blue": 0, "sea": 1}
     assert sorted(tuple(row) for row in located.collect()) == [
         (0, "p1", 0), (0, "p1", 2), (1, "p1", 1), (1, "p2", 0)]
@@ -33,7 +46,7 @@ def test_hot_word_survives_the_salting(spark):
         F.col("id").alias("post_id"), F.lit(0).cast("long").alias("location"),
     )
     assert [row[0] for row in hot_keys(rows, ["word"]).collect()] == ["hot"]
-    words, located = build_word_index(rows)
+    words, located = build_word_index(rows, ids="dense")
     assert words.count() == 1001
     back = located.join(words, "word_id")
     assert back.where("word = 'hot'").count() == 2000
@@ -52,7 +65,7 @@ def test_salted_join_equals_join(spark):
 
 def test_entity_index_keeps_duplicates(spark):
     named = spark.createDataFrame([("p1", "b"), ("p1", "b"), ("p2", "a")], "post_id string, entity string")
-    entities, located = build_entity_index(named)
+    entities, located = build_entity_index(named, ids="dense")
     assert sorted(tuple(row) for row in entities.collect()) == [("a", 0), ("b", 1)]
     assert sorted(tuple(row) for row in located.collect()) == [("p1", 1), ("p1", 1), ("p2", 0)]
 

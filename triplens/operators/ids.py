@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplens.session import cut
@@ -33,11 +33,34 @@ def dense_ids(rows: DataFrame, key: str, id_column: str) -> DataFrame:
     )
 
 
-def hashed_ids(rows: DataFrame, key: str, id_column: str) -> DataFrame | None:
-    """Number rows by a 64-bit hash of ``key``, which must be unique; None if two keys collide.
+def hashed_ids(rows: DataFrame, key: str, id_column: str, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Number rows by a hash of ``key``, which must be unique: (numbered, exceptions).
 
-    Whoever knows the key knows the id, so tables are encoded without a join.
+    Whoever knows the key knows the id, so tables are encoded without a join. Of keys with one hash
+    the smallest keeps it; the others get a hash of their own, tried until it is free, and are
+    listed in ``exceptions`` (key, id): at 64 bits a handful among 10**10 keys.
     """
-    numbered = cut(rows.withColumn(id_column, F.xxhash64(key)))
-    shared = numbered.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return numbered if shared.isEmpty() else None
+    numbered = cut(rows.withColumn(id_column, hashed(key, bits)).withColumn("_tries", F.lit(0)))
+    tries = 0
+    while True:
+        # Who has an id keeps it before those that come later.
+        order = F.struct("_tries", key)
+        shared = numbered.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
+        shared = cut(shared.where("_n > 1").select(id_column, "_first"))
+        if shared.isEmpty():
+            exceptions = numbered.where("_tries > 0").select(key, id_column)
+            return numbered.drop("_tries"), exceptions
+        tries += 1
+        marked = numbered.join(shared, id_column, "left")
+        moves = F.coalesce(order != F.col("_first"), F.lit(False))
+        numbered = cut(marked.select(
+            *rows.columns,
+            F.when(moves, hashed(key, bits, tries)).otherwise(F.col(id_column)).alias(id_column),
+            F.when(moves, tries).otherwise(F.col("_tries")).alias("_tries"),
+        ))
+
+
+def hashed(key: str, bits: int = 64, attempt: int = 0) -> Column:
+    """The id of a key that is no exception."""
+    value = F.xxhash64(key, F.lit(attempt)) if attempt else F.xxhash64(key)
+    return value if bits == 64 else F.shiftrightunsigned(value, 64 - bits)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
-from triplens.operators.ids import dense_ids, hashed_ids
+from triplens.operators.ids import dense_ids, hashed, hashed_ids
 from triplens.operators.joins import HOT_SHARE, salted_join
 from triplens.session import cut
 
@@ -51,20 +51,20 @@ def question_tokens(
 
 
 def build_word_index(
-    tokens: DataFrame, id_column: str = "post_id", ids: str = "dense"
+    tokens: DataFrame, id_column: str = "post_id", ids: str = "hashed"
 ) -> tuple[DataFrame, DataFrame]:
     """``word_list`` (word, word_id) and ``word_location`` (word_id, id, location).
 
-    ``dense`` ids count up from 0 in word order; the occurrences are joined with the
-    dictionary. ``hashed`` ids need no join and no shuffle of the occurrences, which is the
-    choice for large corpora; should two words share a hash, dense ids are used instead.
+    ``hashed`` ids need no join and no shuffle of the occurrences; should words share a hash, all
+    but one get another, and only the few occurrences of these are looked up. ``dense`` ids count
+    up from 0 in word order; the occurrences are joined with the dictionary.
     """
     words, located = _encoded(tokens, "word", "word_id", ids)
     return words, located.select("word_id", id_column, "location")
 
 
 def build_entity_index(
-    entities: DataFrame, id_column: str = "post_id", ids: str = "dense"
+    entities: DataFrame, id_column: str = "post_id", ids: str = "hashed"
 ) -> tuple[DataFrame, DataFrame]:
     """``entity_list`` (entity, entity_id) and ``entity_location`` (id, entity_id).
 
@@ -79,9 +79,13 @@ def _encoded(rows: DataFrame, key: str, id_column: str, ids: str) -> tuple[DataF
     if ids not in ("dense", "hashed"):
         raise ValueError("ids is 'dense' or 'hashed'")
     if ids == "hashed":
-        dictionary = hashed_ids(rows.select(key).distinct(), key, id_column)
-        if dictionary is not None:
-            return dictionary, rows.withColumn(id_column, F.xxhash64(key))
+        dictionary, exceptions = hashed_ids(rows.select(key).distinct(), key, id_column)
+        own = rows.withColumn(id_column, hashed(key))
+        if exceptions.isEmpty():
+            return dictionary, own
+        other = exceptions.withColumnRenamed(id_column, "_other")
+        own = own.join(other, key, "left").withColumn(id_column, F.coalesce("_other", id_column)).drop("_other")
+        return dictionary, own
     # The counts that make the dictionary also tell which keys are frequent, so the join is
     # salted without a further pass over the rows.
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

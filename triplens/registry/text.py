@@ -12,6 +12,7 @@ from triplens.operators.scoring import SCORES, leaderboard, occurrences, rescale
 from triplens.plans import posts
 from triplens.registry.common import (
     SQL_SPACE,
+    fresh_path,
     naive_scores_cte,
     quoted,
     ranking_sql,
@@ -20,6 +21,7 @@ from triplens.registry.common import (
     tokens_cte,
 )
 from triplens.registry.stems import stems_cte
+from triplens.sources.tables import read_parquet, write_parquet, write_word_index
 
 TOKENS = ["tion", "er", "st"]
 # The second token occurs nowhere.
@@ -59,16 +61,16 @@ def page_token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")[0]
+    return word_index.build_word_index(_tokens(spark, sf_dir), "doc_id", ids="dense")[0]
 
 
 def word_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")[1]
+    return word_index.build_word_index(_tokens(spark, sf_dir), "doc_id", ids="dense")[1]
 
 
 def word_index_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence found again through the hashed ids."""
-    words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id", ids="hashed")
+    words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")
     return salted_join(located, words, ["word_id"]).select("word", "doc_id", "location")
 
 
@@ -145,10 +147,13 @@ def rank_documents_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_documents_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same ranking through the dictionary and the encoded occurrences."""
+    """The same ranking over a stored dictionary and stored occurrences, of which it reads little."""
     words, located = word_index.build_word_index(_tokens(spark, sf_dir), "doc_id")
+    path = fresh_path(spark, "word-index")
+    write_parquet(words, f"{path}/words")
+    write_word_index(located, f"{path}/located", "doc_id", "word_id")
     ranked = posts.rank_index(
-        words, located, TOKENS_ONE_UNKNOWN, 10, url_prefix=URL_PREFIX, id_column="doc_id"
+        read_parquet(spark, f"{path}/words"), read_parquet(spark, f"{path}/located"), TOKENS_ONE_UNKNOWN, 10, url_prefix=URL_PREFIX, id_column="doc_id"
     )
     return ranked.select("doc_id", "url", F.round("ranking", 6).alias("ranking"))
 
@@ -183,11 +188,11 @@ def noun_phrases_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_index.build_entity_index(_phrases(spark, sf_dir), "doc_id")[0]
+    return word_index.build_entity_index(_phrases(spark, sf_dir), "doc_id", ids="dense")[0]
 
 
 def entity_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_index.build_entity_index(_phrases(spark, sf_dir), "doc_id")[1]
+    return word_index.build_entity_index(_phrases(spark, sf_dir), "doc_id", ids="dense")[1]
 
 
 def match_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
