@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from triplens.operators import joins
 from triplens.operators.ids import dense_ids, hashed, hashed_ids
 from triplens.operators.index import (
     build_entity_index,
@@ -108,3 +109,14 @@ def test_tag_tokens(spark):
     tagged = df.select(tag_tokens("text", {"the": "DT", "near": "IN", "It": "PRP"})).first()[0]
     assert [tuple(item) for item in tagged] == [
         ("the", "DT"), ("old", "NN"), ("town", "NN"), (",", ","), ("near", "IN"), ("it", "PRP"), ("!", "!")]
+
+
+def test_salts_follow_the_counts(spark, monkeypatch):
+    """One key at half of the rows and many at 0.4 %: each gets sub-keys by its own count."""
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 15)
+    big = spark.range(5000).select(F.when(F.col("id") < 2500, 0).otherwise(F.col("id") % 125 + 1).alias("k"), "id")
+    found = {row["k"]: row["_salts"] for row in hot_keys(big, ["k"]).collect()}
+    assert found[0] == 167 and len(found) == 126 and found[1] == 32
+    small = spark.range(130).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    joined, plain = salted_join(big, small, ["k"]), big.join(small, "k")
+    assert joined.count() == plain.count() == 5000 and joined.exceptAll(plain).isEmpty()

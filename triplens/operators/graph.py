@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from triplens.functions.text import hrefs, image_links, image_name, text_links
 from triplens.operators.ids import dense_ids
-from triplens.operators.joins import HOT_SHARE, SALTS, hot_keys, salted_join
+from triplens.operators.joins import hot_keys, salted_join, salts_of
 from triplens.session import cut
 
 # Ranks are sums of doubles whose order Spark does not fix; order by this many places.
@@ -100,15 +100,14 @@ def pagerank(
     """
     degrees = cut(edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
     total = degrees.agg(F.sum("degree").alias("n"))
-    # Out-degrees above the share, so fewer than 1 / HOT_SHARE vertices are hot.
-    hot = F.col("degree") > F.lit(HOT_SHARE) * total.scalar()
+    salts = salts_of(F.col("degree"), total.scalar())
     state = cut(
-        vertices.select("id").join(degrees.withColumn("hot", hot), "id", "left").select(
-            "id", "degree", "hot", F.lit(float(reset)).alias("rank")
+        vertices.select("id").join(degrees.withColumn("salts", salts), "id", "left").select(
+            "id", "degree", "salts", F.lit(float(reset)).alias("rank")
         )
     )
-    hot = F.broadcast(state.where("hot").select(F.col("id").alias("src"), F.lit(True).alias("hot")))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("dst"), F.lit(SALTS))).otherwise(0).cast("int")
+    hot = F.broadcast(state.where("salts IS NOT NULL").select(F.col("id").alias("src"), "salts"))
+    salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")), F.lit(0)).cast("int")
     laid_out = (
         edges.select("src", "dst")
         .join(hot, "src", "left")
@@ -116,7 +115,7 @@ def pagerank(
         .repartition("src", "salt")
         .persist()
     )
-    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array(F.lit(0)))
     try:
         for done in itertools.count(1):
             sent = state.where(F.col("degree").isNotNull()).select(
@@ -132,7 +131,7 @@ def pagerank(
             rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("incoming", F.lit(0.0))
             state = cut(
                 state.drop("moved").join(received, "id", "left").select(
-                    "id", "degree", "hot", rank.alias("rank"),
+                    "id", "degree", "salts", rank.alias("rank"),
                     F.abs(rank - F.col("rank")).alias("moved"),
                 )
             )

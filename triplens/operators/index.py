@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
 from triplens.operators.ids import dense_ids, hashed, hashed_ids
-from triplens.operators.joins import HOT_SHARE, salted_join
+from triplens.operators.joins import salted_join, salts_of
 from triplens.session import cut
 
 
@@ -91,7 +91,8 @@ def _encoded(rows: DataFrame, key: str, id_column: str, ids: str) -> tuple[DataF
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     dictionary = dense_ids(counts, key, id_column)
     total = dictionary.agg(F.sum("_n").alias("_n"))
-    hot = cut(dictionary.where(F.col("_n") > F.lit(HOT_SHARE) * total.scalar()).select(key))
+    salted = dictionary.withColumn("_salts", salts_of(F.col("_n"), total.scalar()))
+    hot = cut(salted.where("_salts IS NOT NULL").select(key, "_salts"))
     dictionary = dictionary.drop("_n")
     return dictionary, salted_join(rows, dictionary, [key], hot=hot)
 
