@@ -34,7 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.1)
-    return spark.read.parquet(path)
+    frame = spark.read.parquet(path)
+    frame.stored_path = path
+    return frame
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a stored frame that nothing will read again."""
+    path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.stored_path)
+    path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str = "text") -> Column:

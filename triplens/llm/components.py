@@ -24,11 +24,12 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.withColumnRenamed("v", "u"), "u").select("v", "c").unionByName(labels)
         near = stored(near.groupBy("v").agg(F.min("c").alias("c")), "labels")
+        before, total = total, _total(near)
+        if total == before:
+            return near
         up = near.select(F.col("v").alias("c"), F.col("c").alias("up"))
         labels = stored(near.join(up, "c").select("v", F.col("up").alias("c")), "labels")
-        before, total = total, _total(labels)
-        if total == before:
-            return labels
+        total = _total(labels)
 
 
 def _total(labels: DataFrame):

@@ -5,8 +5,8 @@ fragments, a document's set thereby into segments. Overlaps are counted for each
 fragment on its own and summed per pair; a pair that cannot reach the threshold after the first
 fragments is dropped before the others are counted. No task ever needs more than two segments.
 
-Pairs come from prefixes: two sets over the threshold share an n-gram among the first
-``n - ceil(threshold * n) + 1`` of each in the global order. Documents with the same set are one
+Pairs come from prefixes: two sets over the threshold share k n-grams among the first
+``n - ceil(threshold * n) + k`` of each in the global order. Documents with the same set are one
 vertex. What is asked for are the classes, so a group of thousands of near copies need not be
 expanded into all its pairs: the members of each shared n-gram are first compared with one
 leader, and only pairs whose classes still differ are compared after that, all of them. The
@@ -24,23 +24,30 @@ no rows; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplens.llm.common import stored, table
+from triplens.llm.common import discard, stored, table
 from triplens.llm.components import components
 from triplens.llm.words import window_hashes, word_hashes
 
-#: N-grams in more prefixes than this go to the end of the global order, at most so many of them.
-#: Both only shape the order, which any choice leaves right; the second bounds what is sent out.
-FREQUENT, MOST_FREQUENT = 8, 500_000
-FRAGMENTS, FIRST_FRAGMENTS = 8, 2
-#: Leaders are tried while the pairs left over are more than this many per vertex.
-PAIRS_PER_VERTEX, LEADER_ROUNDS = 4, 6
+#: N-grams counted more often than this go to the end of the global order, at most so many of them,
+#: counted in chunks of so many n-grams. All three only shape the order, which any choice leaves
+#: right; the second bounds what is sent out.
+FREQUENT, MOST_FREQUENT, CHUNK_GRAMS = 8, 500_000, 3_000_000
+#: N-grams that two prefixes must share; fewer for sets that are smaller than this.
+SHARED = 4
+#: Fragments of the order: eight ranges of hashes, then the frequent n-grams; and those counted at a time.
+FRAGMENTS = 8
+FRAGMENT_STEPS = [[0, 1], [2, 3], [4, 5], [6, 7, 8]]
+#: Bits (as a power of two) of the filter that tells whose segments are wanted; it only saves work.
+FILTER_BITS = 22
+#: Leaders are tried while more pairs are left over than this many per member of the postings.
+PAIRS_PER_MEMBER, LEADER_ROUNDS = 16, 2
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
@@ -70,7 +77,8 @@ class Order:
         return np.where(self.frequent[at] == grams, at, -1)
 
     def prefix(self, grams: np.ndarray, percent: int) -> np.ndarray:
-        size = len(grams) - (percent * len(grams) + 99) // 100 + 1
+        needed = (percent * len(grams) + 99) // 100
+        size = len(grams) - needed + min(SHARED, needed)
         places = self.places(grams)
         if not (places[:size] >= 0).any():
             return grams[:size]
@@ -121,99 +129,121 @@ def entries_of(vertices: DataFrame) -> DataFrame:
     return vertices.select("v", "n", "prefix").mapInArrow(expand, "h long, v long, n long")
 
 
-def frequent_order(texts: DataFrame, n: int, percent: int, counts: DataFrame) -> Order | None:
-    """The order with frequent n-grams last; None if no prefix holds a frequent one.
+def frequent_order(texts: DataFrame, n: int) -> Order:
+    """The order with frequent n-grams last.
 
-    Documents with a frequent n-gram in their prefix hold others behind it, so all n-grams of
-    these documents are counted, summed in the task before they are shuffled.
+    A task counts the n-grams of a chunk of distinct sets and sends those that occur there twice or
+    more, so what is shuffled is a small part of all n-grams, and whatever is frequent is among it.
     """
-    first = counts.where(F.col("count") > FREQUENT).orderBy(F.desc("count"), "h").limit(MOST_FREQUENT)
-    first = first.toPandas()
-    if first.empty:
-        return None
-    seen = Order(first["h"].to_numpy().view(np.uint64), first["count"].to_numpy())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = {}, 0
 
         def summed():
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            return _batch({"h": (values.view(np.int64), pa.int64()), "k": (times, pa.int64())})
+            values, times = np.unique(np.concatenate(list(held.values())), return_counts=True)
+            again = times > 1
+            return _batch({"h": (values[again].view(np.int64), pa.int64()), "k": (times[again], pa.int64())})
 
         for batch in batches:
             for text in batch.column(0):
                 grams = ngram_set(text.as_py(), n)
-                if len(grams) and (seen.places(seen_prefix(grams)) >= 0).any():
-                    held.append(grams)
+                if len(grams) and (v := vertex_of(grams)) not in held:
+                    held[v] = grams
                     size += len(grams)
-                    if size > 2_000_000:
+                    if size > CHUNK_GRAMS:
                         yield summed()
-                        held, size = [], 0
+                        held, size = {}, 0
         if held:
             yield summed()
 
-    def seen_prefix(grams: np.ndarray) -> np.ndarray:
-        return Order().prefix(grams, percent)
-
     times = texts.select("text").mapInArrow(count, "h long, k long").groupBy("h").agg(F.sum("k").alias("k"))
     most = times.where(F.col("k") > FREQUENT).orderBy(F.desc("k"), "h").limit(MOST_FREQUENT).toPandas()
-    return Order(most["h"].to_numpy().view(np.uint64), most["k"].to_numpy())
+    return Order(most["h"].to_numpy(np.int64).view(np.uint64), most["k"].to_numpy(np.int64))
 
 
-def _vertices(sets: DataFrame) -> DataFrame:
-    return stored(
-        sets.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
-        "vertices",
-    )
+def _place(v: int, doc_id: int | None) -> int:
+    mask = (1 << 64) - 1
+    mixed = ((v & mask) * 0x9E3779B97F4A7C15 ^ ((doc_id or 0) & mask) * 0xC2B2AE3D27D4EB4F) & mask
+    return mixed >> (64 - FILTER_BITS)
+
+
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """A bit for the place of each (v, first_id); the bits are put together by Spark."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_place(v, i) for v, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield _batch({"place": (found, pa.int64())})
 
+    bit = F.expr("shiftleft(1L, cast(place % 64 AS int))")
+    words = wanted.select("v", "first_id").mapInArrow(places, "place long").groupBy(
+        F.expr("place div 64").alias("word")
+    ).agg(F.bit_or(bit).alias("bits")).toPandas()
+    out = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
 
-def segments(texts: DataFrame, n: int, order: Order) -> DataFrame:
-    """(v, fragment, grams): the set of each text, cut where the global order is cut."""
+
+def segments(texts: DataFrame, n: int, order: Order, wanted: DataFrame) -> DataFrame:
+    """(v, fragment, grams, behind): the sets of ``wanted`` (v, first_id), cut where the global order
+    is cut, with the number of n-grams in later fragments. A vertex has a row for every fragment.
+
+    Texts are not moved: a filter of fixed size tells which of them are wanted. The few others that
+    it lets through find no pair later.
+    """
+    bits = _filter(wanted)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = ([], [], [])
-            for text in batch.column(0):
+            rows = ([], [], [], [])
+            for text, doc_id in zip(batch.column(1), batch.column(0).to_pylist()):
                 grams = ngram_set(text.as_py(), n)
                 if not len(grams):
                     continue
                 v = vertex_of(grams)
+                place = _place(v, doc_id)
+                if not int(bits[place >> 6]) >> (place & 63) & 1:
+                    continue
                 fragment = np.where(order.places(grams) >= 0, FRAGMENTS, (grams >> np.uint64(61)).astype(np.int64))
-                for f in np.unique(fragment).tolist():
-                    for column, value in zip(rows, (v, f, grams[fragment == f].view(np.int64))):
+                for f in range(FRAGMENTS + 1):
+                    row = v, f, grams[fragment == f].view(np.int64), int((fragment > f).sum())
+                    for column, value in zip(rows, row):
                         column.append(value)
             yield _batch({"v": (rows[0], pa.int64()), "fragment": (rows[1], pa.int64()),
-                          "grams": (rows[2], pa.list_(pa.int64()))})
+                          "grams": (rows[2], pa.list_(pa.int64())), "behind": (rows[3], pa.int64())})
 
-    return texts.select("text").mapInArrow(cut, "v long, fragment long, grams array<long>")
+    return texts.select("doc_id", "text").mapInArrow(cut, "v long, fragment long, grams array<long>, behind long")
 
 
-def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, b, overlap): n-grams in common, counted in each fragment of ``parts`` and summed."""
-    a = pairs.join(parts.select(F.col("v").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a")
-    both = a.join(parts.select(F.col("v").alias("b"), "fragment", F.col("grams").alias("grams_b")), ["b", "fragment"])
-    counted = both.select("a", "b", F.size(F.array_intersect("grams_a", "grams_b")).alias("k"))
-    return counted.groupBy("a", "b").agg(F.sum("k").alias("overlap"))
+def _counted(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(a, b, common, gain): n-grams in common, counted in each fragment of ``parts`` and summed,
+    and how many more there can be in the fragments behind these."""
+    a = parts.select(F.col("v").alias("a"), "fragment", F.col("grams").alias("grams_a"), F.col("behind").alias("behind_a"))
+    b = parts.select(F.col("v").alias("b"), "fragment", F.col("grams").alias("grams_b"), F.col("behind").alias("behind_b"))
+    both = pairs.select("a", "b").join(a, "a").join(b, ["b", "fragment"])
+    counted = both.select(
+        "a", "b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("k"), F.least("behind_a", "behind_b").alias("gain")
+    )
+    # A row of the corpus that occurs twice has its segments twice; they count once.
+    counted = counted.groupBy("a", "b", "fragment").agg(F.max("k").alias("k"), F.max("gain").alias("gain"))
+    return counted.groupBy("a", "b").agg(F.sum("k").alias("common"), F.min("gain").alias("gain"))
 
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` (a, b, na, nb) that reach the threshold.
 
-    After the first fragments, a pair can still gain at most the smaller rest; pairs that can't
-    reach ``overlap * 100 >= percent * (na + nb - overlap)`` even so are not counted further.
+    Some fragments are counted at a time and stored. A pair can still gain at most the smaller
+    number of n-grams behind them; one that can't reach
+    ``overlap * 100 >= percent * (na + nb - overlap)`` even so goes. Behind the last fragment
+    nothing is left to gain, so those that remain are the links.
     """
-    enough = (100 + percent) * F.col("overlap") >= percent * (F.col("na") + F.col("nb"))
-    first, rest = parts.where(F.col("fragment") < FIRST_FRAGMENTS), parts.where(F.col("fragment") >= FIRST_FRAGMENTS)
-    sizes = first.groupBy("v").agg(F.sum(F.size("grams")).alias("s"))
-    hopeful = pairs.join(sizes.select(F.col("v").alias("a"), F.col("s").alias("sa")), "a", "left").join(
-        sizes.select(F.col("v").alias("b"), F.col("s").alias("sb")), "b", "left"
-    ).join(_overlaps(pairs.select("a", "b"), first), ["a", "b"], "left").na.fill(0, ["sa", "sb", "overlap"])
-    gain = F.least(F.col("na") - F.col("sa"), F.col("nb") - F.col("sb"))
-    hopeful = hopeful.where((100 + percent) * (F.col("overlap") + gain) >= percent * (F.col("na") + F.col("nb")))
-    hopeful = stored(hopeful.select("a", "b", "na", "nb", F.col("overlap").alias("first")), "hopeful")
-    total = hopeful.join(_overlaps(hopeful.select("a", "b"), rest), ["a", "b"], "left").na.fill(0, ["overlap"])
-    total = total.withColumn("overlap", F.col("overlap") + F.col("first"))
-    return stored(total.where(enough).select("a", "b"), "links")
+    state = pairs.withColumn("overlap", F.lit(0).cast("long"))
+    for fragments in FRAGMENT_STEPS:
+        counted = _counted(state, parts.where(F.col("fragment").isin(fragments)))
+        state = state.join(counted, ["a", "b"]).withColumn("overlap", F.col("overlap") + F.col("common"))
+        reachable = (100 + percent) * (F.col("overlap") + F.col("gain")) >= percent * (F.col("na") + F.col("nb"))
+        state = stored(state.where(reachable).select("a", "b", "na", "nb", "overlap"), "overlaps")
+    return state.select("a", "b")
 
 
 def _compatible(na: str, nb: str, percent: int):
@@ -222,46 +252,56 @@ def _compatible(na: str, nb: str, percent: int):
     return 100 * low >= percent * high
 
 
-def classes(linked: DataFrame, parts: DataFrame, percent: int) -> DataFrame | None:
-    """(v, c) of all vertices that have a link, from the postings ``linked`` (h, v, n)."""
+def classes(linked: DataFrame, parts_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """(v, c) of all vertices that have a link, from the postings ``linked`` (h, v, n).
+
+    ``parts_of`` gives the segments of given vertices (v).
+    """
     labels, links, tested = None, None, None
     for round_ in range(LEADER_ROUNDS + 1):
         held = linked.withColumn("c", F.col("v")) if labels is None else (
             linked.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
         )
-        mixed = held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-        held = stored(held.join(stored(mixed.select("h"), "mixed"), "h"), "held")
-        by_class = held.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("h").agg(
-            F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q")
+        lead = F.min(F.struct(
+            F.xxhash64("v", F.lit(round_)).alias("r"), F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2")
+        ))
+        by_class = held.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"), lead.alias("lead")).groupBy("h").agg(
+            F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.min("lead").alias("lead")
         )
-        left = by_class.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
+        mixed = stored(by_class.where("q < s * s").select("h", "s", "q", "lead.*"), "mixed")
+        left, members = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
         if not left:
             break
-        vertices = held.select("v").distinct().count()
-        last = left <= PAIRS_PER_VERTEX * vertices or round_ == LEADER_ROUNDS
-        other = held.select("h", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
+        last = left <= PAIRS_PER_MEMBER * members or round_ == LEADER_ROUNDS
+        held = held.join(mixed.select("h", "v2", "n2", "c2"), "h")
         if last:
+            held = stored(held.select("h", "v", "n", "c"), "held")
+            other = held.select("h", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
             joined = held.join(other, "h").where("c < c2")
         else:
-            lead = F.min(F.struct(F.xxhash64("v2", F.lit(round_)).alias("r"), "v2", "n2", "c2")).alias("lead")
-            joined = held.join(stored(other.groupBy("h").agg(lead).select("h", "lead.*"), "leaders"), "h").where("c <> c2")
-        joined = joined.where(_compatible("n", "n2", percent))
+            joined = held.where("c <> c2")
         swap = F.col("v") > F.col("v2")
-        pairs = joined.select(
+        pairs = joined.where(_compatible("n", "n2", percent)).select(
             F.least("v", "v2").alias("a"), F.greatest("v", "v2").alias("b"),
             F.when(swap, F.col("n2")).otherwise(F.col("n")).alias("na"),
             F.when(swap, F.col("n")).otherwise(F.col("n2")).alias("nb"),
-        ).distinct()
+        )
+        # The last round sees every n-gram that two prefixes share; the others need not.
+        enough = F.least(F.lit(SHARED), F.floor((percent * F.least("na", "nb") + 99) / 100))
+        pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= enough).drop("k")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        compared = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+        parts = parts_of(compared)
         found = verified(pairs, parts, percent)
+        discard(parts)
         links = found if links is None else links.unionByName(found)
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        labels = components(links)
         if last:
             break
-        labels = components(links)
-    return None if links is None else components(links)
+    return labels
 
 
 def similarity_classes(
@@ -269,30 +309,28 @@ def similarity_classes(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs``."""
     texts = _texts(docs, id_column, text_column)
-    sets = stored(make_sets(texts, n, percent, Order()), "sets")
-    vertices = _vertices(sets)
-    counts = stored(entries_of(vertices).groupBy("h").count().where("count > 1"), "counts")
-    order = frequent_order(texts, n, percent, counts)
-    if order is None:
-        order, ordered = Order(), vertices
-    else:
-        ordered = _vertices(make_sets(texts, n, percent, order))
-        counts = stored(entries_of(ordered).groupBy("h").count().where("count > 1"), "counts")
-    linked = stored(entries_of(ordered).join(counts.select("h"), "h"), "linked")
-    # One text for each vertex that shares an n-gram with another.
-    wanted = linked.select("v").distinct()
-    ids = stored(vertices.join(wanted, "v", "left_semi").select("first_id").distinct(), "wanted")
-    some = texts.join(ids, texts["doc_id"].eqNullSafe(ids["first_id"]), "left_semi")
-    parts = stored(segments(some, n, order).join(stored(wanted, "wanted"), "v", "left_semi").dropDuplicates(["v", "fragment"]), "segments")
-    labels = classes(linked, parts, percent)
-    known = vertices.select("v", "first_id")
-    if labels is not None:
-        known = known.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-        smallest = known.groupBy("c").agg(F.min("first_id").alias("component_id"))
-        known = stored(known, "known").join(stored(smallest, "smallest"), "c")
+    order = frequent_order(texts, n)
+    sets = stored(make_sets(texts, n, percent, order), "sets")
+    vertices = sets.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("first_id"))
+    vertices = stored(vertices, "vertices")
+    # Of the documents with one set, the first speaks for all.
+    own = sets.select("doc_id", F.col("v").alias("v1"), "n", "prefix").join(
+        vertices, (F.col("v") == F.col("v1")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    )
+    entries = entries_of(own)
+    counts = stored(entries.groupBy("h").count().where("count > 1").select("h"), "counts")
+    linked = stored(entries.join(counts, "h"), "linked")
+
+    def parts_of(compared: DataFrame) -> DataFrame:
+        return stored(segments(texts, n, order, vertices.join(compared, "v")), "segments")
+
+    labels = classes(linked, parts_of, percent)
+    if labels is None:
+        known = vertices.withColumnRenamed("first_id", "component_id")
     else:
-        known = known.withColumnRenamed("first_id", "component_id")
-    known = stored(known.select("v", "component_id"), "classes")
+        known = stored(vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v")), "known")
+        smallest = stored(known.groupBy("c").agg(F.min("first_id").alias("component_id")), "smallest")
+        known = stored(known.join(smallest, "c").select("v", "component_id"), "classes")
     return sets.select("doc_id", "v", "n").join(known, "v", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
