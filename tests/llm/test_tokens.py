@@ -24,6 +24,20 @@ def test_byte_bpe_equals_tokenizers():
         assert np.frombuffer(mine.ids(text), "<u4").tolist() == want, text
 
 
+def test_added_tokens_equal_tokenizers(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [*ODD_TEXTS, f"a {end} b", end, end * 3, f" {end}  {end}\n", f"x{end}y", f"<|endof{end}text|>", "<|ENDOFTEXT|>", f"a  {end[:-1]} {end} b's"]
+    mine = packing.whole_bpe()
+    want = {text: library.encode(text, add_special_tokens=False).ids for text in texts}
+    assert want[f"a {end} b"] == [64, 220, 50256, 275]
+    for text in texts:
+        assert np.frombuffer(mine.ids(text), "<u4").tolist() == want[text], text
+    docs = frame(spark, [(i, t, "clash", 1, None) for i, t in enumerate(texts)])
+    tokens = {r.doc_id: r.doc_tokens for r in packing.pack_documents(docs).collect()}
+    assert [tokens[i] for i in range(len(texts))] == [len(want[t]) + 1 for t in texts]
+
+
 def test_pieces_equal_sentencepiece():
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     mine = pieces.piece_bpe()

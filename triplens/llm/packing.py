@@ -12,6 +12,7 @@ their own; an empty table gives no rows; a null id is kept as null; other column
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -48,7 +49,8 @@ class ByteBpe:
     """Ids of a byte-level BPE vocabulary as little-endian unsigned 32-bit integers.
 
     ``ranks_path`` holds the ranks of the same vocabulary as the JSON file of the ``tokenizers``
-    library; the ids are equal to that library's (tests compare them), at several times its speed.
+    library; the ids of texts without added tokens are equal to that library's (tests compare
+    them), at several times its speed. ``AddedTokens`` puts the added tokens in.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
@@ -67,11 +69,36 @@ class ByteBpe:
         return self.start[parts[0]] + b"".join([inner[part] for part in parts[1:]])
 
 
+class AddedTokens:
+    """``inner`` with the added tokens of a tokenizer's JSON file, as the ``tokenizers`` library has them.
+
+    The leftmost and there the longest token counts; the parts between are encoded on their own.
+    """
+
+    def __init__(self, inner: ByteBpe, json_path: str):
+        with open(json_path, encoding="utf-8") as file:
+            described = json.load(file)
+        added = described["added_tokens"]
+        if described["normalizer"] or any(token[kind] for token in added for kind in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("only added tokens that are found as they are written can be used")
+        self.inner = inner
+        self.added = {token["content"]: np.array([token["id"]], "<u4").tobytes() for token in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
+
+    def ids(self, text: str) -> bytes:
+        parts = self.cut.split(text) if self.cut else [text]
+        if len(parts) == 1:
+            return self.inner.ids(text)
+        # Every second part is an added token.
+        return b"".join([self.added[part] if k % 2 else self.inner.ids(part) if part else b"" for k, part in enumerate(parts)])
+
+
 _loaded: dict = {}
 
 
 def byte_bpe() -> ByteBpe:
-    """The vocabulary ``byte_bpe_50k``, loaded once in a worker."""
+    """The vocabulary ``byte_bpe_50k`` without its added tokens, loaded once in a worker."""
     if "bpe" not in _loaded:
         import public_tokenizers
 
@@ -79,8 +106,17 @@ def byte_bpe() -> ByteBpe:
     return _loaded["bpe"]
 
 
+def whole_bpe() -> AddedTokens:
+    """The tokenizer ``byte_bpe_50k``, added tokens and all, loaded once in a worker."""
+    if "whole" not in _loaded:
+        import public_tokenizers
+
+        _loaded["whole"] = AddedTokens(byte_bpe(), public_tokenizers.path("byte_bpe_50k.json"))
+    return _loaded["whole"]
+
+
 def pieces_of(
-    docs: DataFrame, capacity: int, tokenizer=byte_bpe, end_id: int = 0,
+    docs: DataFrame, capacity: int, tokenizer=whole_bpe, end_id: int = 0,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens), one row per piece of each whole text."""
