@@ -88,6 +88,42 @@ def test_disclosure_against_counting(spark):
     assert set(clean[61].asDict()) == {"doc_id", "text", "n_chars", "words", "kind"}
 
 
+def term_words(spark, texts):
+    docs = spark.createDataFrame([(i, t, len(t), "c", 1) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    out = []
+    for r in sorted(pii.find_spans(docs).collect(), key=lambda r: r.doc_id):
+        places = [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term:")]
+        out.append({texts[r.doc_id][int(a) : int(b)].lower() for a, b in places})
+    return out, {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+
+
+def filler(seed, count=40):
+    rng = random.Random(seed)
+    return " ".join("w" + "".join(rng.choice("abc") for _ in range(2)) for _ in range(count))
+
+
+def test_words_far_from_the_entity_disclose(spark):
+    """A letterhead, a customer number and a name of two letters, all more than 20 words away."""
+    texts = [filler(i) for i in range(60)]
+    texts += [f"Zanzibar Wu K4711 990017 {filler(100 + i)} ann@example.org" for i in range(3)]
+    words, clean = term_words(spark, texts)
+    for i in range(60, 63):
+        assert {"zanzibar", "wu", "k4711", "990017"} <= words[i]
+        assert not re.search("Zanzibar|Wu|K4711|990017|ann@", clean[i]) and "[EMAIL]" in clean[i]
+    assert not any(words[:60])
+
+
+def test_word_at_the_head_of_an_address_keeps_its_label():
+    assert pii.replaced("ann: ann@example.org", {"ann": (1.0, 0)}) == ": [EMAIL]"
+
+
+def test_directory_of_many_entities(spark):
+    """Entities held by the same texts are counted as one: no pairs of 3,000 by 3,000."""
+    listed = " ".join(f"name{i} u{i}@example.org" for i in range(3000))
+    words, _ = term_words(spark, [filler(i) for i in range(60)] + [f"first {listed}", f"second {listed}"])
+    assert all({f"name{i}" for i in range(3000)} <= w for w in words[60:])
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert pii.find_spans(docs).count() == 0 and pii.sanitise(docs).count() == 0

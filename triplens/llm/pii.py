@@ -1,13 +1,13 @@
 """Personal data, and the words around it that give it away.
 
 Fixed patterns find e-mail addresses, IP addresses, card numbers and phone numbers. Each value
-is a protected entity. Over the whole corpus it is counted in how many documents a word stands near
+is a protected entity. Over the whole corpus it is counted in how many documents a word occurs with
 an entity, in how many it occurs at all, and in how many the entity does. The word's pointwise
 mutual information with the entity, as a share of the entity's own information, tells how strongly
 the word reveals it: 1 means that the word never occurs without the entity. From ``GENERALISE`` on
-a word is replaced by a general one, from ``REMOVE`` on it is taken out, in the documents where it
-stands near that entity. One context, however often it was copied, is no estimate: a word must
-have been seen near the entity in two different ones.
+a word is replaced by a general one, from ``REMOVE`` on it is taken out, in the documents that hold
+that entity. One text, however often it was copied, is no estimate: a word must have been seen with
+the entity in two different texts, or near it in two different contexts of one.
 
 Defined results: a null text counts as empty and stays null when sanitised; an empty text has no
 spans; repeated rows get the same spans; overlapping spans of different kinds are all reported and
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,8 @@ from triplens.llm.common import stored, table
 
 KINDS = ("email", "ip", "card", "phone", "term")
 GENERALISE, REMOVE = 0.9, 0.97
-#: Words on either side of an entity that count as near, and the characters they are sought in.
+#: Words on either side of an entity that are its context in a text, and the characters they are
+#: sought in; all words of a text are paired with its entities.
 NEAR_WORDS, NEAR_CHARS = 8, 120
 #: Bits of the filter that tells which words need to be counted; it only saves work.
 FILTER_BITS = 1 << 20
@@ -43,7 +45,7 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\W_]+")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -98,9 +100,9 @@ def words_near(text: str, start: int, end: int, covered: np.ndarray) -> list[tup
     low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
     left = [m.span() for m in _WORD.finditer(text, low, start)]
     right = [m.span() for m in _WORD.finditer(text, end, high)]
-    if left and left[0][0] == low and low and text[low - 1].isalpha():
+    if left and left[0][0] == low and low and text[low - 1].isalnum():
         left.pop(0)
-    if right and right[-1][1] == high and high < len(text) and text[high].isalpha():
+    if right and right[-1][1] == high and high < len(text) and text[high].isalnum():
         right.pop()
     near = left[-NEAR_WORDS:] + right[:NEAR_WORDS]
     at = np.searchsorted(covered[0], [b for _, b in near], "left")
@@ -108,42 +110,65 @@ def words_near(text: str, start: int, end: int, covered: np.ndarray) -> list[tup
     return [(text[a:b].lower(), a, b) for (a, b), skip in zip(near, inside) if not skip]
 
 
+def _covered(spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([s for s, _, _ in spans]), np.maximum.accumulate([e for _, _, e in spans])
+
+
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of the words that no base span touches, in order."""
+    at, reach = 0, 0
+    for found in _WORD.finditer(text):
+        start, end = found.span()
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= start:
+            yield found[0].lower(), start, end
+
+
+def varied_words(text: str, spans: list[tuple[int, int, int]], names: list[str]) -> list[tuple[str, str]]:
+    """(entity, word) of the words that stand near an entity in two different contexts of one text."""
+    if len(set(names)) == len(names):
+        return []
+    repeated = {name for name, times in Counter(names).items() if times > 1}
+    covered, contexts = _covered(spans), {}
+    for (start, _, end), name in zip(spans, names):
+        if name in repeated:
+            near = words_near(text, start, end, covered)
+            context = xxhash.xxh3_64_intdigest(" ".join(w for w, _, _ in near).encode())
+            for word in {w for w, _, _ in near}:
+                first = contexts.setdefault((name, word), context)
+                if first != context:
+                    contexts[name, word] = None
+    return sorted(pair for pair, context in contexts.items() if context is None)
+
+
 def inspect(text: str) -> tuple:
-    """(spans, entities, pairs, occurrences): pairs are (entity, kind, word, context) near each other."""
+    """(spans, entities, pairs, occurrences): what a text says by itself.
+
+    Pairs are (entity, kind, word, context) for each entity and each distinct word of the text;
+    the context is the whole text, by its hash. The queries don't write the pairs of a text out.
+    """
     spans = base_spans(text)
     if not spans:
         return spans, [], [], []
-    starts = np.array([s for s, _, _ in spans])
-    covered = (starts, np.maximum.accumulate([e for _, _, e in spans]))
-    names, pairs, near_words = [], {}, set()
-    for start, kind, end in spans:
-        name = entity(text, kind, start, end)
-        names.append(name)
-        near = words_near(text, start, end, covered)
-        context = xxhash.xxh3_64_intdigest(" ".join(w for w, _, _ in near).encode()) >> 1
-        for word, _, _ in near:
-            pairs.setdefault((name, word), (name, kind, word, context))
-            near_words.add(word)
-    occurrences = []
-    if near_words:
-        for found in _WORD.finditer(text):
-            if (word := found[0].lower()) in near_words:
-                at = int(np.searchsorted(starts, found.end(), "left"))
-                if not (at and covered[1][at - 1] > found.start()):
-                    occurrences.append((word, found.start(), found.end()))
-    return spans, sorted(set(names)), list(pairs.values()), occurrences
+    kinds = {entity(text, kind, start, end): kind for start, kind, end in spans}
+    occurrences = list(words_outside(text, spans))
+    context = xxhash.xxh3_64_intdigest(text.encode()) >> 1
+    words = dict.fromkeys(word for word, _, _ in occurrences)
+    pairs = [(name, kind, word, context) for name, kind in kinds.items() for word in words]
+    return spans, sorted(kinds), pairs, occurrences
 
 
 _ROW = (
     "doc_id long, text_key binary, n_email long, n_ip long, n_card long, n_phone long, "
-    "base array<struct<start:long,kind:int,end:long>>, entities array<string>, "
-    "pairs array<struct<entity:string,kind:int,word:string,context:long>>, "
-    "occurrences array<struct<word:string,start:long,end:long>>"
+    "base array<struct<start:long,kind:int,end:long>>, entities array<struct<entity:string,kind:int>>, "
+    "varied array<struct<entity:string,word:string>>, text string"
 )
 
 
 def inspected(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs`` with what :func:`inspect` finds; ``text_key`` is null if nothing."""
+    """One row per row of ``docs``; ``text_key`` and ``text`` are null if it holds no entity."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -154,13 +179,15 @@ def inspected(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
             columns: list[list] = [[] for _ in range(9)]
             for value in batch.column(1):
                 text = value.as_py() or ""
-                spans, names, pairs, occurrences = inspect(text)
+                spans = base_spans(text)
                 kinds = [kind for _, kind, _ in spans]
+                names = [entity(text, kind, start, end) for start, kind, end in spans]
                 row = (
                     hashlib.md5(text.encode()).digest() if spans else None, *[kinds.count(k) for k in range(4)],
-                    [dict(zip(("start", "kind", "end"), s)) for s in spans], names,
-                    [dict(zip(("entity", "kind", "word", "context"), p)) for p in pairs],
-                    [dict(zip(("word", "start", "end"), o)) for o in occurrences],
+                    [dict(zip(("start", "kind", "end"), s)) for s in spans],
+                    [dict(zip(("entity", "kind"), e)) for e in sorted(set(zip(names, kinds)))],
+                    [dict(zip(("entity", "word"), v)) for v in varied_words(text, spans, names)],
+                    text if spans else None,
                 )
                 for column, item in zip(columns, row):
                     column.append(item)
@@ -171,6 +198,24 @@ def inspected(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return plain.mapInArrow(look, _ROW)
 
 
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_key, word), each distinct word of a text once; of copies that follow each other, one."""
+    last = None
+    for batch in batches:
+        keys, words = [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if key == last:
+                continue
+            last, text = key, text.as_py()
+            found = {word for word, _, _ in words_outside(text, base_spans(text))}
+            keys += [key] * len(found)
+            words += found
+            if len(words) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(words, pa.string())], ["text_key", "word"])
+                keys, words = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(words, pa.string())], ["text_key", "word"])
+
+
 def document_counts(docs: DataFrame, words: DataFrame, text_column: str = "text") -> DataFrame:
     """(word, documents): in how many rows of ``docs`` each word of ``words`` occurs.
 
@@ -223,30 +268,53 @@ def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def disclosing_words(
     docs: DataFrame, rows: DataFrame, generalise: float = GENERALISE, text_column: str = "text"
 ) -> DataFrame:
-    """(text_key, words): for each text with an entity, the words near it that reveal it.
+    """(text_key, words): for each text with an entity, the words of it that reveal it.
 
-    ``words`` are (word, disclosure, kind), with the largest disclosure of the entities a word is
-    near. All counts combine on the map side; the joins are between stored tables, so a value held
-    by a third of all documents is split at run time.
+    ``words`` are (word, disclosure, kind), with the largest disclosure of the entities in the
+    text. Each distinct word of a text is a pair with each entity of it. Pairs that can't reach
+    ``generalise`` are not written out: as no more documents hold both than hold the entity, a word
+    in more than of_entity * (total / of_entity) ** (1 - generalise) documents stays below it.
+    Entities held by the same texts have the same pairs, so one of each kind stands for them.
     """
-    total = rows.count()
+    total = float(max(rows.count(), 1))
     # Copies of one text count as documents but are one context, so they can't support a word alone.
-    exploded = rows.where("text_key IS NOT NULL").select("text_key", F.explode("pairs").alias("p")).select("text_key", "p.*")
-    pairs = exploded.groupBy("entity", "kind", "word").agg(
-        F.count(F.lit(1)).alias("both"), F.min("context").alias("low"), F.max("context").alias("high")
-    ).where("low <> high")
-    pairs = stored(pairs.drop("low", "high"), "pairs")
-    entities = stored(rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity")), "entities")
-    of_word = stored(document_counts(docs, pairs.select("word").distinct(), text_column), "of-word")
-    joined = pairs.join(entities, "entity").join(of_word, "word")
-    own = F.log2(F.lit(float(max(total, 1))) / F.col("of_entity"))
-    mutual = F.log2(F.lit(float(max(total, 1))) * F.col("both") / (F.col("of_entity") * F.greatest("documents", "both")))
+    found = rows.where("text_key IS NOT NULL")
+    held = found.select("text_key", "varied", F.explode("entities").alias("e")).groupBy("text_key", "e.entity", "e.kind")
+    held = stored(held.agg(F.count(F.lit(1)).alias("copies")), "held")
+    entities = held.groupBy("entity", "kind").agg(
+        F.sum("copies").alias("of_entity"), F.count(F.lit(1)).alias("texts"),
+        F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("text_key", F.lit(2))).alias("y"),
+    )
+    entities = stored(entities, "entities")
+    classes = entities.where("texts > 1").groupBy("kind", "of_entity", "texts", "x", "y").agg(F.min("entity").alias("entity"))
+    bound = F.col("of_entity") * F.pow(F.lit(total) / F.col("of_entity"), F.lit(1 - generalise)) * (1 + 1e-9)
+    classes = stored(classes.select("entity", "kind", "of_entity", bound.alias("bound")), "classes")
+    several = stored(held.join(classes, ["entity", "kind"]), "several")
+    varied = found.select("text_key", F.explode("varied").alias("v")).select("text_key", "v.*").distinct()
+    varied = stored(varied.join(held, ["text_key", "entity"]).join(entities.select("entity", "of_entity"), "entity"), "varied")
+    texts = found.select("text_key", "text").join(several.select("text_key").distinct(), "text_key", "left_semi")
+    words = stored(texts.mapInArrow(_words_of, "text_key binary, word string").distinct(), "words")
+    # A word supports a pair by two texts, or by two contexts in one.
+    wanted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word")
+    wanted = stored(wanted.union(varied.select("word")).distinct(), "wanted")
+    of_word = stored(document_counts(docs, wanted, text_column).join(wanted, "word", "left_semi"), "of-word")
+    highest = classes.agg(F.max("bound")).first()[0] or 0.0
+    rare = stored(words.join(of_word.where(F.col("documents") <= highest), "word"), "rare")
+    candidates = rare.join(several, "text_key").where(F.col("documents") <= F.col("bound"))
+    counted = candidates.groupBy("entity", "word").agg(
+        F.sum("copies").alias("both"), F.count(F.lit(1)).alias("texts"), F.first("of_entity").alias("of_entity"),
+        F.first("documents").alias("documents"),
+    ).where("texts > 1")
+    own = F.log2(F.lit(total) / F.col("of_entity"))
+    mutual = F.log2(F.lit(total) * F.col("both") / (F.col("of_entity") * F.greatest("documents", "both")))
     # try_divide: an entity in every document has no information to disclose.
-    revealing = joined.withColumn("disclosure", F.try_divide(mutual, own)).where(F.col("disclosure") >= generalise)
-    revealing = stored(revealing.select("entity", "word", "disclosure"), "revealing")
-    hit = exploded.join(revealing, ["entity", "word"])
-    hit = stored(hit.select("text_key", "word", "disclosure", "kind"), "hits")
-    most = hit.groupBy("text_key", "word").agg(F.max(F.struct("disclosure", "kind")).alias("m"))
+    disclosure, reveals = F.try_divide(mutual, own), F.col("disclosure") >= generalise
+    revealing = stored(counted.withColumn("disclosure", disclosure).where(reveals).select("entity", "word", "disclosure"), "revealing")
+    hit = candidates.join(revealing, ["entity", "word"]).select("text_key", "word", "disclosure", "kind")
+    # What stands in several texts is found above; in one text, its copies are all documents with both.
+    alone = varied.withColumnRenamed("copies", "both").join(of_word, "word").withColumn("disclosure", disclosure)
+    alone = alone.where(reveals).select("text_key", "word", "disclosure", "kind")
+    most = hit.union(alone).groupBy("text_key", "word").agg(F.max(F.struct("disclosure", "kind")).alias("m"))
     grouped = most.groupBy("text_key").agg(F.collect_list(F.struct("word", "m.disclosure", "m.kind")).alias("words"))
     return stored(grouped, "disclosing")
 
@@ -261,25 +329,38 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     ``base`` and ``spans`` list kind:start:end by start, then kind; the latter with the words.
     """
+    from pyspark.sql.functions import arrow_udf
+
+    term = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+
+    @arrow_udf("array<struct<start:long,kind:int,end:long>>")
+    def located(texts: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for text, hits in zip(texts, found):
+            text, known = text.as_py(), {h["word"] for h in hits.as_py() or ()}
+            places = words_outside(text, base_spans(text)) if known else ()
+            out.append([{"start": a, "kind": 4, "end": b} for word, a, b in places if word in known])
+        return pa.array(out, pa.list_(term))
+
     rows = stored(inspected(docs, id_column, text_column), "inspected")
     found = rows.join(disclosing_words(docs, rows, text_column=text_column), "text_key", "left")
-    found = found.withColumn("_words", F.expr("transform(coalesce(words, array()), w -> w.word)"))
-    terms = "transform(filter(occurrences, o -> array_contains(_words, o.word)), o -> named_struct('start', o.start, 'kind', 4, 'end', o.end))"
+    found = found.withColumn("_terms", located("text", "words"))
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.expr(_listed("base")).alias("base"),
-        F.expr(_listed(f"array_sort(concat(base, {terms}))")).alias("spans"),
+        F.expr(_listed("array_sort(concat(base, _terms))")).alias("spans"),
     )
 
 
 def replaced(text: str, words: dict[str, tuple[float, int]], remove: float = REMOVE) -> str:
     """The text with every entity and revealing word replaced; overlapping spans are one."""
-    spans = [(start, end, f"[{KINDS[kind].upper()}]") for start, kind, end in base_spans(text)]
+    base = base_spans(text)
+    spans = [(start, end, f"[{KINDS[kind].upper()}]") for start, kind, end in base]
     if words:
-        for found in _WORD.finditer(text):
-            if (hit := words.get(found[0].lower())) is not None:
+        for word, start, end in words_outside(text, base):
+            if (hit := words.get(word)) is not None:
                 label = "" if hit[0] >= remove else f"[{KINDS[hit[1]].upper()} CONTEXT]"
-                spans.append((found.start(), found.end(), label))
+                spans.append((start, end, label))
     spans.sort()
     out, end = [], 0
     for start, stop, label in spans:
