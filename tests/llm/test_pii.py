@@ -113,6 +113,24 @@ def test_words_far_from_the_entity_disclose(spark):
     assert not any(words[:60])
 
 
+def test_signature_repeated_word_for_word_is_support(spark):
+    """The near words are the same in each text; the texts differ."""
+    sign = "best wishes from your contact person for all questions Zanzibar ann@example.org thanks for reading this message to its very end"
+    texts = [filler(i) for i in range(60)] + [f"{filler(100 + i)} {sign}" for i in range(4)]
+    words, _ = term_words(spark, texts)
+    assert all("zanzibar" in w for w in words[60:])
+
+
+def test_contexts_of_one_document_are_support(spark):
+    texts = [filler(i) for i in range(60)]
+    texts.append(f"Zanzibar: ann@example.org {filler(7)} now Zanzibar ann@example.org {filler(8)} yetonce")
+    texts += [f"qqqqq bob@example.org {filler(9)}"] * 3  # copies with one context
+    words, clean = term_words(spark, texts)
+    assert "zanzibar" in words[60] and "yetonce" not in words[60]
+    assert not any("qqqqq" in w for w in words[61:])
+    assert "[EMAIL]" in clean[60]
+
+
 def test_word_at_the_head_of_an_address_keeps_its_label():
     assert pii.replaced("ann: ann@example.org", {"ann": (1.0, 0)}) == ": [EMAIL]"
 
