@@ -104,3 +104,21 @@ def test_edge_rows(spark, labeller):
     empty = docs.limit(0)
     assert html.extract(empty, html.train(empty)).count() == 0
     assert html.extract(docs, labeller).select(F.length("text")).count() == 6
+
+
+def test_head_without_end_tag():
+    heads = [
+        "<html><head><title>t</title><body>", "<head><meta charset=utf-8><style>b{}</style><script>x</script>", "<head><head><link rel=a>\n",
+        "<html><head><title>t</title><base href=/></body>", "<head><noframes>old <p>page</noframes><noscript>n</noscript>", "<head><bgsound src=a>",
+    ]
+    for head in heads:
+        for body, want in (("<p>one<p>two", ["one", "two"]), ("<a href=x>one</a>", ["one"]), ("<!-- c -->one<div>two", ["one", "two"]), ("<custom-part>one", ["one"])):
+            assert [t for _, t, _ in html.leaves(head + body)] == want, head + body
+            assert not any("head" in path for path, _, _ in html.leaves(head + body))
+    assert [t for _, t, _ in html.leaves("<html><head><title>t</title></head><body><p>one<head>two")] == ["one", "two"]
+
+
+def test_text_of_page_without_head_end(labeller, spark):
+    page = spark.read.parquet(PAGES).where("page_id = 1").first().html
+    assert "</head>" in page and extracted(labeller, page)
+    assert extracted(labeller, page.replace("</head>", "")) == extracted(labeller, page)

@@ -51,6 +51,8 @@ CLOSES = {tag: ("p",) for tag in (
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav "
     "ol p pre section table ul".split()
 )} | {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}
+#: What can stand in a head; any other start tag, and text, ends a head left open.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _SCOPE = frozenset("ul ol dl table div article section aside main nav form body".split())
 
 _NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
@@ -102,8 +104,14 @@ def leaves(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             links -= tag == "a"
         del stack[upto:]
 
+    def end_head() -> None:
+        if opened["head"] and not opened["noframes"]:
+            close(next(k for k, (tag, _) in enumerate(stack) if tag == "head"))
+
     def add(text: str) -> None:
         nonlocal leaf
+        if opened["head"] and text and not text.isspace():
+            end_head()
         if hidden or not text:
             return
         if leaf is None:
@@ -144,10 +152,16 @@ def leaves(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             tag = tag[1:]
             if tag not in INLINE:
                 leaf = None
+            if tag in ("body", "br"):
+                end_head()
             if opened[tag]:
                 depth = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
                 close(depth)
             continue
+        if tag not in IN_HEAD:
+            end_head()
+        elif tag == "head" and opened["head"]:
+            continue
         if tag not in INLINE:
             leaf = None
         elif tag == "br":
