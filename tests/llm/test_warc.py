@@ -53,6 +53,26 @@ def test_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_very_long_urls(spark, tmp_path):
+    urls = ["data:text/html," + "a" * 70_000, "http://a/" + "日" * 8_000, "u" * 3_000_000, "WARC/1.1\r\n" * 9_000, "u"]
+    rows = [(i, url, f"page {i}") for i, url in enumerate(urls)]
+    path = str(tmp_path / "long")
+    warc.write_archives(frame(spark, rows), path)
+    read = warc.read_archives(spark, path)
+    assert results(read) == brute(rows, 0) and read.where("gap IS NOT NULL").count() == 0
+    assert {r.page_id: len(r.url) for r in read.collect()}[0] == len(urls[0])
+
+
+def test_long_headers_and_damage_in_plain_files():
+    parts = [warc.record(i, "u" * 100_000, b"x", None, warc.sha1_base32(b"x"), "2020-01-01T00:00:00Z") for i in range(4)]
+    for cut in (40, 90_000, len(parts[0]) - 3):
+        got = list(warc.salvage(parts[0] + parts[1][:cut] + parts[2] + parts[3]))
+        assert [warc._urn(f["warc-record-id"]) for _, _, f, _ in got if f is not None] == [0, 2, 3]
+    # Each search for the end of a header stops at the next version line.
+    got = list(warc.salvage(b"WARC/1.1\r\na: b\r\n" * 100_000))
+    assert len(got) == 1 and got[0][2] is None
+
+
 def test_files_are_chains_of_members(spark, tmp_path):
     warc.write_archives(frame(spark, ROWS).coalesce(1), str(tmp_path / "x"))
     for file in (tmp_path / "x").glob("part-*"):

@@ -34,8 +34,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _STEP = 1 << 16
-#: A header block that is longer than this is taken for damage.
-_MAX_HEADER = 1 << 16
+#: No version line stands within a header, so a header is sought no further than to the next one.
+_HEAD_END = re.compile(rb"\r\n\r\n|WARC/1\.[01]\r\n")
 
 
 def sha1_base32(data: bytes) -> str:
@@ -130,17 +130,20 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """(fields, block, end) of the record whose version line is at ``at``."""
     if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         raise Damage("no version line")
-    head_end = data.find(b"\r\n\r\n", at, at + _MAX_HEADER)
-    if head_end < 0:
+    head = _HEAD_END.search(data, at + len(VERSION))
+    if head is None:
         raise Damage("no end of header")
+    # A record cut off in its header runs into the next one.
+    if head[0] != b"\r\n\r\n":
+        raise Damage("two headers in one")
+    head_end = head.start()
     fields = {}
     for line in data[at:head_end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         name = name.strip().lower().decode("utf-8", "replace")
         if not colon:
             raise Damage("header line without colon")
-        # A record cut off in its header runs into the next one.
-        if line.endswith((VERSION, b"WARC/1.0")) or name in fields and name != "warc-concurrent-to":
+        if name in fields and name != "warc-concurrent-to":
             raise Damage("two headers in one")
         fields[name] = value.strip().decode("utf-8", "replace")
     length = fields.get("content-length", "")
