@@ -32,16 +32,26 @@ _ODD = re.compile(r" (?:\s|\Z)")
 
 
 class Memo(dict):
-    """Results of ``make`` by key; emptied when it holds ``limit`` keys, which bounds its memory."""
+    """Byte strings of ``make`` by key, of at most ``limit`` bytes with all that Python adds to an entry.
 
-    def __init__(self, make, limit: int = 500_000):
+    It is emptied when it is full. Keys over 64 characters, such as whole texts written without
+    spaces, hardly recur and are not remembered.
+    """
+
+    def __init__(self, make, limit: int = 24 << 20):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.used = make, limit, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.make(key)
+        if len(key) > 64:
+            return value
+        size = 250 + 4 * len(key) + len(value)  # a slot of the table, the heads of two objects, their contents
+        if self.used + size > self.limit:
             self.clear()
-        value = self[key] = self.make(key)
+            self.used = 0
+        self.used += size
+        self[key] = value
         return value
 
 
