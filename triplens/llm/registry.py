@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from triplens.llm import ann, exact, html, jaccard, language, packing, pieces, pii, substrings, warc
+from triplens.llm import ann, exact, html, jaccard, language, orc_tokens, packing, pieces, pii, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
+    "op11_orc_tokens": orc_tokens.op11_orc_tokens,
     "op1_language_id": language.op1_language_id,
     "op2_multi_index": ann.op2_multi_index,
     "op3_pii": pii.op3_pii,
