@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from triplens.llm import ann, exact, html, jaccard, language, orc_tokens, packing, pieces, pii, substrings, warc
+from triplens.llm import angular, ann, exact, html, jaccard, language, orc_tokens, packing, pieces, pii, substrings, warc
 
 QUERIES = {
     "op10_warc": warc.op10_warc,
     "op11_orc_tokens": orc_tokens.op11_orc_tokens,
+    "op12_hard_negatives": angular.op12_hard_negatives,
     "op1_language_id": language.op1_language_id,
     "op2_multi_index": ann.op2_multi_index,
     "op3_pii": pii.op3_pii,
@@ -19,6 +20,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op12_hard_negatives": angular.OP12_SQL,
     "op4_ngram_jaccard": jaccard.OP4_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
 }
