@@ -3,6 +3,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from triplens.operators import geojoin
 from triplens.operators.geojoin import nearby_names, nearest
 
 
@@ -66,3 +69,45 @@ def test_nearby_names_equal_brute_force(spark, radius):
     }
     assert len(rows) == len(expected)
     assert {tuple(row) for row in rows} == expected
+
+
+def test_nearest_among_split_cells(spark, monkeypatch):
+    """Leaves of three places: the tree is deep, uneven, and has points next to crowds."""
+    monkeypatch.setattr(geojoin, "LEAF_PLACES", 3)
+    rng = random.Random(6)
+    crowd = [(48.1 + rng.gauss(0, s), 2.1 + rng.gauss(0, s)) for s in (1e-1, 1e-3, 1e-5, 1e-7) for _ in range(40)]
+    points = scattered(7, 80) + [(a + rng.gauss(0, 1e-6), b) for a, b in crowd[::4]]
+    places = scattered(8, 120) + crowd
+    left, right = frames(spark, points, places)
+    got = {row["key"]: row["name"] for row in nearest(left, right, 60.0, ["key"], "name").collect()}
+    for i, point in enumerate(points):
+        near = min((distance(point, place), f"n{j % 23}") for j, place in enumerate(places))
+        if near[0] > 60.0:
+            assert got[str(i)] is None
+        else:
+            named = min(distance(point, place) for j, place in enumerate(places) if f"n{j % 23}" == got[str(i)])
+            assert named == pytest.approx(near[0], abs=1e-9)
+
+
+def test_crowd_in_a_smallest_cell_is_split(spark):
+    """10**5 places within a 512th of the radius: no leaf over the bound, and the nearest is found."""
+    count, radius = 100_000, 50.0
+    step = radius / geojoin.KM_PER_DEGREE / 512 / 400
+    rows = spark.range(count).select(
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("name"),
+        (F.lit(48.5) + F.col("id") % 317 * step).alias("lat"), (F.lit(2.5) + F.floor(F.col("id") / 317) * step).alias("lng"),
+    )
+    levels, leaves, counts = geojoin.cell_tree(rows, radius / geojoin.KM_PER_DEGREE)
+    sizes = leaves.groupBy("_level", "_row", "_col").count()
+    assert sizes.agg(F.max("count")).first()[0] <= geojoin.LEAF_PLACES
+    assert leaves.count() == count == counts[0] and 4 <= len(levels) < geojoin.DEEPEST
+    asked = [7, 316, 5_000, 60_123, 99_999]
+    points = spark.createDataFrame(
+        [(str(i), 48.5 + (i % 317 + 0.3) * step, 2.5 + (i // 317 - 0.2) * step) for i in asked], "key string, lat double, lng double")
+    got = {row["key"]: row["name"] for row in nearest(points, rows, radius, ["key"], "name").collect()}
+    assert got == {str(i): f"p{i}" for i in asked}
+
+
+def test_nearest_without_places(spark):
+    left, right = frames(spark, scattered(1, 8), [])
+    assert [row["name"] for row in nearest(left, right, 60.0, ["key"], "name").collect()] == [None] * 8

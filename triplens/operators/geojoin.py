@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 from triplens.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
 from triplens.session import cut
 
-# Cells of one level are split into SPLIT x SPLIT cells on the next.
-SPLIT = 8
+# A cell with more places than this is split into SPLIT x SPLIT cells of the next level.
+LEAF_PLACES = 256
+_SPLIT_BITS = 3
+SPLIT = 1 << _SPLIT_BITS
+# The last level has cells of radius / 2**36, less than a micrometre for a radius of 50 km: no
+# two coordinates that a gazetteer tells apart share one.
+DEEPEST = 12
+_BITS = DEEPEST * _SPLIT_BITS
 # Absorbs rounding where cells and reaches are compared with distances.
 MARGIN = 1.0001
 # Places, counted, are broadcast up to this many rows (tens of megabytes).
@@ -82,6 +88,7 @@ def _summed_up(places: DataFrame, by: list[str]) -> DataFrame:
         F.first("lat").alias("_rep_lat"),
         F.first("lng").alias("_rep_lng"),
         (F.hypot(tall, wide) * KM_PER_DEGREE * MARGIN).alias("_reach"),
+        F.count(F.lit(1)).alias("_n"),
     )
 
 
@@ -98,58 +105,82 @@ def _distance(lat: str, lng: str) -> Column:
     return haversine_km(F.col("lat"), F.col("lng"), F.col(lat), F.col(lng))
 
 
+def cell_tree(places: DataFrame, size: float) -> tuple[list[DataFrame], DataFrame, list[int]]:
+    """Cells of distinct ``places`` (lat, lng, ...), split where they hold more than ``LEAF_PLACES``.
+
+    Returns the cells of each level (_row, _col, _rep_lat, _rep_lng, _reach, _n), the places with
+    their leaf (_level, _row, _col), and the number of places each level was made from. Level 0 has
+    the grid of ``size`` degrees; the places of its full cells alone are looked at on the next, which has
+    SPLIT x SPLIT cells in one, and so on. Cells of a level are bits of one fine grid, so they
+    nest exactly.
+    """
+    fine = float(1 << _BITS)
+    row = F.floor(F.col("lat") / F.lit(size) * fine).cast("long")
+    columns = _columns(F.shiftright("_fine_row", _BITS), size)
+    column = F.floor((F.col("lng") + 180.0) / 360.0 * columns * fine).cast("long")
+    pending = cut(places.withColumn("_fine_row", row).withColumn("_fine_col", column))
+    levels, leaves, counts = [], None, [pending.count()]
+    for level in range(DEEPEST + 1):
+        shift = _BITS - level * _SPLIT_BITS
+        here = pending.withColumn("_row", F.shiftright("_fine_row", shift)).withColumn("_col", F.shiftright("_fine_col", shift))
+        cells = cut(_summed_up(here, ["_row", "_col"]))
+        levels.append(cells)
+        full = cells.where(F.col("_n") > LEAF_PLACES) if level < DEEPEST else cells.limit(0)
+        split = 0 if level == DEEPEST else full.count()
+        # At most one full cell for LEAF_PLACES places; few of them are broadcast, after this count.
+        keys = _beside(full.select("_row", "_col"), split)
+        settled = here.join(keys, ["_row", "_col"], "left_anti") if split else here
+        settled = settled.withColumn("_level", F.lit(level)).select("_level", "_row", "_col", *places.columns)
+        leaves = settled if leaves is None else leaves.unionByName(settled)
+        if not split:
+            break
+        pending = cut(here.join(keys, ["_row", "_col"], "left_semi").select(*places.columns, "_fine_row", "_fine_col"))
+        counts.append(pending.count())
+    return levels, leaves, counts
+
+
 def nearest(
-    points: DataFrame,
-    places: DataFrame,
-    radius_km: float,
-    point_key: list[str],
-    value: str,
-    levels: int = 4,
+    points: DataFrame, places: DataFrame, radius_km: float, point_key: list[str], value: str
 ) -> DataFrame:
     """``value`` of the nearest place within ``radius_km``; points with none keep NULL.
 
     ``points`` has ``point_key`` (unique) and (lat, lng) and should be a stored table;
     ``places`` has (lat, lng, value). Equal distances: the smallest value wins. Candidate
-    cells get smaller level by level and keep only those that can still hold the nearest
-    place, so a point next to a crowded cell is compared with cell summaries and with the
-    places of a few smallest cells, not with the crowd. Copies of a place collapse before the
-    join.
+    cells are followed down the tree only where they are full and can still hold the nearest
+    place, so a point next to a crowd is compared with cell summaries and with the places of a
+    few leaves, none of which holds more than ``LEAF_PLACES``. Copies of a place collapse before
+    the join.
     """
     size = radius_km / KM_PER_DEGREE
-    cells = _on_map(places).groupBy("lat", "lng").agg(F.min(value).alias("_value"))
-    cells = cells.withColumn("_columns", _columns(_row(F.col("lat"), size), size))
-    keys = []
-    for level in range(levels):
-        keys.append([f"_row{level}", f"_col{level}"])
-        cells = cells.withColumns({
-            keys[level][0]: _row(F.col("lat"), size / SPLIT**level),
-            keys[level][1]: _column(F.col("lng"), F.col("_columns") * SPLIT**level),
-        })
-    # Every level reads the places again.
-    cells = cut(cells.drop("_columns"))
-    count = cells.count()
+    distinct = _on_map(places).groupBy("lat", "lng").agg(F.min(value).alias("_value"))
+    levels, leaves, counts = cell_tree(distinct, size)
 
     by_point = Window.partitionBy(*point_key)
-    found = _cover(_on_map(points), radius_km, size).withColumnsRenamed({"_row": "_row0", "_col": "_col0"})
-    found = found.withColumn("_best", F.lit(radius_km * MARGIN))
     possible = F.col("_d") - F.col("_reach") <= F.col("_best")
-    for level in range(levels):
-        parent = keys[level - 1] if level else keys[0]
-        by = [*parent, *keys[level]] if level else keys[0]
-        found = (
-            found.join(_beside(_summed_up(cells, by), count), parent)
-            .withColumn("_d", _distance("_rep_lat", "_rep_lng"))
-            # What the level above already ruled out does not reach the shuffle by point.
-            .where(possible)
-            .withColumn("_best", F.least("_best", F.min("_d").over(by_point) * MARGIN))
-            .where(possible)
-            .select(*points.columns, *keys[level], "_best")
-        )
-    leaf = cells.select(
-        *keys[-1], F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), "_value"
-    )
+    summary = ["_rep_lat", "_rep_lng", "_reach", "_n"]
+    held = [*points.columns, "_best", "_level", "_row", "_col", "_d", "_reach", "_n"]
+    asked = _cover(_on_map(points), radius_km, size).withColumn("_best", F.lit(radius_km * MARGIN))
+    found = settled = None
+    for level, cells in enumerate(levels):
+        if level:
+            # Full cells give way to the cells in them; the others wait for the end.
+            settled, asked = found.where(F.col("_n") <= LEAF_PLACES), found.where(F.col("_n") > LEAF_PLACES)
+            asked = asked.drop("_level", "_d", "_reach", "_n").withColumnsRenamed({"_row": "_up_row", "_col": "_up_col"})
+            up = [F.shiftright(name, _SPLIT_BITS).alias(f"_up{name}") for name in ("_row", "_col")]
+            joined = asked.join(_beside(cells.select("_row", "_col", *summary, *up), counts[level]), ["_up_row", "_up_col"])
+        else:
+            joined = asked.join(_beside(cells.select("_row", "_col", *summary), counts[0]), ["_row", "_col"])
+        # What the level above already ruled out does not reach the shuffle by point.
+        found = joined.withColumn("_d", _distance("_rep_lat", "_rep_lng")).withColumn("_level", F.lit(level)).where(possible).select(*held)
+        if settled is not None:
+            found = found.unionByName(settled)
+        found = found.withColumn("_best", F.least("_best", F.min("_d").over(by_point) * MARGIN)).where(possible)
+        if level + 1 < len(levels):
+            # The next level reads what is found twice.
+            found = cut(found)
+    places_in = leaves.select("_level", "_row", "_col", F.col("lat").alias("_lat"), F.col("lng").alias("_lng"), "_value")
     matched = (
-        found.join(_beside(leaf, count), keys[-1])
+        found.join(_beside(places_in, counts[0]), ["_level", "_row", "_col"])
         .withColumn("_d", _distance("_lat", "_lng"))
         .where(F.col("_d") <= radius_km)
         .groupBy(*point_key)

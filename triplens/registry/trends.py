@@ -219,12 +219,12 @@ def hot_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as places; the first part of a name is shared by several."""
+    """Suppliers as places, up to some hundred kilometres from a user's; the first part of a name is shared by several."""
     key = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("Place "), F.col("s_nationkey").cast("string"), F.lit(", "), F.col("s_name")).alias("name"),
-        ((key * 37 % 1200) / 10.0 - 60.0).alias("latitude"),
-        ((key * 101 % 3600) / 10.0 - 180.0).alias("longitude"),
+        (key * 7 % 120 - 60 + (key * 37 % 50) / 10.0 - 2.5).alias("latitude"),
+        (key * 21 % 340 - 170 + (key * 101 % 60) / 10.0 - 3.0).alias("longitude"),
     )
 
 
@@ -352,7 +352,8 @@ spots AS (
 _NEARBY = f"""
 places AS (
   SELECT 'Place ' || CAST(s_nationkey AS VARCHAR) AS name,
-         (s_suppkey * 37 % 1200) / 10.0 - 60.0 AS lat, (s_suppkey * 101 % 3600) / 10.0 - 180.0 AS lng
+         s_suppkey * 7 % 120 - 60 + (s_suppkey * 37 % 50) / 10.0 - 2.5 AS lat,
+         s_suppkey * 21 % 340 - 170 + (s_suppkey * 101 % 60) / 10.0 - 3.0 AS lng
   FROM supplier),
 near AS (
   SELECT DISTINCT latitude, longitude, name FROM grouped, places
