@@ -75,12 +75,30 @@ def tagging_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TAGGING_TOKEN), 0)
 
 
-def byte_levenshtein(left: Column, right: Column) -> Column:
-    """Edit distance over UTF-8 bytes (the built-in counts characters)."""
-    def as_bytes(text: Column) -> Column:
-        return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+def as_bytes(text: Column) -> Column:
+    """A text with one character for each byte of its UTF-8 form."""
+    return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
 
-    return F.levenshtein(as_bytes(left), as_bytes(right))
+
+def byte_levenshtein(left: Column, right: Column, most: int | None = None) -> Column:
+    """Edit distance over UTF-8 bytes (the built-in counts characters); -1 if it is over ``most``."""
+    return F.levenshtein(as_bytes(left), as_bytes(right), most)
+
+
+def least_edits(text: Column, target: str) -> Column:
+    """A bound that the byte edit distance to ``target`` does not fall below, from byte counts alone.
+
+    An edit takes away at most one of the bytes that the text has more often than the target, and adds at
+    most one of those that it has less often.
+    """
+    held = target.encode().decode("latin-1")
+    own = as_bytes(text)
+    length = F.char_length(own)
+    more = F.char_length(F.translate(own, held, "")) if held else length
+    for byte in sorted(set(held)):
+        count = length - F.char_length(F.translate(own, byte, ""))
+        more = more + F.greatest(count - held.count(byte), F.lit(0))
+    return F.greatest(more, more + len(held) - length)
 
 
 def nearest_token_distance(name: Column, tokens: Iterable[str]) -> Column:
@@ -91,16 +109,27 @@ def nearest_token_distance(name: Column, tokens: Iterable[str]) -> Column:
     return F.array_min(F.array(*distances))
 
 
-# An anchor with an href, the value in either quotes or bare; other attributes may come first.
-ANCHOR_HREF = (
-    r"""(?i)<a(?=\s)(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*"""
-    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# What may stand in a tag: a name, and a value in either quotes or bare.
+_NAME = r"""[^\s/>=][^\s/>=]*+"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_REST = rf"""(?:[\s/]++(?:{_NAME}(?:\s*+=\s*+{_VALUE})?+)?+)*+"""
+# One pass over a page: a comment, an element whose content is no markup, an anchor with its first href
+# (the only group 2), any other tag. What an unclosed comment or element hides goes up to the end.
+MARKUP = (
+    r"""(?is)<!--(?:-?>|.*?(?:--!?>|\z))"""
+    rf"""|<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>]){_REST}[\s/]*+>.*?(?:</\1(?=[\s/>])|\z)"""
+    rf"""|<a(?:[\s/]++(?!href[\s=])(?:{_NAME}(?:\s*+=\s*+{_VALUE})?+))*+[\s/]++href\s*+=\s*+({_VALUE}){_REST}[\s/]*+>"""
+    rf"""|</?[a-z][^\s/>]*+{_REST}[\s/]*+>"""
 )
 
 
 def hrefs(html: Column) -> Column:
-    """The href of every anchor of the page, in order, character references decoded."""
-    values = F.regexp_extract_all(html, F.lit(ANCHOR_HREF), 1)
+    """The href of every anchor of the page, in order, character references decoded.
+
+    Anchors within comments, scripts, styles, text areas and the like, or within the value of
+    another tag's attribute, are none.
+    """
+    values = F.filter(F.regexp_extract_all(html, F.lit(MARKUP), 2), lambda value: value != "")
     bare = F.transform(values, lambda value: F.regexp_replace(value, r"""^["']|["']$""", ""))
     return F.transform(bare, decode_references)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,36 +32,80 @@ def extract_images(pages: DataFrame, host: str, prefix: str = "/wiki/") -> DataF
     return urls.select(image_name(F.col("url"), f"{host}{prefix}File:").alias("name"), "url")
 
 
+# Sources of a frontier up to this number are named to the scan as constants.
+FEW_SOURCES = 1000
+
+
+class LinkLayout:
+    """Links (src, dst) in a table bucketed by source, whose sources with a large share lie under salts.
+
+    Links are shuffled once, when the table is written. ``from_sources`` joins with the table where it
+    lies: the sources asked for are dealt to its buckets, and a few of them are named to the scan,
+    which skips what the statistics of its sorted files rule out. Use it in a ``with`` block: the
+    table is dropped at the end.
+    """
+
+    def __init__(self, links: DataFrame, buckets: int | None = None):
+        spark = links.sparkSession
+        self.name = f"links_{uuid.uuid4().hex}"
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.hot = hot_keys(links, ["src"])
+        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
+        salted = links.select("src", "dst").join(F.broadcast(self.hot), "src", "left").select("src", salt.alias("salt"), "dst")
+        (
+            salted.repartition(buckets, "src", "salt").write.bucketBy(buckets, "src", "salt").sortBy("src", "salt")
+            .format("parquet").saveAsTable(self.name)
+        )
+        self.rows = spark.table(self.name)
+
+    def from_sources(self, sources: DataFrame, count: int) -> DataFrame:
+        """The links (src, dst) of ``sources`` (node, unique), which are ``count`` rows."""
+        salts = F.coalesce(F.sequence(F.lit(0), F.col("_salts") - 1), F.array(F.lit(0)))
+        asked = sources.select(F.col("node").alias("src")).join(F.broadcast(self.hot), "src", "left").select(
+            "src", F.explode(salts).alias("salt")
+        )
+        rows = self.rows
+        if count <= FEW_SOURCES:
+            rows = rows.where(F.col("src").isin([row["node"] for row in sources.select("node").collect()]))
+        return rows.join(asked.hint("merge"), ["src", "salt"]).select("src", "dst")
+
+    def __enter__(self) -> LinkLayout:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def bfs(links: DataFrame, seeds: DataFrame, depth: int = 2) -> tuple[DataFrame, DataFrame]:
     """Discover nodes level by level from ``seeds`` (column node) along ``links`` (src, dst).
 
     Returns ``visited`` (node, level) and the forest of discoveries (src, dst, level): each
-    node hangs below the lowest src of the level that finds it first. Every level combines
-    the finds of a node on the map side before the visited ones are taken out, and is stored,
-    so neither a popular target nor a long loop piles up work. The sources that hold a large
-    share of all links are counted once; their links are read by many tasks. ``links`` is
-    read once per level and should be a stored table.
+    node hangs below the lowest src of the level that finds it first. The links are laid out by
+    source once; every level then moves its frontier to them, not them to the frontier,
+    combines the finds of a node on the map side before the visited ones are taken out, and is
+    stored, so neither a popular target nor a long loop piles up work. ``links`` is read twice and
+    should be a stored table.
     """
     if depth < 1:
         raise ValueError("depth is at least 1")
-    hot = hot_keys(links, ["src"])
-    visited = seeds.select("node").distinct().withColumn("level", F.lit(0))
-    frontier = visited
+    visited = cut(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("level", F.lit(0)))
+    frontier, count = visited, visited.count()
     levels = []
-    for level in range(1, depth + 1):
-        found = (
-            salted_join(links.select("src", "dst"), frontier.select(F.col("node").alias("src")), ["src"], hot)
-            .groupBy("dst")
-            .agg(F.min("src").alias("src"))
-            .join(visited.select(F.col("node").alias("dst")), "dst", "left_anti")
-            .select("src", "dst", F.lit(level).alias("level"))
-        )
-        found = cut(found)
-        levels.append(found)
-        frontier = found.select(F.col("dst").alias("node"), "level")
-        visited = visited.unionByName(frontier)
-        if found.isEmpty():
-            break
+    with LinkLayout(links) as layout:
+        for level in range(1, depth + 1):
+            found = (
+                layout.from_sources(frontier, count)
+                .groupBy("dst")
+                .agg(F.min("src").alias("src"))
+                .join(visited.select(F.col("node").alias("dst")), "dst", "left_anti")
+                .select("src", "dst", F.lit(level).alias("level"))
+            )
+            found = cut(found)
+            levels.append(found)
+            frontier, count = found.select(F.col("dst").alias("node"), "level"), found.count()
+            visited = visited.unionByName(frontier)
+            if not count:
+                break
     forest = levels[0]
     for found in levels[1:]:
         forest = forest.unionByName(found)

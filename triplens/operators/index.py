@@ -102,7 +102,8 @@ def tag_tokens(
 ) -> Column:
     """Lower-cased tokens of a text as an array of (token, tag), tags taken from ``lexicon``.
 
-    Words outside the lexicon get ``default``; a punctuation mark is its own tag.
+    Words outside the lexicon get ``default``; a punctuation mark is its own tag. The lexicon becomes
+    part of the plan, so this is for some hundred words; :func:`tag_rows` takes a table of any size.
     """
     text = F.col(text) if isinstance(text, str) else text
     words_of: dict[str, list[str]] = {}
@@ -118,6 +119,37 @@ def tag_tokens(
     return F.transform(tagging_tokens(F.lower(text)), tagged)
 
 
+# A lexicon, counted, is broadcast up to this many words (some tens of megabytes).
+BROADCAST_WORDS = 500_000
+
+
+def tag_rows(
+    df: DataFrame, id_column: str, text: Column | str, lexicon: DataFrame, default: str = "NN"
+) -> DataFrame:
+    """One row (id, location, token, tag) per token, tags looked up in ``lexicon`` (token, tag).
+
+    Tokens are lower-cased and cut as :func:`tag_tokens` does; a punctuation mark is its own tag,
+    a word outside the lexicon, or without a tag there, gets ``default``; of several tags of a word the
+    smallest counts. A lexicon counted to be small is broadcast; a larger one meets each distinct token
+    once, and the tokens' rows are joined with what was found, frequent tokens spread over salts.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    tokens = df.select(id_column, F.posexplode(tagging_tokens(F.lower(text))).alias("location", "token"))
+    words = cut(lexicon.groupBy(F.lower("token").alias("token")).agg(F.min("tag").alias("_tag")))
+    if words.count() <= BROADCAST_WORDS:
+        found = tokens.join(F.broadcast(words), "token", "left")
+    else:
+        # The counts that tell which tokens are frequent also list them.
+        counts = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n")))
+        total = counts.agg(F.sum("_n").alias("_n"))
+        hot = counts.withColumn("_salts", salts_of(F.col("_n"), total.scalar()))
+        hot = cut(hot.where("_salts IS NOT NULL").select("token", "_salts"))
+        found = salted_join(tokens, counts.select("token").join(words, "token", "left"), ["token"], hot)
+    mark = F.when((F.char_length("token") == 1) & F.col("token").rlike(PUNCTUATION), F.col("token"))
+    tag = F.coalesce(mark, F.col("_tag"), F.lit(default))
+    return found.select(id_column, F.col("location").cast("long").alias("location"), "token", tag.alias("tag"))
+
+
 def noun_phrases(
     df: DataFrame, id_column: str, tagged: Column | str, legacy_drop_last: bool = False
 ) -> DataFrame:
@@ -131,10 +163,14 @@ def noun_phrases(
     """
     tagged = F.col(tagged) if isinstance(tagged, str) else tagged
     new_phrase = "\n"
+    # Marks that a caller's tokens hold are written as an escape and a letter.
+    escape, escaped = "\x1a", (("\x1a", "\x1ae"), (new_phrase, "\x1an"))
 
     def written(item: Column, at: Column) -> Column:
         before = F.get(F.col("_tagged"), at - 1)["tag"]
         word = F.lower(item["token"])
+        for plain, other in escaped:
+            word = F.replace(word, F.lit(plain), F.lit(other))
         return (
             F.when(~item["tag"].startswith("NN"), F.lit(""))
             .when((at > 0) & (before == item["tag"]), F.concat(F.lit(" "), word))
@@ -146,6 +182,14 @@ def noun_phrases(
     phrases = F.array_remove(F.split(line, new_phrase), "")
     if legacy_drop_last:
         phrases = F.slice(phrases, 1, F.greatest(F.size(phrases) - 1, F.lit(0)))
+
+    def read(phrase: Column) -> Column:
+        plain = phrase
+        for mark, other in reversed(escaped):
+            plain = F.replace(plain, F.lit(other), F.lit(mark))
+        return F.when(F.contains(phrase, F.lit(escape)), plain).otherwise(phrase)
+
+    phrases = F.transform(phrases, read)
     return (
         df.select(id_column, tagged.alias("_tagged"))
         .select(id_column, F.explode(phrases).alias("entity"))

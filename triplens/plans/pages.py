@@ -14,6 +14,7 @@ from triplens.functions.text import (
     visible_text,
 )
 from triplens.operators import graph
+from triplens.operators.edits import closest
 from triplens.operators.index import tokenize
 from triplens.operators.scoring import PAGE_WEIGHTS, Weights, rank, rescale_scores, score
 from triplens.session import cut
@@ -66,7 +67,9 @@ def _pages_of(pages: DataFrame, urls: DataFrame) -> DataFrame:
 
 
 def match_image(images: DataFrame, tokens: Sequence[str], k: int | None = 5) -> DataFrame:
-    """Images by the byte edit distance of their name to the closest query token."""
+    """Images by the byte edit distance of their name to the closest query token; few are compared in full."""
+    if k is not None:
+        return closest(images, "name", tokens, k, "levenshtein_dist", "url")
     ordered = images.withColumn(
         "levenshtein_dist", nearest_token_distance(F.col("name"), tokens)
     ).orderBy("levenshtein_dist", "url")
@@ -107,7 +110,7 @@ def rank_pages(
     weights: Weights = PAGE_WEIGHTS,
 ) -> DataFrame:
     """Chosen pages by weighted word scores, with their url."""
-    scores = rescale_scores(score(words, tokens, "uid", strict=True))
+    scores = rescale_scores(cut(score(words, tokens, "uid", strict=True)))
     with_url = scores.join(chosen.select("uid", "url"), "uid")
     return rank(with_url, "uid", weights, k)
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from triplens.functions.text import ENGLISH_STOP_WORDS, byte_levenshtein
 from triplens.operators import index as word_index
+from triplens.operators.edits import closest
 from triplens.operators.scoring import POST_WEIGHTS, Weights, rank, rescale_scores, score
+from triplens.operators.stems import StemDictionary
 from triplens.session import cut
 
 
@@ -29,11 +31,17 @@ def match_title(
     title: str = "title",
     id_column: str = "post_id",
 ) -> DataFrame:
-    """Posts by byte edit distance between title and question, closest first."""
+    """Posts by byte edit distance between title and question, closest first.
+
+    The closest ``k`` are found by bounds, and most titles are not compared in full. Posts without
+    title come last.
+    """
+    if ascending and k is not None:
+        return closest(posts, title, [question], k, "levenshtein_score", id_column)
     measured = posts.withColumn(
         "levenshtein_score", byte_levenshtein(F.col(title), F.lit(question))
     )
-    order = F.asc("levenshtein_score") if ascending else F.desc("levenshtein_score")
+    order = F.asc_nulls_last("levenshtein_score") if ascending else F.desc_nulls_last("levenshtein_score")
     ordered = measured.orderBy(order, id_column)
     return ordered if k is None else ordered.limit(k)
 
@@ -87,8 +95,11 @@ def rank_posts(
     id_column: str = "post_id",
     strict: bool = False,
 ) -> DataFrame:
-    """Posts by weighted word scores, with their url. ``word_map`` has (word, id, location)."""
-    scores = rescale_scores(score(word_map, tokens, id_column, strict))
+    """Posts by weighted word scores, with their url. ``word_map`` has (word, id, location).
+
+    The scores, a row a document, are stored: the extremes and the ranking read them.
+    """
+    scores = rescale_scores(cut(score(word_map, tokens, id_column, strict)))
     return rank(scores, id_column, weights, k).withColumn(
         "url", F.concat(F.lit(url_prefix), F.col(id_column).cast("string"))
     )
@@ -127,14 +138,20 @@ def words_asked(
     text: str = "text",
     stops: Iterable[str] = ENGLISH_STOP_WORDS,
     stem: bool = True,
+    dictionary: StemDictionary | None = None,
 ) -> DataFrame:
     """Occurrences (id, word, location) of the query's words in texts without a stored index.
 
-    The texts are read once: the occurrences, a small part of all, are stored and then serve
-    the look-up of known tokens, the scores and their extremes.
+    The occurrences, a small part of all, are stored and then serve the look-up of known tokens,
+    the scores and their extremes. With ``stem`` the texts' words are first added to the stem
+    ``dictionary`` (a new one if left out); the texts are then searched for the words that have
+    an asked stem, so no text meets a Python worker.
     """
-    words = word_index.tokenize(posts, id_column, text, stops, stem=stem)
-    return cut(words.where(F.col("word").isin(list(tokens))))
+    words = word_index.tokenize(posts, id_column, text, stops, stem=False)
+    if not stem:
+        return cut(words.where(F.col("word").isin(list(tokens))))
+    dictionary = dictionary or StemDictionary(posts.sparkSession)
+    return cut(dictionary.asked(words, list(tokens)))
 
 
 def rank_texts(
@@ -147,7 +164,8 @@ def rank_texts(
     text: str = "text",
     stops: Iterable[str] = ENGLISH_STOP_WORDS,
     stem: bool = True,
+    dictionary: StemDictionary | None = None,
 ) -> DataFrame:
     """:func:`rank_posts` straight from texts."""
-    asked = words_asked(posts, tokens, id_column, text, stops, stem)
+    asked = words_asked(posts, tokens, id_column, text, stops, stem, dictionary)
     return rank_posts(asked, tokens, k, weights, url_prefix, id_column)

@@ -26,12 +26,19 @@ LOW_THRESHOLD, HIGH_THRESHOLD = 1.0, 8.0
 
 
 def _varied_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages with their anchors written in other ways, and with hrefs that are no anchors."""
+    """The pages with their anchors written in other ways, and with hrefs and anchors that are none."""
     form = F.col("page_id") % 3
-    html = F.regexp_replace("html", "<head>", '<head><link rel="next" href="/style"><base data-href="/base">')
+    hidden = (
+        '<head><link rel="next" href="/style"><base data-href="/base"><!-- <a href="/comment">x</a> -->'
+        """<script type="x>y">var s = '<a href="/script">x</a>';</script><STYLE>/* <a href="/css"> */</STYLE >"""
+        """<textarea rows=2><a href="/area">x</a></textarea><img alt='<a href="/alt">x</a>'><!--><a x=1 href>"""
+    )
+    html = F.regexp_replace("html", "<head>", hidden)
     single = F.regexp_replace(html, '<a href="([^"]*)">', "<A class=k HREF = '$1'>")
     bare = F.regexp_replace(html, '<a href="([^"]*)">', '<a title="a > b" href=$1 data-href="/x">')
     html = F.when(form == 0, html).when(form == 1, single).otherwise(bare)
+    # What is left open hides the rest of a page.
+    html = F.concat(html, F.when(form == 0, '<!-- <a href="/open">').when(form == 1, '<script> <a href="/open">').otherwise('<a href="/open'))
     return table(spark, sf_dir, "pages", spread=True).withColumn("html", html)
 
 

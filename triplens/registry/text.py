@@ -35,6 +35,8 @@ LEXICON = {
     "and": "CC", "et": "CC", "und": "CC", "y": "CC", "is": "VBZ", "are": "VBP", "was": "VBD",
     "to": "TO", "it": "PRP", "this": "DT", "that": "DT", "er": "NNS", "es": "NNS", "st": "NNP",
 }
+# Tags of the lexicon table by the length of a word; what it lacks is a noun.
+LEXICON_TAGS = ["NN", "VB", "NNS", "IN", "NN", "JJ", "NNP"]
 ENTITIES = ["tion", "er", "zzyzx unknown"]
 
 DOC_TOKENS = tokens_cte("documents", "doc_id", "text", "doc_id")
@@ -175,16 +177,28 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _phrases(spark, sf_dir)
 
 
-def noun_phrases_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of over two letters of all documents, a tag for each by its length (over 10**5 at the bench's size)."""
     docs = table(spark, sf_dir, "documents", spread=True)
-    tagged = docs.select("doc_id", F.posexplode(word_index.tag_tokens("text", LEXICON)).alias("pos", "item"))
-    return word_index.noun_phrases_of_rows(tagged.select("doc_id", "pos", "item.*"), "doc_id", "pos")
+    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?U)\w+"), 0)).alias("token")).distinct()
+    length = F.char_length(F.lower("token"))
+    tags = F.array(*[F.lit(tag) for tag in LEXICON_TAGS])
+    return words.where(length > 2).select("token", F.get(tags, length % len(LEXICON_TAGS)).alias("tag"))
 
 
-def noun_phrases_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", spread=True)
-    tagged = word_index.tag_tokens("text", LEXICON)
-    return word_index.noun_phrases(docs, "doc_id", tagged, legacy_drop_last=True)
+    return word_index.tag_rows(docs, "doc_id", "text", _lexicon(spark, sf_dir))
+
+
+def noun_phrases_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags from a table of words."""
+    return word_index.noun_phrases_of_rows(_tagged_rows(spark, sf_dir), "doc_id", "location")
+
+
+def noun_phrases_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags from a table of words; the last phrase of a document is dropped."""
+    return word_index.noun_phrases_of_rows(_tagged_rows(spark, sf_dir), "doc_id", "location", legacy_drop_last=True)
 
 
 def entity_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +267,10 @@ _TAG_CASE = " ".join(
     f"WHEN token IN ({quoted(words)}) THEN '{tag}'" for tag, words in sorted(_WORDS_OF.items())
 )
 _WORD_CLASS = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}"
-_PHRASES = rf"""
+
+
+def _phrases_cte(tag_case: str) -> str:
+    return rf"""
 split AS (
   SELECT doc_id, regexp_extract_all(lower(text),
            '[{_WORD_CLASS}]+|[^{SQL_SPACE}{_WORD_CLASS}]') AS arr FROM documents),
@@ -261,7 +278,7 @@ placed AS (
   SELECT doc_id, unnest(arr) AS token, generate_subscripts(arr, 1) AS pos FROM split),
 tagged AS (
   SELECT *, CASE WHEN length(token) = 1 AND regexp_matches(token, '[^{_WORD_CLASS}]') THEN token
-                 {_TAG_CASE} ELSE 'NN' END AS tag FROM placed),
+                 {tag_case} ELSE 'NN' END AS tag FROM placed),
 marked AS (
   SELECT *, lag(tag) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM tagged),
 runs AS (
@@ -270,6 +287,12 @@ runs AS (
 phrases AS MATERIALIZED (
   SELECT doc_id, run, string_agg(token, ' ' ORDER BY pos) AS entity
   FROM runs WHERE starts_with(tag, 'NN') GROUP BY doc_id, run)"""
+
+
+_PHRASES = _phrases_cte(_TAG_CASE)
+_TABLE_PHRASES = _phrases_cte(
+    f"WHEN length(token) > 2 THEN ([{quoted(LEXICON_TAGS)}])[length(token) % {len(LEXICON_TAGS)} + 1]"
+)
 _ENTITY_LIST = """
 entity_list AS (
   SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS entity_id
@@ -353,8 +376,8 @@ SELECT post_id, title, CAST(levenshtein(title, '{QUESTION}') AS INTEGER) AS leve
 FROM (SELECT page_id AS post_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)
 ORDER BY levenshtein_score, post_id LIMIT 5""",
     "noun_phrases": f"WITH {_PHRASES} SELECT doc_id, entity FROM phrases",
-    "noun_phrases_of_rows": f"WITH {_PHRASES} SELECT doc_id, entity FROM phrases",
-    "noun_phrases_legacy": f"""WITH {_PHRASES}
+    "noun_phrases_of_rows": f"WITH {_TABLE_PHRASES} SELECT doc_id, entity FROM phrases",
+    "noun_phrases_legacy": f"""WITH {_TABLE_PHRASES}
 SELECT doc_id, entity FROM phrases p
 WHERE run < (SELECT max(run) FROM phrases q WHERE q.doc_id = p.doc_id)""",
     "entity_dictionary": f"WITH {_PHRASES}, {_ENTITY_LIST} SELECT entity, entity_id FROM entity_list",

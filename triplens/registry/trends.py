@@ -97,6 +97,29 @@ def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tweets of the searches' first pages and up to five pages that follow, in order.
+
+    A turn is a landed page. The pages of some conversations lead round in a circle, others name
+    a page that was not landed; every third search starts in the middle.
+    """
+    said = table(spark, sf_dir, "conversations")
+
+    def key(conv: Column, turn: Column) -> Column:
+        return F.concat_ws("-", F.lit("page"), conv.cast("string"), turn.cast("string"))
+
+    conv, turn = F.col("conv_id"), F.col("turn")
+    following = F.when((conv % 4 == 1) & (turn == 3), 1).when((conv % 4 == 2) & (turn == 2), 99).otherwise(turn + 1)
+    query = F.concat(F.lit("?q=travel&max_id="), key(conv, following))
+    pages = said.select(
+        conv.alias("conv_id"), key(conv, turn).alias("page"), feeds.next_page(query)["max_id"].alias("next"),
+        F.array(F.struct(_tweet_text().alias("text"), turn.alias("retweet_count"))).alias("statuses"),
+    ).repartition(7, "page")
+    first = said.where(turn == F.when(conv % 3 == 0, 2).otherwise(0)).select(conv.alias("chain"), key(conv, turn).alias("page"))
+    chain = feeds.follow_pages(pages, first, 5)
+    return feeds.statuses(chain, keep=["chain", "place"]).select("chain", "place", "text", "retweet_count")
+
+
 def hot_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     retweets = table(spark, sf_dir, "documents").select(
         F.col("n_chars").alias("count"), F.col("source").alias("title"), "text",
@@ -262,6 +285,7 @@ QUERIES = {
     "country_trends": country_trends,
     "clean_retweets": clean_retweets,
     "landed_feed": landed_feed,
+    "feed_chain": feed_chain,
     "hot_topics": hot_topics,
     "related_tags_top": related_tags_top,
     "related_tag_list": related_tag_list,
@@ -382,6 +406,19 @@ FROM cleaned""",
 SELECT CAST(conv_id AS VARCHAR) AS max_id, 'travel' AS q, count(*) AS tweets,
        CAST(sum(retweet_count) AS BIGINT) AS retweets
 FROM tweets WHERE text ILIKE '%la%' GROUP BY conv_id""",
+    "feed_chain": f"""WITH RECURSIVE {_TWEETS},
+pages AS (
+  SELECT conv_id, turn, text,
+         CASE WHEN conv_id % 4 = 1 AND turn = 3 THEN 1 WHEN conv_id % 4 = 2 AND turn = 2 THEN 99 ELSE turn + 1 END AS next
+  FROM tweets),
+chain AS (
+  SELECT conv_id, turn, next, text, CAST(0 AS BIGINT) AS place, [turn] AS seen FROM pages
+  WHERE turn = CASE WHEN conv_id % 3 = 0 THEN 2 ELSE 0 END
+  UNION ALL
+  SELECT p.conv_id, p.turn, p.next, p.text, c.place + 1, list_append(c.seen, p.turn)
+  FROM chain c JOIN pages p ON p.conv_id = c.conv_id AND p.turn = c.next
+  WHERE c.place < 5 AND NOT list_contains(c.seen, p.turn))
+SELECT conv_id AS chain, place, text, turn AS retweet_count FROM chain""",
     "hot_topics": """
 SELECT CAST(sum(n_chars) AS BIGINT) AS count, min((source, lang))[1] AS title, text,
        min((source, lang))[2] AS location, '' AS urls

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triplens import schemas
 from triplens.functions.text import parse_query_string
+from triplens.session import cut
 
 
 def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -53,6 +54,39 @@ def next_page(query: Column) -> Column:
     return parse_query_string(query)
 
 
+def follow_pages(pages: DataFrame, first: DataFrame, most: int) -> DataFrame:
+    """Landed search pages in the order a client that follows their links reads them.
+
+    ``pages`` has (page, next, and more): a page's own key and that of the page it names as the next
+    one. ``first`` has (chain, page), the page each search starts with. Returns (chain, place, and the
+    columns of ``pages``): the first page at place 0 and up to ``most`` further ones. A chain ends where the
+    next page is null or was not landed, and before a page that it already holds. A page landed twice
+    counts once, with its largest ``next``, and then the largest of its other columns.
+
+    Pointer jumping: after k rounds every page knows the page 2**k further on, and each chain holds its
+    first 2**k pages, so the rounds are the logarithm of ``most``. Only keys take part; the
+    pages themselves are joined at the end.
+    """
+    rest = [name for name in pages.columns if name not in ("page", "next")]
+    landed = pages.where("page IS NOT NULL")
+    jump = cut(landed.groupBy("page").agg(F.max("next").alias("to")))
+    # A link to a page that was not landed leads nowhere.
+    jump = cut(jump.join(jump.select(F.col("page").alias("to")), "to", "left_semi").select("page", "to"))
+    held = landed.select("page").distinct()
+    reached = cut(first.join(held, "page", "left_semi").select("chain", "page").distinct().withColumn("place", F.lit(0).cast("long")))
+    step = 1
+    while step <= most:
+        onward = reached.join(jump, "page").select("chain", F.col("to").alias("page"), (F.col("place") + step).alias("place"))
+        # A page met again on a circle keeps its first place.
+        reached = cut(reached.unionByName(onward).groupBy("chain", "page").agg(F.min("place").alias("place")))
+        step *= 2
+        if step <= most:
+            jump = cut(jump.join(jump.select(F.col("page").alias("to"), F.col("to").alias("further")), "to").select("page", F.col("further").alias("to")))
+    one = landed.groupBy("page").agg(F.max(F.struct("next", *rest)).alias("_landed"))
+    wanted = reached.where(F.col("place") <= most)
+    return wanted.join(one, "page").select("chain", "place", "page", "_landed.*")
+
+
 def photos_of(pages: DataFrame, column: str = "value") -> DataFrame:
     """Photos (id, tags) in landed JSON replies of a photo search."""
     parsed = F.from_json(F.col(column), schemas.PHOTO_PAGE)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -149,9 +152,47 @@ def replace_days(daily: DataFrame, path: str, day: str = "post_date") -> None:
     )
 
 
-def merge_daily(spark: SparkSession, base: str, daily: str, copy: str) -> DataFrame:
-    """The snapshot-and-overwrite merge: copy ``base``, then overwrite it with copy and daily."""
+def location_of(spark: SparkSession, name: str) -> str:
+    """Folder of a table's files."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
+# Parts a table's first folder from the batch that its present one holds.
+_MERGE_MARK = "--merge-"
+
+
+def merge_daily(spark: SparkSession, base: str, daily: str, copy: str, batch: str | None = None) -> DataFrame:
+    """The snapshot-and-overwrite merge: copy ``base``, then replace it by copy and daily.
+
+    The new rows are written beside the table, which is then switched to them in one step, so a
+    reader or a failure sees ``base`` before the merge or after it, never half. The folder carries the
+    name of the ``batch`` (letters, digits, _ and -): a rerun with that name starts over if the table was not
+    switched, and changes nothing if it was. ``copy`` keeps the rows from before. The folder left
+    behind is emptied. A partitioned table takes :func:`replace_days` instead.
+    """
+    batch = batch or uuid.uuid4().hex
+    if not re.fullmatch(r"[\w-]+", batch):
+        raise ValueError("a batch name has letters, digits, _ and - only")
+    before = location_of(spark, base)
+    if before.endswith(_MERGE_MARK + batch):
+        return spark.table(base)
+    if any(column.isPartition for column in spark.catalog.listColumns(base)):
+        raise ValueError(f"{base} is partitioned")
     snapshot(spark, base, copy)
-    both = merged(spark.table(copy), spark.table(daily))
-    _in_order_of(both, base).write.mode("overwrite").insertInto(base)
+    both = _in_order_of(merged(spark.table(copy), spark.table(daily)), base)
+    beside = before.split(_MERGE_MARK)[0] + _MERGE_MARK + batch
+    both.write.mode("overwrite").parquet(beside)
+    _switch(spark, base, beside)
+    _empty(spark, before, both.schema)
     return spark.table(base)
+
+
+def _switch(spark: SparkSession, name: str, path: str) -> None:
+    """One change in the catalog."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def _empty(spark: SparkSession, path: str, schema: StructType) -> None:
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
