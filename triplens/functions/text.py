@@ -5,7 +5,9 @@ Everything here is row-local, so it adds no shuffle to the plan it is used in.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,21 +160,19 @@ def visible_text(html: Column) -> Column:
     return decode_references(text)
 
 
-# Names of the characters U+00A0 to U+00FF in this order, and of some beyond.
-LATIN_REFERENCES = (
-    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr deg plusmn sup2 sup3 acute "
-    "micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest Agrave Aacute Acirc Atilde Auml Aring AElig "
-    "Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash "
-    "Ugrave Uacute Ucirc Uuml Yacute THORN szlig agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc "
-    "euml igrave iacute icirc iuml eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml "
-    "yacute thorn yuml"
-).split()
-CHARACTER_REFERENCES = {name: chr(0xA0 + at) for at, name in enumerate(LATIN_REFERENCES)} | {
-    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "ndash": "\u2013", "mdash": "\u2014",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "bull": "\u2022", "hellip": "\u2026",
-    "euro": "\u20ac", "trade": "\u2122",
-}
-REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+def _named_references() -> str:
+    """JSON of all names of HTML character references that end in a semicolon, the usual ones first.
+
+    Looking a name up goes through the map in this order.
+    """
+    usual = ["amp", "lt", "gt", "quot", "nbsp", "apos"]
+    names = [name[:-1] for name in html5 if name.endswith(";")]
+    names.sort(key=lambda name: (usual.index(name) if name in usual else len(usual), min(map(ord, html5[name + ";"])), name))
+    return json.dumps({name: html5[name + ";"].replace("\xa0", " ") for name in names})
+
+
+CHARACTER_REFERENCES = _named_references()
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def decode_references(text: Column) -> Column:
@@ -183,7 +183,7 @@ def decode_references(text: Column) -> Column:
     """
     between = F.split(text, REFERENCE)
     found = F.regexp_extract_all(text, F.lit(REFERENCE), 0)
-    names = F.create_map(*[F.lit(x) for pair in CHARACTER_REFERENCES.items() for x in pair])
+    names = F.from_json(F.lit(CHARACTER_REFERENCES), "map<string,string>")
 
     def character(reference: Column) -> Column:
         name = F.substring(reference, 2, F.char_length(reference) - 2)

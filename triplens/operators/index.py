@@ -11,7 +11,7 @@ from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
 from triplens.operators.ids import dense_ids, hashed, hashed_ids
 from triplens.operators.joins import salted_join, salts_of
-from triplens.session import cut
+from triplens.session import cut, stored
 
 
 def tokenize(
@@ -78,6 +78,8 @@ def build_entity_index(
 def _encoded(rows: DataFrame, key: str, id_column: str, ids: str) -> tuple[DataFrame, DataFrame]:
     if ids not in ("dense", "hashed"):
         raise ValueError("ids is 'dense' or 'hashed'")
+    # Dictionary and occurrences both come from what is stored here: texts are cut up once.
+    rows = stored(rows, "occurrences")
     if ids == "hashed":
         dictionary, exceptions = hashed_ids(rows.select(key).distinct(), key, id_column)
         own = rows.withColumn(id_column, hashed(key))

@@ -62,10 +62,11 @@ def match_entities(
     """
     if mode not in ("all", "any"):
         raise ValueError("mode is 'all' or 'any'")
-    known = entity_list.where(F.col("entity").isin(list(entities))).select("entity_id")
-    # At most one row per entity asked for, since entities are unique in the dictionary.
+    # At most one row per entity asked for, since entities are unique in the dictionary. As constants
+    # they let a scan of stored mentions skip all others.
+    known = [row["entity_id"] for row in entity_list.where(F.col("entity").isin(list(entities))).select("entity_id").collect()]
     mentions = (
-        entity_location.join(F.broadcast(known), "entity_id")
+        entity_location.where(F.col("entity_id").isin(known))
         .groupBy(id_column, "entity_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -73,8 +74,7 @@ def match_entities(
         F.count(F.lit(1)).alias("shared"), F.product(F.col("n").cast("double")).alias("combinations")
     )
     if mode == "all":
-        wanted = known.agg(F.count(F.lit(1)).alias("n")).scalar()
-        matched = per_post.where(F.col("shared") == wanted)
+        matched = per_post.where(F.col("shared") == len(known))
         count = F.col("combinations")
     else:
         matched, count = per_post, F.col("shared").cast("double")

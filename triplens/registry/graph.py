@@ -48,9 +48,10 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some letters are written as decimal, hexadecimal and named references."""
+    """Some letters are written as decimal, hexadecimal and named references; names of any length and unknown ones follow."""
     html = F.replace(F.replace("html", F.lit("é"), F.lit("&#233;")), F.lit("è"), F.lit("&#xE8;"))
     html = F.replace(F.replace(html, F.lit("ü"), F.lit("&uuml;")), F.lit("ñ"), F.lit("&ntilde;"))
+    html = F.concat(html, F.lit("&thetasym;&CounterClockwiseContourIntegral;&NotEqualTilde;&bogus;&amp;lt;"))
     pages = table(spark, sf_dir, "pages", spread=True).withColumn("html", html)
     return pages.select("page_id", visible_text(F.col("html")).alias("text"))
 
@@ -333,7 +334,7 @@ def _crawl_name(page: str) -> str:
 
 ORACLES = {
     "page_links": f"WITH {_LINKS} SELECT page_id, from_url, to_url FROM links",
-    "page_text": f"SELECT page_id, {_VISIBLE} AS text FROM pages",
+    "page_text": f"SELECT page_id, {_VISIBLE} || '\u03d1\u2233\u2242\u0338&bogus;&lt;' AS text FROM pages",
     "image_links": f"WITH {_IMAGES} SELECT name, url FROM images",
     "match_image": f"""WITH {_IMAGES}
 SELECT name, url, {_IMAGE_DISTANCE} AS levenshtein_dist FROM images

@@ -21,7 +21,7 @@ from triplens.registry.common import (
     tokens_cte,
 )
 from triplens.registry.stems import stems_cte
-from triplens.sources.tables import read_parquet, write_parquet, write_word_index
+from triplens.sources.tables import read_parquet, write_entity_index, write_parquet, write_word_index
 
 TOKENS = ["tion", "er", "st"]
 # The second token occurs nowhere.
@@ -221,6 +221,20 @@ def match_entities_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def match_entities_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two questions over one stored index: the documents that share all, or any, of their entities."""
+    known, located = word_index.build_entity_index(_phrases(spark, sf_dir), "doc_id")
+    path = fresh_path(spark, "entity-index")
+    write_parquet(known, f"{path}/entities")
+    write_entity_index(located, f"{path}/located", "doc_id")
+    names, mentions = read_parquet(spark, f"{path}/entities"), read_parquet(spark, f"{path}/located")
+    found = [
+        posts.match_entities(names, mentions, entities, 5, mode, URL_PREFIX, "doc_id").withColumn("mode", F.lit(mode))
+        for mode, entities in (("all", ENTITIES), ("any", ENTITIES))
+    ]
+    return found[0].unionByName(found[1])
+
+
 QUERIES = {
     "tokenize_positions": tokenize_positions,
     "page_token_positions": page_token_positions,
@@ -251,6 +265,7 @@ QUERIES = {
     "entity_location": entity_location,
     "match_entities": match_entities,
     "match_entities_any": match_entities_any,
+    "match_entities_indexed": match_entities_indexed,
 }
 
 _SCORED = f"WITH {DOC_TOKENS}, {naive_scores_cte(TOKENS, 'doc_id')}"
@@ -385,4 +400,6 @@ WHERE run < (SELECT max(run) FROM phrases q WHERE q.doc_id = p.doc_id)""",
 SELECT doc_id, entity_id FROM phrases JOIN entity_list USING (entity)""",
     "match_entities": _entity_match("product(n)", _ALL_KNOWN),
     "match_entities_any": _entity_match("count(*)", ""),
+    "match_entities_indexed": f"""SELECT *, 'all' AS mode FROM ({_entity_match('product(n)', _ALL_KNOWN)})
+UNION ALL SELECT *, 'any' AS mode FROM ({_entity_match('count(*)', '')})""",
 }

@@ -103,6 +103,12 @@ def write_word_index(
     ordered.write.mode("overwrite").parquet(path)
 
 
+def write_entity_index(mentions: DataFrame, path: str, id_column: str = "post_id") -> None:
+    """Store (id, entity_id) by ranges of (entity_id, id), so that a question reads its entities only."""
+    ordered = mentions.repartitionByRange("entity_id", id_column).sortWithinPartitions("entity_id", id_column)
+    ordered.write.mode("overwrite").parquet(path)
+
+
 def snapshot(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Replace ``target`` by a copy of the table ``source``."""
     drop_table(spark, target)
