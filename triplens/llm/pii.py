@@ -294,11 +294,15 @@ def disclosing_words(
     varied = stored(varied.join(held, ["text_key", "entity"]).join(entities.select("entity", "of_entity"), "entity"), "varied")
     texts = found.select("text_key", "text").join(several.select("text_key").distinct(), "text_key", "left_semi")
     words = stored(texts.mapInArrow(_words_of, "text_key binary, word string").distinct(), "words")
-    # A word supports a pair by two texts, or by two contexts in one.
-    wanted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word")
-    wanted = stored(wanted.union(varied.select("word")).distinct(), "wanted")
-    of_word = stored(document_counts(docs, wanted, text_column).join(wanted, "word", "left_semi"), "of-word")
     highest = classes.agg(F.max("bound")).first()[0] or 0.0
+    # A word supports a pair by two texts of one entity, or by two contexts in one text. Before anything
+    # is counted over all documents, words are left out that stand in more texts than any bound lets
+    # pass, and pairs whose word stands in more than their own bound.
+    held_by = words.groupBy("word").agg(F.count(F.lit(1)).alias("in_texts")).where((F.col("in_texts") > 1) & (F.col("in_texts") <= highest))
+    paired = words.join(held_by, "word").join(several.select("text_key", "entity", "bound"), "text_key").where("in_texts <= bound")
+    paired = paired.groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word")
+    wanted = stored(paired.union(varied.select("word")).distinct(), "wanted")
+    of_word = stored(document_counts(docs, wanted, text_column).join(wanted, "word", "left_semi"), "of-word")
     rare = stored(words.join(of_word.where(F.col("documents") <= highest), "word"), "rare")
     candidates = rare.join(several, "text_key").where(F.col("documents") <= F.col("bound"))
     counted = candidates.groupBy("entity", "word").agg(
@@ -343,8 +347,12 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         return pa.array(out, pa.list_(term))
 
     rows = stored(inspected(docs, id_column, text_column), "inspected")
-    found = rows.join(disclosing_words(docs, rows, text_column=text_column), "text_key", "left")
-    found = found.withColumn("_terms", located("text", "words"))
+    words = disclosing_words(docs, rows, text_column=text_column)
+    found = rows.where("text_key IS NOT NULL").join(words, "text_key", "left")
+    # Documents without an entity, which have no key, need no look-up.
+    kind = words.schema["words"].dataType
+    without = rows.where("text_key IS NULL").withColumn("words", F.lit(None).cast(kind))
+    found = found.unionByName(without).withColumn("_terms", located("text", "words"))
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.expr(_listed("base")).alias("base"),
