@@ -6,6 +6,7 @@ import gc
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +52,37 @@ def text_or_empty(column: str = "text") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Located:
+    """Rows of a Parquet scan, each with the ``key`` of its place in the files; ``columns`` are the rows' own, by name."""
+
+    def __init__(self, frame: DataFrame, columns: dict[str, Column]):
+        self.frame, self.columns = frame, columns
+        self.key = F.concat_ws(":", "_metadata.row_index", "_metadata.file_path")
+
+    def texts(self, id_column: str, text_column: str) -> DataFrame:
+        """(doc_id, text, key) of each row."""
+        return self.frame.select(
+            self.columns[id_column].alias("doc_id"), self.columns[text_column].alias("text"), self.key.alias("key")
+        )
+
+    def without(self, gone: DataFrame) -> DataFrame:
+        """The rows, with their own columns only, whose key is not in ``gone`` (key)."""
+        row = F.struct(*[column.alias(f"c{i}") for i, column in enumerate(self.columns.values())])
+        kept = self.frame.select(self.key.alias("key"), row.alias("row")).join(gone.select("key"), "key", "left_anti")
+        return kept.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(self.columns)])
+
+
+def located(docs: DataFrame) -> Located:
+    """``docs`` with a key for each row that does not depend on what the row holds.
+
+    The place in its file tells a row of a Parquet scan apart; anything else is stored as Parquet first.
+    """
+    try:
+        if "_metadata" not in docs.columns and docs.select("_metadata.file_path", "_metadata.row_index").schema:
+            return Located(docs, {name: docs[name] for name in docs.columns})
+    except AnalysisException:
+        pass  # not a scan of Parquet files
+    frame = stored(docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), "located")
+    return Located(frame, {name: frame[f"c{i}"] for i, name in enumerate(docs.columns)})

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplens.llm.common import WHITE, shared_path, stored, table, text_or_empty
+from triplens.llm.common import WHITE, located, shared_path, stored, table, text_or_empty
 
 
 class DigestIndex:
@@ -47,27 +47,31 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, digest): SHA-256 of each whole text with every run of white space as one space."""
+def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", key: Column | None = None) -> DataFrame:
+    """(doc_id, digest, key): SHA-256 of each whole text with every run of white space as one space."""
     plain = F.regexp_replace(text_or_empty(text_column), WHITE, " ")
-    return docs.select(F.col(id_column).alias("doc_id"), F.unhex(F.sha2(plain, 256)).alias("digest"))
+    key = F.lit(None).cast("string") if key is None else key
+    return docs.select(F.col(id_column).alias("doc_id"), F.unhex(F.sha2(plain, 256)).alias("digest"), key.alias("key"))
 
 
 def deduplicate(
-    docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text",
+    batch: str | None = None, key: Column | None = None,
 ) -> DataFrame:
     """Decide every row of ``docs`` against the index and the batch itself, then extend the index.
 
-    Returns (doc_id, digest, keep_id, group_size, kept). ``keep_id`` is the id of the row that
-    stays: that of an earlier batch if the index knows the text, else the smallest of the batch.
+    Returns (doc_id, digest, key, keep_id, group_size, kept). ``keep_id`` is the id of the row that
+    stays: that of another batch if the index knows the text, else the smallest of the batch. A batch
+    with a name can be run again, for instance after its driver was lost: what an earlier run of it added to the
+    index counts as its own, so the same rows are kept, and nothing is added twice.
     ``group_size`` counts the batch's rows of the text. The texts are read once; all joins are
     on 32-byte digests, and the counts combine on the map side, so a large group of copies costs
     each task one row.
     """
-    batch = uuid.uuid4().hex
-    rows = digests(docs, id_column, text_column).withColumn("row", F.monotonically_increasing_id())
+    batch = batch or uuid.uuid4().hex
+    rows = digests(docs, id_column, text_column, key).withColumn("row", F.monotonically_increasing_id())
     rows = stored(rows, "digests")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "row"))
     groups = rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
     groups = stored(groups.select("digest", "first.doc_id", "first.row", "group_size"), "groups")
     known = index.rows()
@@ -86,25 +90,21 @@ def deduplicate(
     )
     # Both sides are plain scans, so that a digest held by many rows is split at run time.
     return rows.join(decided, "digest").select(
-        "doc_id", "digest", "keep_id", "group_size",
+        "doc_id", "digest", "key", "keep_id", "group_size",
         F.coalesce(F.col("row") == F.col("kept_row"), F.lit(False)).alias("kept"),
     )
 
 
 def keep_first(
-    docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text", batch: str | None = None
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns.
+    """The rows of ``docs`` that stay, with their own columns, whatever their names.
 
-    A row repeated with its id and text is one row afterwards.
+    Rows are told apart by their place in the files, so of a row that is repeated one stays.
     """
-    winners = deduplicate(docs, index, id_column, text_column).where("kept")
-    winners = stored(winners.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")), "kept")
-    plain = F.regexp_replace(text_or_empty(text_column), WHITE, " ")
-    marked = docs.withColumn("_own_digest", F.unhex(F.sha2(plain, 256)))
-    same = (F.col(id_column).eqNullSafe(F.col("_id"))) & (F.col("_own_digest") == F.col("_digest"))
-    staying = marked.join(winners, same).dropDuplicates(["_id", "_digest"])
-    return staying.select(*[docs[name] for name in docs.columns])
+    rows = located(docs)
+    decided = deduplicate(rows.texts(id_column, text_column), index, batch=batch, key=F.col("key"))
+    return rows.without(stored(decided.where("NOT kept").select("key"), "gone"))
 
 
 def fresh_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
