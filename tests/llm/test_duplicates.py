@@ -3,9 +3,11 @@
 import hashlib
 import random
 
+import pytest
 from brute import components, normal, ngrams
 
 from triplens.llm import exact, jaccard
+from triplens.llm.common import stored
 from triplens.llm.components import components as spark_components
 
 SCHEMA = "doc_id long, text string, v long, c string, digest int"
@@ -52,12 +54,32 @@ def test_classes(spark):
     check(spark, corpus(1))
 
 
-def test_classes_with_frequent_ngrams_and_leaders(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_classes_with_frequent_ngrams_and_leaders(spark, monkeypatch, rounds):
+    """Without leaders the positional bound alone decides what is compared; a very long text takes part."""
     monkeypatch.setattr(jaccard, "FREQUENT", 2)
     monkeypatch.setattr(jaccard, "CHUNK_GRAMS", 1500)
-    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", 0)
-    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 1)
-    check(spark, corpus(2, 20))
+    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", rounds)
+    rows = corpus(2, 20)
+    long = " ".join(f"w{i % 7919}" for i in range(60_000))
+    check(spark, rows + [(1000, long), (1001, long + " end"), (999, "other " + long)])
+
+
+def test_positional_bound_keeps_links():
+    """Behind the last shared n-gram of two prefixes, sets share no more than the smaller rest."""
+    rng = random.Random(8)
+    import numpy as np
+
+    for _ in range(300):
+        a = {rng.randrange(10**6) for _ in range(rng.randrange(1, 60))}
+        b = {x if rng.random() < 0.95 else rng.randrange(10**6) for x in a}
+        late = np.array(sorted(rng.sample(sorted(a | b), len(a | b) // 3)), np.uint64)
+        order = jaccard.Order(late, np.array([rng.randrange(5) for _ in late]))
+        x, y = (order.prefix(np.array(sorted(s), np.uint64), 80).tolist() for s in (a, b))
+        shared = set(x) & set(y)
+        if shared:
+            most = len(shared) + min(len(a) - max(map(x.index, shared)), len(b) - max(map(y.index, shared))) - 1
+            assert len(a & b) <= most
 
 
 def test_no_rows(spark):
@@ -68,10 +90,41 @@ def test_no_rows(spark):
 def test_keep_one(spark):
     rows = [(5, "a b c d e f"), (3, "A b c d e f"), (9, "x"), (1, None), (None, "a b c d e f"), (None, "y")]
     kept = jaccard.keep_one(frame(spark, rows))
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([3, 9, 1, None, None], key=repr)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([3, 9, 1, None], key=repr)
     assert kept.columns == ["doc_id", "text", "v", "c", "digest"]
 
 
+def test_keep_one_decides_by_row(spark):
+    """Ids that name two texts, near copies without an id, and columns named like the operator's own."""
+    rows = [(4, "x y z u v w"), (4, "p q r s t u"), (3, "x y z u v w")] + [(None, "k l m n o p")] * 3 + [(7, ""), (7, None)]
+    df = spark.createDataFrame([(*row, 1, 2, 3, 4) for row in rows], "doc_id long, text string, _key int, row int, _metadata int, key int")
+    for kept in (jaccard.keep_one(df), jaccard.keep_one(stored(df, "test"))):
+        assert kept.columns == df.columns
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+        assert got == sorted([(4, "p q r s t u"), (3, "x y z u v w"), (None, "k l m n o p"), (7, ""), (7, None)], key=repr)
+
+
+def test_keep_first_decides_by_row(spark):
+    rows = [(5, "a  b"), (4, "a b"), (4, "c"), (None, "c"), (4, "c"), (None, None), (None, "")]
+    df = spark.createDataFrame([(*row, 1, 2, 3, 4) for row in rows], "doc_id long, text string, _id int, _digest int, key int, digest int")
+    for docs in (df, stored(df, "test")):
+        kept = exact.keep_first(docs, exact.fresh_index(spark, 4))
+        assert kept.columns == df.columns
+        got = sorted(((r.doc_id, normal(r.text)) for r in kept.collect()), key=repr)
+        assert got == sorted([(4, "a b"), (4, "c"), (None, "")], key=repr)
+
+
+def test_rerun_of_a_batch_keeps_the_same_rows(spark):
+    """The driver may be lost behind the append: the batch is then run again."""
+    index = exact.fresh_index(spark, 4)
+    exact.deduplicate(frame(spark, [(1, "old")]), index, batch="first").collect()
+    rows = [(9, "old"), (3, "x"), (2, "x"), (5, "y"), (None, "z")]
+    runs = [sorted(map(tuple, exact.deduplicate(frame(spark, rows), index, batch="second").select("doc_id", "keep_id", "group_size", "kept").collect()), key=repr) for _ in range(3)]
+    assert runs[0] == runs[1] == runs[2] and sum(r[3] for r in runs[0]) == 3
+    assert index.rows().count() == 4
+    index.forget()
+
+
 def test_components(spark):
     rng = random.Random(4)
     chain = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(rng.randrange(200, 230), rng.randrange(200, 230)) for _ in range(20)]

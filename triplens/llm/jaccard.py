@@ -6,9 +6,10 @@ fragment on its own and summed per pair; a pair that cannot reach the threshold
 fragments is dropped before the others are counted. No task ever needs more than two segments.
 
 Pairs come from prefixes: two sets over the threshold share k n-grams among the first
-``n - ceil(threshold * n) + k`` of each in the global order. Documents with the same set are one
+``n - ceil(threshold * n) + k`` of each in the global order, and what they can have in common behind the last
+of these is bounded by the smaller rest; pairs that this rules out are never counted. Documents with the same set are one
 vertex. What is asked for are the classes, so a group of thousands of near copies need not be
-expanded into all its pairs: the members of each shared n-gram are first compared with one
+expanded into all its pairs: by the first n-grams of their prefixes, vertices are first compared with one
 leader, and only pairs whose classes still differ are compared after that, all of them. The
 classes are those of the full join.
 
@@ -18,7 +19,8 @@ probability n**2 / 2**65.
 Defined results: null and empty texts have an empty set and are linked with nothing, their class
 is their own id; a text shorter than n words is one n-gram; repeated rows are in one class; a null
 id takes no part in the smallest id, and a class without any id has a null id; an empty table gives
-no rows; other columns are not looked at.
+no rows; other columns are not looked at. A very long text has a row of 0.2 n-grams for each of its own
+and nine segments.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplens.llm.common import discard, stored, table
+from triplens.llm.common import discard, located, stored, table
 from triplens.llm.components import components
 from triplens.llm.words import window_hashes, word_hashes
 
@@ -40,14 +42,15 @@ from triplens.llm.words import window_hashes, word_hashes
 #: right; the second bounds what is sent out.
 FREQUENT, MOST_FREQUENT, CHUNK_GRAMS = 8, 500_000, 3_000_000
 #: N-grams that two prefixes must share; fewer for sets that are smaller than this.
-SHARED = 4
+SHARED = 8
 #: Fragments of the order: eight ranges of hashes, then the frequent n-grams; and those counted at a time.
 FRAGMENTS = 8
 FRAGMENT_STEPS = [[0, 1], [2, 3], [4, 5], [6, 7, 8]]
 #: Bits (as a power of two) of the filter that tells whose segments are wanted; it only saves work.
 FILTER_BITS = 22
-#: Leaders are tried while more pairs are left over than this many per member of the postings.
-PAIRS_PER_MEMBER, LEADER_ROUNDS = 16, 2
+#: Rounds of comparisons with leaders, the places of a prefix that these look at, and how many of them
+#: two sets must share there. They only merge classes early; the last round looks at whole prefixes.
+LEADER_ROUNDS, LEAD_PLACES, LEAD_SHARED = 2, 8, 2
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
@@ -88,7 +91,8 @@ class Order:
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    key = F.lit(None).cast("string").alias("key")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), key)
 
 
 def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
@@ -96,7 +100,7 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 
 
 def make_sets(texts: DataFrame, n: int, percent: int, order: Order) -> DataFrame:
-    """(doc_id, v, n, prefix); ``v`` is null for an empty set."""
+    """(doc_id, key, v, n, prefix) of ``texts`` (doc_id, text, key); ``v`` is null for an empty set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,27 +110,27 @@ def make_sets(texts: DataFrame, n: int, percent: int, order: Order) -> DataFrame
                 sizes.append(len(grams))
                 vertices.append(vertex_of(grams) if len(grams) else None)
                 prefixes.append(order.prefix(grams, percent).tobytes() if len(grams) else b"")
-            yield _batch({"doc_id": (batch.column(0), None), "v": (vertices, pa.int64()),
+            yield _batch({"doc_id": (batch.column(0), None), "key": (batch.column(2), None), "v": (vertices, pa.int64()),
                           "n": (sizes, pa.int64()), "prefix": (prefixes, pa.binary())})
 
-    return texts.mapInArrow(sets, "doc_id long, v long, n long, prefix binary")
+    return texts.mapInArrow(sets, "doc_id long, key string, v long, n long, prefix binary")
 
 
-def entries_of(vertices: DataFrame) -> DataFrame:
-    """(h, v, n): one row per n-gram of each prefix."""
+def entries_of(vertices: DataFrame, places: int | None = None) -> DataFrame:
+    """(h, v, n, c, place): one row per n-gram of each prefix, or of its first ``places``, from a row per vertex."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes = [np.frombuffer(blob, "<i8") for blob in batch.column(2).to_pylist()]
+            prefixes = [np.frombuffer(blob, "<i8")[:places] for blob in batch.column(3).to_pylist()]
             lengths = [len(prefix) for prefix in prefixes]
             if sum(lengths):
                 yield _batch({
                     "h": (np.concatenate(prefixes), pa.int64()),
-                    "v": (np.repeat(batch.column(0).to_numpy(), lengths), pa.int64()),
-                    "n": (np.repeat(batch.column(1).to_numpy(), lengths), pa.int64()),
+                    **{name: (np.repeat(batch.column(at).to_numpy(), lengths), pa.int64()) for at, name in enumerate(("v", "n", "c"))},
+                    "place": (np.concatenate([np.arange(length) for length in lengths]), pa.int64()),
                 })
 
-    return vertices.select("v", "n", "prefix").mapInArrow(expand, "h long, v long, n long")
+    return vertices.select("v", "n", "c", "prefix").mapInArrow(expand, "h long, v long, n long, c long, place long")
 
 
 def frequent_order(texts: DataFrame, n: int) -> Order:
@@ -252,85 +256,100 @@ def _compatible(na: str, nb: str, percent: int):
     return 100 * low >= percent * high
 
 
-def classes(linked: DataFrame, parts_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
-    """(v, c) of all vertices that have a link, from the postings ``linked`` (h, v, n).
+def _mixed(held: DataFrame, round_: int) -> DataFrame:
+    """The n-grams held by several classes, each with a leader (v2, n2, c2): one of its vertices, another in each round."""
+    lead = F.min(F.struct(
+        F.xxhash64("v", F.lit(round_)).alias("r"), F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2")
+    ))
+    return held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), lead.alias("lead")).where(
+        "low < high"
+    ).select("h", "lead.v2", "lead.n2", "lead.c2")
 
-    ``parts_of`` gives the segments of given vertices (v).
+
+def _pairs(joined: DataFrame, percent: int, enough) -> DataFrame:
+    """(a, b, na, nb, k, ...) of vertices that share ``enough`` n-grams of ``joined``, a below b."""
+    swap = F.col("v") > F.col("v2")
+
+    def either(one: str, two: str):
+        return F.when(swap, F.col(two)).otherwise(F.col(one))
+
+    placed = "place2" in joined.columns
+    last = [F.max(name).alias(name) for name in ("la", "lb")] if placed else []
+    pairs = joined.where(_compatible("n", "n2", percent)).select(
+        F.least("v", "v2").alias("a"), F.greatest("v", "v2").alias("b"), either("n", "n2").alias("na"), either("n2", "n").alias("nb"),
+        *([either("place", "place2").alias("la"), either("place2", "place").alias("lb")] if placed else []),
+    )
+    return pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"), *last).where(F.col("k") >= enough)
+
+
+def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """(v, c) of all vertices that have a link, from ``vertices`` (v, n, prefix).
+
+    ``parts_of`` gives the segments of given vertices (v). Classes are joined to vertices, a row each, before
+    the prefixes are laid out.
     """
     labels, links, tested = None, None, None
     for round_ in range(LEADER_ROUNDS + 1):
-        held = linked.withColumn("c", F.col("v")) if labels is None else (
-            linked.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-        )
-        lead = F.min(F.struct(
-            F.xxhash64("v", F.lit(round_)).alias("r"), F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2")
-        ))
-        by_class = held.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"), lead.alias("lead")).groupBy("h").agg(
-            F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.min("lead").alias("lead")
+        last = round_ == LEADER_ROUNDS
+        classed = vertices.withColumn("c", F.col("v")) if labels is None else (
+            vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
         )
-        mixed = stored(by_class.where("q < s * s").select("h", "s", "q", "lead.*"), "mixed")
-        left, members = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-        if not left:
-            break
-        last = left <= PAIRS_PER_MEMBER * members or round_ == LEADER_ROUNDS
-        held = held.join(mixed.select("h", "v2", "n2", "c2"), "h")
+        held = entries_of(classed, None if last else LEAD_PLACES)
         if last:
-            held = stored(held.select("h", "v", "n", "c"), "held")
-            other = held.select("h", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
+            # Only the postings of n-grams that still are in several classes are joined with each other.
+            mixed = stored(_mixed(held, round_).select("h"), "mixed")
+            held = stored(held.join(mixed, "h"), "held")
+            other = held.select("h", *[F.col(name).alias(f"{name}2") for name in ("v", "n", "c", "place")])
             joined = held.join(other, "h").where("c < c2")
+            # The n-grams that two prefixes share are all counted here, and share one order: behind the last
+            # of them, two sets have in common at most what is left of the smaller rest.
+            enough = F.least(F.lit(SHARED), F.floor((percent * F.least("na", "nb") + 99) / 100))
+            most = F.col("k") + F.least(F.col("na") - F.col("la"), F.col("nb") - F.col("lb")) - 1
+            reachable = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
+            pairs = _pairs(joined, percent, enough).where(reachable)
         else:
-            joined = held.where("c <> c2")
-        swap = F.col("v") > F.col("v2")
-        pairs = joined.where(_compatible("n", "n2", percent)).select(
-            F.least("v", "v2").alias("a"), F.greatest("v", "v2").alias("b"),
-            F.when(swap, F.col("n2")).otherwise(F.col("n")).alias("na"),
-            F.when(swap, F.col("n")).otherwise(F.col("n2")).alias("nb"),
-        )
-        # The last round sees every n-gram that two prefixes share; the others need not.
-        enough = F.least(F.lit(SHARED), F.floor((percent * F.least("na", "nb") + 99) / 100))
-        pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= enough).drop("k")
+            joined = held.join(_mixed(held, round_), "h").where("c <> c2")
+            pairs = _pairs(joined, percent, F.least(F.lit(LEAD_SHARED), "na", "nb"))
+        pairs = pairs.select("a", "b", "na", "nb")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        compared = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
-        parts = parts_of(compared)
+        if pairs.isEmpty():
+            continue
+        parts = parts_of(pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct())
         found = verified(pairs, parts, percent)
         discard(parts)
         links = found if links is None else links.unionByName(found)
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         labels = components(links)
-        if last:
-            break
     return labels
 
 
-def similarity_classes(
-    docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
-    texts = _texts(docs, id_column, text_column)
+def _classified(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, known): the sets of ``texts`` (doc_id, text, key) and (v, c, first_id), the class and smallest id of each vertex."""
     order = frequent_order(texts, n)
     sets = stored(make_sets(texts, n, percent, order), "sets")
     vertices = sets.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("first_id"))
     vertices = stored(vertices, "vertices")
-    # Of the documents with one set, the first speaks for all.
-    own = sets.select("doc_id", F.col("v").alias("v1"), "n", "prefix").join(
-        vertices, (F.col("v") == F.col("v1")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    )
-    entries = entries_of(own)
-    counts = stored(entries.groupBy("h").count().where("count > 1").select("h"), "counts")
-    linked = stored(entries.join(counts, "h"), "linked")
+    # Of the documents with one set, one speaks for all.
+    own = stored(sets.where("v IS NOT NULL").groupBy("v").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "own")
 
     def parts_of(compared: DataFrame) -> DataFrame:
         return stored(segments(texts, n, order, vertices.join(compared, "v")), "segments")
 
-    labels = classes(linked, parts_of, percent)
+    labels = classes(own, parts_of, percent)
     if labels is None:
-        known = vertices.withColumnRenamed("first_id", "component_id")
-    else:
-        known = stored(vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v")), "known")
-        smallest = stored(known.groupBy("c").agg(F.min("first_id").alias("component_id")), "smallest")
-        known = stored(known.join(smallest, "c").select("v", "component_id"), "classes")
+        return sets, vertices.withColumn("c", F.col("v"))
+    return sets, stored(vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v")), "known")
+
+
+def similarity_classes(
+    docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
+    sets, known = _classified(_texts(docs, id_column, text_column), n, percent)
+    smallest = known.groupBy("c").agg(F.min("first_id").alias("component_id"))
+    known = stored(known.join(smallest, "c").select("v", "component_id"), "classes")
     return sets.select("doc_id", "v", "n").join(known, "v", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -338,13 +357,19 @@ def similarity_classes(
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows whose id is the smallest of their class, and those without an id.
+    """Of each class of near duplicates the row with the smallest id; rows with an empty set all stay.
 
-    Rows with the same id stay or go together.
+    Rows are told apart by their place in the files, not by their id: a null id is larger than all others,
+    and of rows with one id any one stays, with its own text.
     """
-    found = similarity_classes(docs, n, percent, id_column, text_column)
-    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")
+    rows = located(docs)
+    texts = rows.texts(id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
+    sets, known = _classified(texts, n, percent)
+    classed = stored(sets.where("v IS NOT NULL").select("v", "doc_id", "key").join(known.select("v", "c"), "v"), "classed")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))).getField("key")
+    stays = classed.groupBy("c").agg(first.alias("key"))
+    gone = stored(classed.select("key").join(stays.select("key"), "key", "left_anti"), "gone")
+    return rows.without(gone)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
