@@ -9,7 +9,7 @@ Pairs come from prefixes: two sets over the threshold share k n-grams among the
 ``n - ceil(threshold * n) + k`` of each in the global order, and what they can have in common behind the last
 of these is bounded by the smaller rest; pairs that this rules out are never counted. Documents with the same set are one
 vertex. What is asked for are the classes, so a group of thousands of near copies need not be
-expanded into all its pairs: by the first n-grams of their prefixes, vertices are first compared with one
+expanded into all its pairs: by a few n-grams of their prefixes, vertices are first compared with one
 leader, and only pairs whose classes still differ are compared after that, all of them. The
 classes are those of the full join.
 
@@ -43,14 +43,14 @@ from triplens.llm.words import window_hashes, word_hashes
 FREQUENT, MOST_FREQUENT, CHUNK_GRAMS = 8, 500_000, 3_000_000
 #: N-grams that two prefixes must share; fewer for sets that are smaller than this.
 SHARED = 8
-#: Fragments of the order: eight ranges of hashes, then the frequent n-grams; and those counted at a time.
-FRAGMENTS = 8
-FRAGMENT_STEPS = [[0, 1], [2, 3], [4, 5], [6, 7, 8]]
+#: Fragments of the order: four ranges of hashes, the frequent n-grams behind the last. One is counted at a time.
+FRAGMENTS = 4
 #: Bits (as a power of two) of the filter that tells whose segments are wanted; it only saves work.
 FILTER_BITS = 22
-#: Rounds of comparisons with leaders, the places of a prefix that these look at, and how many of them
-#: two sets must share there. They only merge classes early; the last round looks at whole prefixes.
-LEADER_ROUNDS, LEAD_PLACES, LEAD_SHARED = 2, 8, 2
+#: Members of n-grams are compared with leaders, for at most so many rounds, while more pairs are left over than this many
+#: per member. That looks at a few n-grams of each prefix, of which two sets must share some. It only merges
+#: classes early; the last round looks at whole prefixes.
+PAIRS_PER_MEMBER, LEADER_ROUNDS, LEAD_GRAMS, LEAD_SHARED = 16, 4, 8, 2
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
@@ -116,18 +116,26 @@ def make_sets(texts: DataFrame, n: int, percent: int, order: Order) -> DataFrame
     return texts.mapInArrow(sets, "doc_id long, key string, v long, n long, prefix binary")
 
 
-def entries_of(vertices: DataFrame, places: int | None = None) -> DataFrame:
-    """(h, v, n, c, place): one row per n-gram of each prefix, or of its first ``places``, from a row per vertex."""
+def _some_of(prefix: np.ndarray, count: int) -> np.ndarray:
+    """Places of a few n-grams of a prefix: those of smallest hash, so prefixes that overlap have some of them in common."""
+    if len(prefix) <= count:
+        return np.arange(len(prefix))
+    return np.argpartition(prefix.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), count)[:count]
+
+
+def entries_of(vertices: DataFrame, some: int | None = None) -> DataFrame:
+    """(h, v, n, c, place): one row per n-gram of each prefix, or of ``some`` of them, from a row per vertex."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes = [np.frombuffer(blob, "<i8")[:places] for blob in batch.column(3).to_pylist()]
-            lengths = [len(prefix) for prefix in prefixes]
+            prefixes = [np.frombuffer(blob, "<i8") for blob in batch.column(3).to_pylist()]
+            places = [np.arange(len(p)) if some is None else _some_of(p, some) for p in prefixes]
+            lengths = [len(chosen) for chosen in places]
             if sum(lengths):
                 yield _batch({
-                    "h": (np.concatenate(prefixes), pa.int64()),
+                    "h": (np.concatenate([p[chosen] for p, chosen in zip(prefixes, places)]), pa.int64()),
                     **{name: (np.repeat(batch.column(at).to_numpy(), lengths), pa.int64()) for at, name in enumerate(("v", "n", "c"))},
-                    "place": (np.concatenate([np.arange(length) for length in lengths]), pa.int64()),
+                    "place": (np.concatenate(places), pa.int64()),
                 })
 
     return vertices.select("v", "n", "c", "prefix").mapInArrow(expand, "h long, v long, n long, c long, place long")
@@ -208,8 +216,8 @@ def segments(texts: DataFrame, n: int, order: Order, wanted: DataFrame) -> DataF
                 place = _place(v, doc_id)
                 if not int(bits[place >> 6]) >> (place & 63) & 1:
                     continue
-                fragment = np.where(order.places(grams) >= 0, FRAGMENTS, (grams >> np.uint64(61)).astype(np.int64))
-                for f in range(FRAGMENTS + 1):
+                fragment = np.where(order.places(grams) >= 0, FRAGMENTS - 1, (grams >> np.uint64(62)).astype(np.int64))
+                for f in range(FRAGMENTS):
                     row = v, f, grams[fragment == f].view(np.int64), int((fragment > f).sum())
                     for column, value in zip(rows, row):
                         column.append(value)
@@ -220,30 +228,28 @@ def segments(texts: DataFrame, n: int, order: Order, wanted: DataFrame) -> DataF
 
 
 def _counted(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(a, b, common, gain): n-grams in common, counted in each fragment of ``parts`` and summed,
-    and how many more there can be in the fragments behind these."""
-    a = parts.select(F.col("v").alias("a"), "fragment", F.col("grams").alias("grams_a"), F.col("behind").alias("behind_a"))
-    b = parts.select(F.col("v").alias("b"), "fragment", F.col("grams").alias("grams_b"), F.col("behind").alias("behind_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, ["b", "fragment"])
-    counted = both.select(
-        "a", "b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("k"), F.least("behind_a", "behind_b").alias("gain")
+    """(a, b, common, gain): n-grams in common, counted in the one fragment of ``parts``,
+    and how many more there can be in the fragments behind it."""
+    a = parts.select(F.col("v").alias("a"), F.col("grams").alias("grams_a"), F.col("behind").alias("behind_a"))
+    b = parts.select(F.col("v").alias("b"), F.col("grams").alias("grams_b"), F.col("behind").alias("behind_b"))
+    counted = pairs.select("a", "b").join(a, "a").join(b, "b").select(
+        "a", "b", F.size(F.array_intersect("grams_a", "grams_b")).alias("k"), F.least("behind_a", "behind_b").alias("gain")
     )
     # A row of the corpus that occurs twice has its segments twice; they count once.
-    counted = counted.groupBy("a", "b", "fragment").agg(F.max("k").alias("k"), F.max("gain").alias("gain"))
-    return counted.groupBy("a", "b").agg(F.sum("k").alias("common"), F.min("gain").alias("gain"))
+    return counted.groupBy("a", "b").agg(F.max("k").alias("common"), F.max("gain").alias("gain"))
 
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` (a, b, na, nb) that reach the threshold.
 
-    Some fragments are counted at a time and stored. A pair can still gain at most the smaller
-    number of n-grams behind them; one that can't reach
+    A fragment is counted at a time and stored. A pair can still gain at most the smaller
+    number of n-grams behind it; one that can't reach
     ``overlap * 100 >= percent * (na + nb - overlap)`` even so goes. Behind the last fragment
     nothing is left to gain, so those that remain are the links.
     """
     state = pairs.withColumn("overlap", F.lit(0).cast("long"))
-    for fragments in FRAGMENT_STEPS:
-        counted = _counted(state, parts.where(F.col("fragment").isin(fragments)))
+    for fragment in range(FRAGMENTS):
+        counted = _counted(state, parts.where(F.col("fragment") == fragment))
         state = state.join(counted, ["a", "b"]).withColumn("overlap", F.col("overlap") + F.col("common"))
         reachable = (100 + percent) * (F.col("overlap") + F.col("gain")) >= percent * (F.col("na") + F.col("nb"))
         state = stored(state.where(reachable).select("a", "b", "na", "nb", "overlap"), "overlaps")
@@ -257,13 +263,14 @@ def _compatible(na: str, nb: str, percent: int):
 
 
 def _mixed(held: DataFrame, round_: int) -> DataFrame:
-    """The n-grams held by several classes, each with a leader (v2, n2, c2): one of its vertices, another in each round."""
+    """(h, s, q, v2, n2, c2) of the n-grams held by several classes: members, the sum of squares of each class's
+    members, and a leader, which is one of the vertices and another in each round."""
     lead = F.min(F.struct(
         F.xxhash64("v", F.lit(round_)).alias("r"), F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2")
     ))
-    return held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), lead.alias("lead")).where(
-        "low < high"
-    ).select("h", "lead.v2", "lead.n2", "lead.c2")
+    by_class = held.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"), lead.alias("lead"))
+    whole = by_class.groupBy("h").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.min("lead").alias("lead"))
+    return whole.where("q < s * s").select("h", "s", "q", "lead.v2", "lead.n2", "lead.c2")
 
 
 def _pairs(joined: DataFrame, percent: int, enough) -> DataFrame:
@@ -288,17 +295,21 @@ def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], per
     ``parts_of`` gives the segments of given vertices (v). Classes are joined to vertices, a row each, before
     the prefixes are laid out.
     """
-    labels, links, tested = None, None, None
-    for round_ in range(LEADER_ROUNDS + 1):
-        last = round_ == LEADER_ROUNDS
+    labels, links, tested, round_, last = None, None, None, 0, False
+    while not last:
         classed = vertices.withColumn("c", F.col("v")) if labels is None else (
             vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
         )
-        held = entries_of(classed, None if last else LEAD_PLACES)
+        some = entries_of(classed, LEAD_GRAMS)
+        mixed = stored(_mixed(some, round_), "mixed")
+        left, members = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
+        last = not left or left <= PAIRS_PER_MEMBER * members or round_ == LEADER_ROUNDS
+        round_ += 1
         if last:
             # Only the postings of n-grams that still are in several classes are joined with each other.
-            mixed = stored(_mixed(held, round_).select("h"), "mixed")
-            held = stored(held.join(mixed, "h"), "held")
+            held = entries_of(classed)
+            several = held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
+            held = stored(held.join(stored(several, "several"), "h"), "held")
             other = held.select("h", *[F.col(name).alias(f"{name}2") for name in ("v", "n", "c", "place")])
             joined = held.join(other, "h").where("c < c2")
             # The n-grams that two prefixes share are all counted here, and share one order: behind the last
@@ -308,7 +319,7 @@ def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], per
             reachable = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
             pairs = _pairs(joined, percent, enough).where(reachable)
         else:
-            joined = held.join(_mixed(held, round_), "h").where("c <> c2")
+            joined = some.join(mixed.drop("s", "q"), "h").where("c <> c2")
             pairs = _pairs(joined, percent, F.least(F.lit(LEAD_SHARED), "na", "nb"))
         pairs = pairs.select("a", "b", "na", "nb")
         if tested is not None:
