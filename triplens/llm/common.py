@@ -21,6 +21,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch. With texts of some kB, more of them make batches of tens of megabytes, which
+#: the JVM and each Python worker hold several times over.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the rows of an Arrow batch for the session, unless its owner has set them."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
@@ -28,6 +42,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finished step are let go, so that a chain of steps needs the disk of its largest step.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = shared_path(spark, name)
     df.write.parquet(path)
     del df
