@@ -19,8 +19,8 @@ probability n**2 / 2**65.
 Defined results: null and empty texts have an empty set and are linked with nothing, their class
 is their own id; a text shorter than n words is one n-gram; repeated rows are in one class; a null
 id takes no part in the smallest id, and a class without any id has a null id; an empty table gives
-no rows; other columns are not looked at. A very long text has a row of 0.2 n-grams for each of its own
-and nine segments.
+no rows; other columns are not looked at. Of a very long text, a fifth of the n-grams are
+postings, and its set is cut into four segments.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ from triplens.llm.words import window_hashes, word_hashes
 #: right; the second bounds what is sent out.
 FREQUENT, MOST_FREQUENT, CHUNK_GRAMS = 8, 500_000, 3_000_000
 #: N-grams that two prefixes must share; fewer for sets that are smaller than this.
-SHARED = 8
+SHARED = 2
 #: Fragments of the order: four ranges of hashes, the frequent n-grams behind the last. One is counted at a time.
 FRAGMENTS = 4
 #: Bits (as a power of two) of the filter that tells whose segments are wanted; it only saves work.
@@ -311,9 +311,11 @@ def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], per
             several = held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
             held = stored(held.join(stored(several, "several"), "h"), "held")
             other = held.select("h", *[F.col(name).alias(f"{name}2") for name in ("v", "n", "c", "place")])
-            joined = held.join(other, "h").where("c < c2")
-            # The n-grams that two prefixes share are all counted here, and share one order: behind the last
-            # of them, two sets have in common at most what is left of the smaller rest.
+            # Before the t-th n-gram that two sets share lie t - 1 shared ones, behind it at most the smaller rest. So
+            # the first SHARED ones of a linked pair stand where this holds, and all shared ones before those too.
+            room = SHARED - 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+            joined = held.join(other, "h").where("c < c2").where((100 + percent) * room >= percent * (F.col("n") + F.col("n2")))
+            # Behind the last of the n-grams counted here, two sets have in common at most the smaller rest.
             enough = F.least(F.lit(SHARED), F.floor((percent * F.least("na", "nb") + 99) / 100))
             most = F.col("k") + F.least(F.col("na") - F.col("la"), F.col("nb") - F.col("lb")) - 1
             reachable = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
