@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +38,12 @@ _ROWS, _IDS = 512, 1 << 20  # of a batch that leaves the encoder
 # Closes a word for the byte-pair encoder; texts that hold it go to the library.
 _MARK = "\x01"
 # Characters on whose class, lower case and composition all versions of Unicode since 4.0 agree.
-_SETTLED = regex.compile(
+_SETTLED = re.compile(
     r"[\t\n\r\x20-\x7E¡-ȠΑ-ΡΣ-ώА-я"
     r"‐-‧‰-⁞€、-〟ぁ-ゔァ-ヺ一-龥가-힣！-～]*"
 )
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# Letters and numbers of settled characters; \d has the decimal digits only, \w all numbers.
+_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾〇]+|[\d²³¹¼½¾〇]|(?:[^\s\w]|_)+")
 
 
 class WordBpe:
@@ -135,13 +135,14 @@ class TokenFiles:
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder, part, total = tokenizer(), TaskContext.get().partitionId(), 0
             for batch in batches:
-                keys, encoded, begun = batch.column(0), [], 0
+                keys, encoded, begun, size = batch.column(0), [], 0, 0
                 for at, text in enumerate(batch.column(1), 1):
                     encoded.append(encoder.ids(text.as_py()) + end)
-                    if at == len(batch) or len(encoded) == _ROWS or sum(map(len, encoded)) > 4 * _IDS:
+                    size += len(encoded[-1])
+                    if at == len(batch) or len(encoded) == _ROWS or size > 4 * _IDS:
                         out, total = _rows(part, total, keys.slice(begun, at - begun), encoded)
                         yield out
-                        encoded, begun = [], at
+                        encoded, begun, size = [], at, 0
 
         ordered = docs.select(
             F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"),
