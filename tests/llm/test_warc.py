@@ -118,6 +118,48 @@ def test_damage_costs_only_what_it_hits():
             assert all(x[1] == y[0] for x, y in zip(ends, ends[1:]))
 
 
+def kept(got):
+    return [warc._urn(f["warc-record-id"]) for _, _, f, _ in got if f is not None]
+
+
+def test_damage_in_a_member_of_several_records():
+    plain = chain(5, True)
+    before, after = gzip.compress(chain(1, True)[0], mtime=0), gzip.compress(plain[4], mtime=0)
+    bad = bytearray(plain[1])
+    bad[bad.index(b"page 1")] ^= 1
+    # A record with a wrong digest in a sound member costs no other record.
+    member = gzip.compress(b"".join([plain[0], bytes(bad), *plain[2:]]), mtime=0)
+    got = list(warc.salvage(before + member + after))
+    assert kept(got) == [0, 0, 2, 3, 4, 4]
+    gaps = [g for g in got if g[2] is None]
+    assert [g[:2] for g in gaps] == [(len(before), len(before) + len(member))]
+    assert gaps[0][3].startswith(f"bytes {len(plain[0])} to {len(plain[0]) + len(bad)} of")
+    # A member cut short, at the end of the file or before another one, keeps what was inflated.
+    member = gzip.compress(b"".join(plain), mtime=0)
+    for tail in (b"", after):
+        got = list(warc.salvage(before + member[:-12] + tail))
+        assert kept(got)[:6] == [0, 0, 1, 2, 3, 4][: len(kept(got))] and len(kept(got)) >= 5
+        assert [g[:2] for g in got if g[2] is None] == [(len(before), len(before) + len(member) - 12)]
+    # A wrong CRC leaves the records that pass their own digests, and none without one.
+    wrong = bytearray(member)
+    wrong[-6] ^= 1
+    assert kept(list(warc.salvage(bytes(wrong) + after))) == [0, 1, 2, 3, 4, 4]
+    bare = b"WARC/1.1\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    wrong = bytearray(gzip.compress(bare, mtime=0))
+    assert len([f for _, _, f, _ in warc.salvage(bytes(wrong)) if f is not None]) == 1
+    wrong[-6] ^= 1
+    assert [f for _, _, f, _ in warc.salvage(bytes(wrong))] == [None]
+
+
+def test_rows_of_a_damaged_member(spark, tmp_path):
+    folder = tmp_path / "z"
+    folder.mkdir()
+    member = gzip.compress(b"".join(chain(5, True)), mtime=0)
+    (folder / "part-00000").write_bytes(member[:-12] + gzip.compress(chain(1, True)[0], mtime=0))
+    rows = warc.read_archives(spark, str(folder)).where("gap IS NULL").select("page_id", "damaged_member").collect()
+    assert (0, False) in map(tuple, rows) and [r.page_id for r in rows if r.damaged_member][:4] == [0, 1, 2, 3]
+
+
 def test_gaps_are_logged(spark, tmp_path):
     path = tmp_path / "x"
     warc.write_archives(frame(spark, [(i, "u", f"page {i} " * 50) for i in range(20)]).coalesce(1), str(path))

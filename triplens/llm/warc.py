@@ -5,7 +5,10 @@ members, so files appear by the usual commit and a lost executor leaves no half
 must put something between two rows; that is an empty gzip member, so a file is a plain chain of
 members. The reader goes from record to record and checks the member's CRC, the record's form and
 its block digest. After a failed check it searches for the next gzip member or version line and
-goes on from there; the bytes passed over are returned as a quarantined gap with the reason.
+goes on from there; the bytes passed over are returned as a quarantined gap with the reason. The
+same is done in the content of a member: one bad record in it costs no other, and of a member that
+breaks off or fails its CRC those inflated records are kept that pass their own block digest. Such
+rows are marked ``damaged_member``, as no check covers their headers.
 
 Defined results: a null payload counts as empty; rows repeated with the largest id of their payload
 are all responses; a row without id is a revisit if a row with an id has the same payload, else a
@@ -33,6 +36,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _STEP = 1 << 16
 #: No version line stands within a header, so a header is sought no further than to the next one.
 _HEAD_END = re.compile(rb"\r\n\r\n|WARC/1\.[01]\r\n")
@@ -111,24 +115,58 @@ class Damage(Exception):
     """Why a place in a file can't be read."""
 
 
-def _member(data: memoryview, at: int) -> tuple[bytes, int]:
-    """What the gzip member at ``at`` holds, and its end."""
+def _member(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """(content, end, damage) of the gzip member at ``at``; of a damaged one, what was inflated before the error."""
     reader, out, end = zlib.decompressobj(31), [], at
-    try:
-        while not reader.eof:
-            if end >= len(data):
-                raise Damage("member ends early")
-            piece = data[end : end + _STEP]
+    while not reader.eof:
+        if end >= len(data):
+            return b"".join(out), end, "member ends early"
+        piece = data[end : end + _STEP]
+        before = reader.copy()
+        try:
             out.append(reader.decompress(piece))
-            end += len(piece)
-    except zlib.error as error:
-        raise Damage(f"member: {error}") from None
-    return b"".join(out), end - len(reader.unused_data)
+        except zlib.error as error:
+            # A call that fails gives nothing back, so the bytes up to the error go in one by one.
+            try:
+                for i in range(len(piece)):
+                    out.append(before.decompress(piece[i : i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), end, f"member: {error}"
+        end += len(piece)
+    return b"".join(out), end - len(reader.unused_data), ""
+
+
+def _inside(content: bytes, checked: bool) -> tuple[list[tuple[dict[str, str], bytes]], list[str]]:
+    """Good records of a member's content, and a line for each gap between them.
+
+    Where the member failed its check, only records that pass a digest of their own are good.
+    """
+    found, gaps, at, bad_from, reason = [], [], 0, None, ""
+    while at < len(content):
+        try:
+            fields, block, end = _record(content, at)
+            if not checked and not fields.get("warc-block-digest", "").startswith("sha1:"):
+                raise Damage("no digest in a damaged member")
+        except Damage as damage:
+            if bad_from is None:
+                bad_from, reason = at, str(damage)
+            ahead = _VERSION_LINE.search(content, at + 1)
+            at = ahead.start() if ahead else len(content)
+            continue
+        if bad_from is not None:
+            gaps.append(f"bytes {bad_from} to {at} of the member's content: {reason}")
+            bad_from = None
+        found.append((fields, block))
+        at = end
+    if bad_from is not None:
+        gaps.append(f"bytes {bad_from} to {len(content)} of the member's content: {reason}")
+    return found, gaps
 
 
 def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """(fields, block, end) of the record whose version line is at ``at``."""
-    if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
+    if not _VERSION_LINE.match(data, at):
         raise Damage("no version line")
     head = _HEAD_END.search(data, at + len(VERSION))
     if head is None:
@@ -164,17 +202,19 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
     """(start, end, fields, block) of each good record; (start, end, None, reason) of each gap.
 
     Places are bytes of the file; records and gaps follow each other and, with the empty members
-    between records, cover it.
+    between records, cover it. Good records of a member that also holds damage come right behind
+    its gaps and have their place.
     """
-    view, at, bad_from, reason = memoryview(data), 0, None, ""
+    view, at, bad_from, reason, rescued = memoryview(data), 0, None, "", []
     while at < len(data):
+        gaps: list[str] = []
         try:
             if view[at : at + 2] == b"\x1f\x8b":
-                content, end = _member(view, at)
-                found, inner = [], 0
-                while inner < len(content):
-                    fields, block, inner = _record(content, inner)
-                    found.append((fields, block))
+                content, end, damage = _member(view, at)
+                found, gaps = _inside(content, checked=not damage)
+                if damage:
+                    rescued += found
+                    raise Damage(damage)
             else:
                 fields, block, end = _record(data, at)
                 found = [(fields, block)]
@@ -186,12 +226,18 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
             continue
         if bad_from is not None:
             yield bad_from, at, None, reason
-            bad_from = None
+            for fields, block in rescued:
+                yield bad_from, at, fields, block
+            bad_from, rescued = None, []
+        for gap in gaps:
+            yield at, end, None, gap
         for fields, block in found:
             yield at, end, fields, block
         at = end
     if bad_from is not None:
         yield bad_from, len(data), None, reason
+        for fields, block in rescued:
+            yield bad_from, len(data), fields, block
 
 
 def _urn(value: str | None) -> int | None:
@@ -203,19 +249,22 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     """One row per record or gap of the files under ``path``.
 
     (file, start, end, gap, page_id, record_type, refers_to, url, payload_digest, payload_bytes,
-    payload): ``gap`` holds the reason and is null for records; digest and size of a response
-    are taken from its payload, those of a revisit from its header. A task holds one file at a
-    time, which the writer keeps small by ``records_per_file``.
+    payload, damaged_member): ``gap`` holds the reason and is null for records; digest and size of
+    a response are taken from its payload, those of a revisit from its header; ``damaged_member``
+    is true for a record whose member also holds a gap. A task holds one file at a time, which the
+    writer keeps small by ``records_per_file``.
     """
     names = ["file", "start", "end", "gap", "page_id", "record_type", "refers_to", "url",
-             "payload_digest", "payload_bytes", "payload"]
+             "payload_digest", "payload_bytes", "payload", "damaged_member"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(),
-             pa.string(), pa.string(), pa.int64(), pa.binary()]
+             pa.string(), pa.string(), pa.int64(), pa.binary(), pa.bool_()]
 
     def rows_of(file: str, data: bytes) -> Iterator[tuple]:
+        gap = None
         for start, end, fields, block in salvage(data):
             if fields is None:
-                yield file, start, end, block, *[None] * 7
+                gap = start, end
+                yield file, start, end, block, *[None] * 8
                 continue
             head, _, payload = block.partition(b"\r\n\r\n")
             kind = fields.get("warc-type")
@@ -227,7 +276,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 size, digest = len(payload), sha1_base32(payload)
             yield (file, start, end, None, _urn(fields.get("warc-record-id")), kind,
                    _urn(fields.get("warc-refers-to")), fields.get("warc-target-uri"), digest, size,
-                   payload if payloads and kind != "revisit" else None)
+                   payload if payloads and kind != "revisit" else None, (start, end) == gap)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +284,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 rows, held = [], 0
                 for row in rows_of(file.as_py(), content.as_py()):
                     rows.append(row)
-                    held += len(row[-1] or b"")
+                    held += len(row[-2] or b"")
                     if len(rows) == 5000 or held > 1 << 24:
                         yield batch_of(rows)
                         rows, held = [], 0
@@ -249,7 +298,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     schema = (
         "file string, start long, end long, gap string, page_id long, record_type string, "
-        "refers_to long, url string, payload_digest string, payload_bytes long, payload binary"
+        "refers_to long, url string, payload_digest string, payload_bytes long, payload binary, "
+        "damaged_member boolean"
     )
     return files.select("path", "content").mapInArrow(read, schema)
 
