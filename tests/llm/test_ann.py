@@ -38,7 +38,6 @@ def test_walk_is_in_order_of_distance():
 
 def test_recall_scores_and_ties(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ENTRIES", 100)
-    monkeypatch.setattr(ann, "BLOCK_QUERIES", 9)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16))
     rows = [(i, (centres[i % 20] + 0.3 * rng.normal(size=16)).tolist()) for i in range(1200)]

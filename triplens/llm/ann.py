@@ -7,8 +7,9 @@ their entries are reranked by the exact cosine. Codebooks and share are fitted o
 the share is the smallest tried that finds ``TARGET`` of the sample's true neighbours. Every row is
 indexed.
 
-Entries lie in blocks of a first-half centroid, large ones split by hash of the id; queries meet
-them in blocks too, so no task holds more than a block of either.
+Entries lie in blocks of a first-half centroid, large ones split by hash of the id. Every entry is
+sent once, to its block; the visits of the queries go to the blocks they look into and stream by,
+so a task holds one block of entries and one batch of visits.
 
 Defined results: vectors that are null, of another length than most, zero or with null or
 non-finite components take no part; rows with the query's own id are not its neighbours; a query
@@ -22,12 +23,12 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from triplens.llm.common import stored, table
+from triplens.llm.meet import meet
 
 #: Rows that codebooks and share are fitted on, in the mean, and the queries tried among them.
 SAMPLE, SAMPLE_QUERIES = 10_000, 300
@@ -35,7 +36,7 @@ CENTROIDS = 32
 #: Recall aimed at on the sample, and the shares tried.
 TARGET = 0.97
 SHARES = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.85, 1.0)
-BLOCK_ENTRIES, BLOCK_QUERIES = 4096, 1024
+BLOCK_ENTRIES = 4096
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -195,36 +196,32 @@ def search(
             )
 
     queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
-    query_parts = max(1, -(-queries.count() // BLOCK_QUERIES))
     visits = queries.mapInArrow(visit, "id long, vector array<double>, c1 long, cells array<long>, blocks array<long>")
-    visits = visits.select(
-        F.col("id").alias("query_id"), "vector", "c1", "cells", F.explode("blocks").alias("block"),
-        F.pmod(F.xxhash64("id"), F.lit(query_parts)).alias("part"),
-    )
+    visits = visits.select(F.col("id").alias("query_id"), "vector", "c1", "cells", F.explode("blocks").alias("block"))
     block_count = F.array(*[F.lit(b) for b in blocks])[F.col("c1").cast("int")]
-    dealt = entries.select(
-        "id", "vector", "c1", "c2", F.pmod(F.xxhash64("id"), block_count).cast("long").alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_parts - 1).cast("long"))).alias("part"),
-    )
-
-    def rerank(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or asked.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        rows, ids = np.stack(block["vector"].to_numpy()), block["id"].to_numpy()
-        cell, given = block["c2"].to_numpy(), np.stack(asked["vector"].to_numpy())
-        rough = unit(given) @ unit(rows).T
+    held = entries.select("id", "vector", "c1", "c2", F.pmod(F.xxhash64("id"), block_count).cast("long").alias("block"))
+
+    def block_of(batch: pa.RecordBatch) -> tuple:
+        vectors = _matrix(batch.column("vector"))
+        return batch.column("id").to_numpy(), batch.column("c2").to_numpy(), vectors, unit(vectors)
+
+    def rerank(block: tuple, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, cell, vectors, directions = block
+        given = _matrix(batch.column("vector"))
+        rough = unit(given) @ directions.T
         found = []
-        for at, (query_id, cells) in enumerate(zip(asked["query_id"].tolist(), asked["cells"])):
+        for at, (query_id, cells) in enumerate(zip(batch.column("query_id").to_pylist(), batch.column("cells"))):
             open_cells = np.zeros(counts.shape[1], bool)
-            open_cells[cells] = True
+            open_cells[cells.values.to_numpy()] = True
             seen = open_cells[cell] & (ids != query_id)
             if seen.any():
-                best = _best(ids[seen], rows[seen], given[at], rough[at][seen], k)
+                best = _best(ids[seen], vectors[seen], given[at], rough[at][seen], k)
                 found += [(query_id, vec_id, score) for vec_id, score in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        if found:
+            arrays = [pa.array(x, kind) for x, kind in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
-    keys = ["c1", "block", "part"]
-    found = dealt.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(rerank, result)
+    found = meet(held, visits, ["c1", "block"], block_of, rerank, result)
     place_of = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     ranked = found.withColumn("rank", place_of.cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
