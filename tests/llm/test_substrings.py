@@ -53,5 +53,22 @@ def test_against_brute_force(spark, monkeypatch):
     check(spark, rows, 35)
 
 
+def test_rows_without_id_and_long_texts(spark, monkeypatch):
+    rng = random.Random(2)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(60)] + passage) for _ in range(20)]
+    rows = [(None, text) for text in texts] + [(None, texts[0])] * 30 + [(5, text) for text in texts[:4]]
+    long = [f"v{rng.randrange(10**6)}" for _ in range(150_000)]
+    rows += [(7, " ".join(long[:70_000] + passage + long[70_000:])), (8, "x" * 400_000)]
+    check(spark, rows, 35)
+    # Equal rows are answered once, and each text without an id by itself.
+    found = substrings.repeated_windows(frame(spark, rows), 35).collect()
+    assert len(found) == 20 + 4 + 1 and all(len(row.hashes) == 1 for row in found)
+    # Copies met in chunks of their own are told the same.
+    monkeypatch.setattr(substrings, "CHUNK_WINDOWS", 1)
+    found = substrings.repeated_windows(frame(spark, rows[:-2]), 35).collect()
+    assert len(found) == 20 + 4 and all(len(row.hashes) == 1 for row in found)
+
+
 def test_empty(spark):
     assert substrings.remove_repeated(frame(spark, []), 35).count() == 0

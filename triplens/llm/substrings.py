@@ -9,9 +9,10 @@ chunk. The repeated windows of a document merge into maximal intervals, which ar
 Hashes have 64 bits: two different windows are taken for equal with probability n**2 / 2**65.
 
 Defined results: a null text has no words; a text of fewer words than a window stays whole;
-repeated rows repeat each other and lose all covered words; ids may be null or occur twice (what
-is sent for an id are hashes that repeat somewhere, which is right for every row of the id); an
-empty table gives no rows; other columns are not looked at.
+repeated rows repeat each other and lose all covered words; ids may be null or occur twice, as
+answers go by id and text (what is sent are hashes that repeat somewhere, which is right for every
+row); a very long text is a chunk by itself; an empty table gives no rows; other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplens.llm.common import stored, table
@@ -32,7 +33,6 @@ from triplens.llm.words import bucket_of, split, window_hashes, word_hashes
 CHUNK_WINDOWS = 1_000_000
 #: Bytes of text whose windows meet in one bucket, in the mean.
 BUCKET_BYTES = 6_000_000
-_NO_ID = -(1 << 63)
 
 
 def _u8(blob: bytes) -> np.ndarray:
@@ -97,8 +97,13 @@ def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _key(id_column: str, text_column: str) -> Column:
+    """Equal only for rows of equal id and text, which have the same repeated windows."""
+    return F.xxhash64(F.col(id_column).cast("long"), text_column)
+
+
 def repeated_windows(docs: DataFrame, width: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(key, hashes): for each document, the hashes of its windows that start twice or more."""
+    """(key, hashes): for each id and text, the hashes of its windows that start twice or more."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -128,15 +133,14 @@ def repeated_windows(docs: DataFrame, width: int, id_column: str = "doc_id", tex
         if keys:
             yield flush()
 
-    key = F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID))
-    sent = docs.select(key.alias("key"), F.col(text_column).alias("text")).mapInArrow(
+    sent = docs.select(_key(id_column, text_column).alias("key"), F.col(text_column).alias("text")).mapInArrow(
         send, "bucket long, chunk string, ids binary, places binary, once binary, many binary"
     )
     answers = sent.groupBy("bucket").applyInPandas(
         _repeated, "chunk string, ids binary, places binary, once binary"
     )
     found = answers.groupBy("chunk").applyInPandas(_by_document, "key long, hashes binary")
-    return found.groupBy("key").agg(F.collect_list("hashes").alias("hashes"))
+    return found.groupBy("key").agg(F.collect_set("hashes").alias("hashes"))
 
 
 def intervals_of(text: str | None, repeated: list[bytes] | None, width: int) -> tuple[list[bytes], np.ndarray]:
@@ -166,7 +170,7 @@ def remove_repeated(
     repeated = stored(repeated_windows(docs, width, id_column, text_column), "repeated")
     plain = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
-        F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("key"),
+        _key(id_column, text_column).alias("key"),
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
