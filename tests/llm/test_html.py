@@ -122,3 +122,11 @@ def test_text_of_page_without_head_end(labeller, spark):
     page = spark.read.parquet(PAGES).where("page_id = 1").first().html
     assert "</head>" in page and extracted(labeller, page)
     assert extracted(labeller, page.replace("</head>", "")) == extracted(labeller, page)
+
+
+def test_a_repeated_page_reaches_the_driver_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(html, "variants", lambda found, seed: (taken.extend(found), ([], []))[1])
+    rows = [(1, "u", "<p>the same page</p>")] * 500 + [(i, f"u{i}", f"<p>page {i}</p>") for i in range(2, 9)]
+    html.train(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=10**6)
+    assert len(taken) == 8

@@ -402,13 +402,18 @@ def variants(pages: list[list[tuple]], seed: int, per_page: int = 3) -> tuple[li
 
 
 def train(pages: DataFrame, sample: int = SAMPLE, seed: int = 0, url_column: str = "url", html_column: str = "html") -> BlockLabeller:
-    """A labeller fitted on about ``sample`` pages, which are what comes to the driver."""
+    """A labeller fitted on about ``sample`` distinct pages, which are what comes to the driver.
+
+    Equal pages are one page to learn from, so the many rows of a page that repeats don't arrive.
+    """
     labeller = BlockLabeller(seed)
     total = pages.count()
     parts = 1_000_000
     share = -(-parts * sample // max(1, total))
-    chosen = pages.where(F.pmod(F.xxhash64(url_column, html_column), F.lit(parts)) < share).select(html_column)
-    found = [leaves(row[0]) for row in chosen.collect()]
+    place = F.xxhash64(url_column, html_column)
+    chosen = pages.where(F.pmod(place, F.lit(parts)) < share).select(place.alias("place"), F.col(html_column).alias("html"))
+    chosen = chosen.dropDuplicates(["place"]).orderBy("place")
+    found = [leaves(row["html"]) for row in chosen.collect()]
     # A page of very many leaves teaches by parts of the length of usual pages.
     found = [page[i : i + 200] for page in found for i in range(0, len(page), 200)]
     sequences, labels = variants(found, seed)
