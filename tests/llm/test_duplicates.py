@@ -182,6 +182,21 @@ def test_exact(spark):
     assert exact.deduplicate(frame(spark, []), exact.fresh_index(spark, 4)).count() == 0
 
 
+def test_batches_decide_as_one(spark):
+    """The second batch holds copies of the first's texts; sizes and the rows kept are those of all rows."""
+    rows = [(7, "a  b"), (3, "a\n b"), (3, "a b"), (None, "a b"), (4, "A b"), (8, None), (2, ""), (6, " "), (None, "z"), (None, "z"), (1, "y" * 100_000), (9, "A b")]
+    index = exact.fresh_index(spark)
+    got = exact.in_batches(frame(spark, rows), index).collect()
+    want, groups = plain_exact(rows)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.digest.hex()) for r in got), key=repr) == want
+    assert sum(r.kept for r in got) == groups == index.rows().count()
+    assert index.rows().select("batch").distinct().count() == 2
+    # Whoever opens the index again works with the buckets it has.
+    assert exact.DigestIndex(spark, index.name, 99).buckets == index.buckets == 4
+    index.forget()
+    assert exact.in_batches(frame(spark, []), exact.fresh_index(spark)).count() == 0
+
+
 def test_index_side_is_not_shuffled(spark):
     index = exact.fresh_index(spark, buckets=4)
     index.append(spark.createDataFrame([(b"x", 1, "b")], "digest binary, keep_id long, batch string"))

@@ -22,11 +22,19 @@ from triplens.llm.common import WHITE, located, shared_path, stored, table, text
 class DigestIndex:
     """A catalog table (digest, keep_id, batch), bucketed and sorted by digest.
 
-    ``path`` keeps its files outside the warehouse; the table then is a name for them.
+    ``path`` keeps its files outside the warehouse; the table then is a name for them. A new index takes
+    ``buckets`` (the session's shuffle partitions if left out), one that exists keeps those it was made with.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64, path: str | None = None):
-        self.spark, self.name, self.buckets, self.path = spark, name, buckets, path
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, path: str | None = None):
+        self.spark, self.name, self.path = spark, name, path
+        self.buckets = self._made_with() or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _made_with(self) -> int | None:
+        if not self.spark.catalog.tableExists(self.name):
+            return None
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self.name}").where("col_name = 'Num Buckets'").first()
+        return int(described["data_type"])
 
     def append(self, rows: DataFrame) -> None:
         """Add rows; each bucket is written by one task, so a batch adds a file per bucket."""
@@ -107,16 +115,30 @@ def keep_first(
     return rows.without(stored(decided.where("NOT kept").select("key"), "gone"))
 
 
-def fresh_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
+def fresh_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
     """A new, empty index whose files lie in the shared folder."""
     name = f"llm_digests_{uuid.uuid4().hex}"
     return DigestIndex(spark, name, buckets, shared_path(spark, "digest-index"))
 
 
+def in_batches(docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` as two batches of ``index``, the smaller ids first: what deduplicate gives, group_size over both.
+
+    The second batch meets what the first has put into the index. Rows without id are in the second,
+    so of equal texts the row with the smallest id stays.
+    """
+    middle = docs.agg(F.percentile_approx(id_column, 0.5)).first()[0]
+    early = F.coalesce(F.col(id_column) <= F.lit(middle), F.lit(False))
+    first, second = (deduplicate(docs.where(part), index, id_column, text_column) for part in (early, ~early))
+    decided = stored(first.unionByName(second).drop("group_size"), "batches")
+    sizes = stored(decided.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size")), "sizes")
+    return decided.join(sizes, "digest")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of ``documents`` as the first batch of an index."""
+    """All of ``documents`` as the first two batches of an index."""
     index = fresh_index(spark)
-    decided = deduplicate(table(spark, sf_dir, "documents"), index)
+    decided = in_batches(table(spark, sf_dir, "documents"), index)
     index.forget()
     return decided.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
