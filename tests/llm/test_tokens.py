@@ -1,9 +1,13 @@
 """Token operators against the libraries they stand for, and against a plain first fit."""
 
+import hashlib
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
 from triplens.llm import packing, pieces
@@ -76,6 +80,25 @@ def test_character_map_takes_longest_prefix():
     assert origin.tolist() == [0, 0, 2, 3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_compiled_maps_equal_the_library(rule):
+    """The library's own maps of some 10**5 bytes: normalised text and the source of each character."""
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=False, escape_whitespaces=False, remove_extra_whitespaces=False)
+    spec = sentencepiece_model_pb2.NormalizerSpec.FromString(library.serialized_normalizer_spec())
+    assert len(spec.precompiled_charsmap) > 100_000
+    mine = pieces.CharacterMap(spec.precompiled_charsmap)
+    texts = [*ODD_TEXTS, "ﬁ ½ Ⅳ　ｱﾞ ガ e\u0301 Å ẞ", "".join(map(chr, range(0x20, 0xD800, 7))), "한국어 ﷺ 𝔘𝔫𝔦 " * 50]
+    for text in texts:
+        want, at = library.normalize(text, with_offsets=True)
+        out, origin = mine.apply(text.encode())
+        assert out.decode() == want, text
+        # The library counts characters; of ours, the first byte of each normalised character is looked at.
+        place = {len(text[:i].encode()): i for i in range(len(text) + 1)} if len(text) < 2000 else None
+        if place is not None:
+            heads = np.flatnonzero((np.frombuffer(out, np.uint8) & 0xC0) != 0x80)
+            assert [place[o] for o in origin[heads].tolist()] == list(at[: len(heads)]), text
+
+
 def plain_first_fit(lengths, capacity):
     free, where = [], {}
     for at in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
@@ -124,6 +147,33 @@ def test_packing_of_edge_rows(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_packed_ids_equal_tokenizers(spark):
+    """Start, length and CRC of every piece, cut from the ids of the library; only full pieces stand alone."""
+    texts = [*ODD_TEXTS, "word <|endoftext|> " * 1500, "a b " * 511 + "a", None]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = packing.pack_documents(frame(spark, [(i, t, "c", 1, "") for i, t in enumerate(texts)]), group_size=8).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    for at, text in enumerate(texts):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        rows = sorted((r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got if r.doc_id == at)
+        cuts = [ids[i : i + 1024] for i in range(0, len(ids), 1024)]
+        assert rows == [(1024 * i, len(c), zlib.crc32(c.tobytes()), len(ids)) for i, c in enumerate(cuts)], at
+    used = {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append(r.length)
+    assert all(sum(parts) <= 1024 for parts in used.values()) and all(len(parts) == 1 for parts in used.values() if 1024 in parts)
+
+
+def test_digests_equal_sentencepiece(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [*ODD_TEXTS, None, "long words here " * 20_000]
+    got = {r.doc_id: r for r in pieces.encode_digests(frame(spark, [(i, t, "c", 1, "") for i, t in enumerate(texts)])).collect()}
+    for at, text in enumerate(texts):
+        ids = library.encode(text or "", add_bos=True, add_eos=True)
+        want = [hashlib.sha256(x).hexdigest() for x in (np.array(ids, "<u4").tobytes(), library.decode(ids).encode())]
+        assert (got[at].n_tokens, got[at].ids_sha256, got[at].decoded_sha256) == (len(ids), *want), text
+
+
 def test_encoding_of_edge_rows(spark):
     docs = frame(spark, [(1, None, "c", 1, ""), (2, "", "c", 1, ""), (None, "a  b", "c", 1, ""), (None, "a  b", "c", 1, "")])
     got = pieces.encode_documents(docs).collect()

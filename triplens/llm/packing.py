@@ -189,14 +189,24 @@ def padded_length(used: int, capacity: int) -> int:
     return used if used & (used - 1) == 0 else capacity
 
 
+#: Ids of sequences that one full piece makes start here, above those of all groups.
+_FULL = 1 << 62
+
+
 def pack(pieces: DataFrame, capacity: int, group_size: int = 4096) -> DataFrame:
     """``pieces`` (a stored table with a ``length``) with sequence_id, offset and padded_length.
 
-    Groups hold ``group_size`` pieces in the mean: a row's group is a hash of its place in the
-    table, so neither equal rows nor equal ids meet in one group.
+    A full piece is a sequence by itself and is not shuffled. What is left is at most one piece a
+    document, its tail, so groups are of documents: ``group_size`` of them in the mean. A tail's group is a
+    hash of its place in the table, so neither equal rows nor equal ids meet in one group.
     """
-    groups = max(1, -(-pieces.count() // group_size))
-    dealt = pieces.withColumn(
+    full = pieces.where(F.col("length") == capacity).select(
+        "*", (F.lit(_FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        F.lit(padded_length(capacity, capacity)).cast("long").alias("padded_length"),
+    )
+    tails = pieces.where(F.col("length") < capacity)
+    groups = max(1, -(-tails.count() // group_size))
+    dealt = tails.withColumn(
         "_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("long")
     )
 
@@ -211,9 +221,10 @@ def pack(pieces: DataFrame, capacity: int, group_size: int = 4096) -> DataFrame:
         return part.drop(columns="_group")
 
     schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in pieces.schema.fields)
-    return dealt.groupBy("_group").applyInPandas(
+    packed = dealt.groupBy("_group").applyInPandas(
         fill, f"{schema}, sequence_id long, offset long, padded_length long"
     )
+    return full.unionByName(packed)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 1024, group_size: int = 4096) -> DataFrame:
