@@ -145,3 +145,20 @@ def test_search_pages(spark):
     # D is not linked and C lacks two words.
     assert sorted(row["url"] for row in rows) == ["A", "B"]
     assert rows[0]["ranking"] > rows[1]["ranking"] > 0
+
+
+def test_pagerank_computes_the_edges_once(spark):
+    """Edges cut out of pages are costly; each row of them is made once, however many rounds there are."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame
+
+    pairs = [(at, (at * 7 + k) % 50) for at in range(50) for k in range(3)]
+    edges = spark.createDataFrame(pairs, "src long, dst long").mapInPandas(counted, "src long, dst long")
+    ranks = graph.pagerank(spark.range(50), edges, tol=1e-6)
+    # Every page has three links and, but for their order, three linking to it.
+    assert ranks.count() == 50 and made.value == len(pairs)
+    assert abs(sum(row["pagerank"] for row in ranks.collect()) - 50) < 0.01

@@ -5,13 +5,13 @@ from __future__ import annotations
 import itertools
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from triplens.functions.text import hrefs, image_links, image_name, text_links
 from triplens.operators.ids import dense_ids
 from triplens.operators.joins import hot_keys, salted_join, salts_of
-from triplens.session import cut
+from triplens.session import cut, discard, stored
 
 # Ranks are sums of doubles whose order Spark does not fix; order by this many places.
 RANK_PLACES = 9
@@ -139,25 +139,30 @@ def pagerank(
     """Add ``pagerank`` to ``vertices``: reset + (1 - reset) * sum of rank / out-degree.
 
     All ranks start at ``reset``; the loop ends when no rank moves by ``tol`` or more. A caller
-    that sets ``max_iter`` gets an error, not ranks cut short, if more rounds are needed. The edges are laid out once, the few vertices with a large
-    share of the edges spread over salts, and each round then moves one row per vertex (and
-    salt) plus the map-side sums per target. One scalar per round reaches the driver.
+    that sets ``max_iter`` gets an error, not ranks cut short, if more rounds are needed. The edges are computed once and
+    laid out once, sorted, the few vertices with a large share of the edges spread over salts, and each round
+    then moves one row per vertex (and salt) plus the map-side sums per target. A round's ranks are
+    written by one job, which also observes how far they moved, and the round's before deleted; one scalar per
+    round reaches the driver.
     """
+    edges = stored(edges.select("src", "dst"), "links")
     degrees = cut(edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
     total = degrees.agg(F.sum("degree").alias("n"))
     salts = salts_of(F.col("degree"), total.scalar())
-    state = cut(
+    state = stored(
         vertices.select("id").join(degrees.withColumn("salts", salts), "id", "left").select(
             "id", "degree", "salts", F.lit(float(reset)).alias("rank")
-        )
+        ),
+        "ranks",
     )
-    hot = F.broadcast(state.where("salts IS NOT NULL").select(F.col("id").alias("src"), "salts"))
+    hot = F.broadcast(cut(state.where("salts IS NOT NULL").select(F.col("id").alias("src"), "salts")))
     salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")), F.lit(0)).cast("int")
     laid_out = (
         edges.select("src", "dst")
         .join(hot, "src", "left")
         .select("src", salt.alias("salt"), "dst")
         .repartition("src", "salt")
+        .sortWithinPartitions("src", "salt")
         .persist()
     )
     salts = F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array(F.lit(0)))
@@ -174,19 +179,23 @@ def pagerank(
                 .agg(F.sum("share").alias("incoming"))
             )
             rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("incoming", F.lit(0.0))
-            state = cut(
-                state.drop("moved").join(received, "id", "left").select(
-                    "id", "degree", "salts", rank.alias("rank"),
-                    F.abs(rank - F.col("rank")).alias("moved"),
-                )
+            seen = Observation()
+            before, state = state, stored(
+                state.join(received, "id", "left")
+                .select("id", "degree", "salts", rank.alias("rank"), F.abs(rank - F.col("rank")).alias("moved"))
+                .observe(seen, F.max("moved").alias("moved"))
+                .drop("moved"),
+                "ranks",
             )
-            moved = state.agg(F.max("moved")).first()[0]
+            moved = seen.get.get("moved")
+            discard(before)
             if moved is None or moved < tol:
                 break
             if done == max_iter:
                 raise RuntimeError(f"ranks still move by {moved} after {max_iter} rounds")
     finally:
         laid_out.unpersist()
+        discard(edges)
     ranks = state.select("id", F.col("rank").alias("pagerank"))
     if normalize:
         whole = ranks.agg(F.sum("pagerank") / F.count(F.lit(1))).scalar()
