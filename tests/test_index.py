@@ -3,10 +3,12 @@ from pyspark.sql import functions as F
 from triplens.operators import joins
 from triplens.operators.ids import dense_ids, hashed, hashed_ids
 from triplens.operators.index import (
+    _most_frequent,
     build_entity_index,
     build_word_index,
     noun_phrases,
     noun_phrases_of_rows,
+    tag_rows,
     tag_tokens,
     tokenize,
 )
@@ -120,3 +122,33 @@ def test_salts_follow_the_counts(spark, monkeypatch):
     small = spark.range(130).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     joined, plain = salted_join(big, small, ["k"]), big.join(small, "k")
     assert joined.count() == plain.count() == 5000 and joined.exceptAll(plain).isEmpty()
+
+
+def test_phrases_over_batches(spark):
+    """Phrases longer than a batch, null ids and words; the sorted tokens stream by, nothing is gathered or sorted again."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        tags = [(f"W{at}", "NN" if at < 40 else "VB" if at < 60 else "NNS") for at in range(90)]
+        tagged = {1: tags, 2: [("a", "NN"), (None, "NN"), ("b", None), ("c", "NN")], None: [("d", "NN"), ("e", "NN")]}
+        rows = [(key, at, *pair) for key, pairs in tagged.items() for at, pair in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "id int, pos int, token string, tag string").repartition(3)
+        long = [" ".join(f"w{at}" for at in range(40)), " ".join(f"w{at}" for at in range(60, 90))]
+        found = noun_phrases_of_rows(df, "id", "pos")
+        assert collected(found) == {1: long, 2: ["a", "c"], None: ["d e"]}
+        assert collected(noun_phrases_of_rows(df, "id", "pos", legacy_drop_last=True)) == {1: long[:1], 2: ["a"]}
+        plan = found._jdf.queryExecution().toString()
+        assert "Window" not in plan and "collect_list" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_tags_of_rows_are_found_without_sorting_them(spark):
+    """The smallest of a word's tags counts; of a lexicon with a row for each occurrence the repeated rows go by hash."""
+    text = spark.createDataFrame([(1, "Sea sea old")], "id long, text string")
+    lexicon = spark.createDataFrame([("sea", "ZZ"), ("Sea", "NNS"), ("sea", "NNS"), ("old", None)] * 50, "token string, tag string")
+    rows = tag_rows(text, "id", "text", lexicon)
+    assert [tuple(row) for row in rows.orderBy("location").collect()] == [
+        (1, 0, "sea", "NNS"), (1, 1, "sea", "NNS"), (1, 2, "old", "NN")]
+    counts = spark.createDataFrame([(f"w{n}", 1 << n) for n in range(12)] + [("x", 1), ("y", 1)], "token string, _n long")
+    assert sorted(row["token"] for row in _most_frequent(counts, 11).collect()) == sorted(f"w{n}" for n in range(1, 12))
+    assert _most_frequent(counts, 14).count() == 14 and _most_frequent(counts, 0).count() == 0

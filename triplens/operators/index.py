@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from triplens.functions.stem import stem_tokens
 from triplens.functions.text import ENGLISH_STOP_WORDS, PUNCTUATION, clean_tokens, tagging_tokens
@@ -121,7 +125,7 @@ def tag_tokens(
     return F.transform(tagging_tokens(F.lower(text)), tagged)
 
 
-# A lexicon, counted, is broadcast up to this many words (some tens of megabytes).
+# Words with their tags are broadcast up to this many (some tens of megabytes).
 BROADCAST_WORDS = 500_000
 
 
@@ -132,26 +136,43 @@ def tag_rows(
 
     Tokens are lower-cased and cut as :func:`tag_tokens` does; a punctuation mark is its own tag,
     a word outside the lexicon, or without a tag there, gets ``default``; of several tags of a word the
-    smallest counts. A lexicon counted to be small is broadcast; a larger one meets each distinct token
-    once, and the tokens' rows are joined with what was found, frequent tokens spread over salts.
+    smallest counts. A lexicon counted to be small is broadcast. Of a larger one the most frequent tokens' tags
+    are, so only the rows of rare tokens, of which none has a large share, are moved to meet theirs.
     """
     text = F.col(text) if isinstance(text, str) else text
     tokens = df.select(id_column, F.posexplode(tagging_tokens(F.lower(text))).alias("location", "token"))
-    words = cut(lexicon.groupBy(F.lower("token").alias("token")).agg(F.min("tag").alias("_tag")))
+    # The smallest string would be sought by sorting all rows, so repeated ones go first, by hash.
+    tags = cut(lexicon.select(F.lower("token").alias("token"), F.col("tag").alias("_tag")).distinct())
+    words = cut(tags.groupBy("token").agg(F.min("_tag").alias("_tag")))
     if words.count() <= BROADCAST_WORDS:
         found = tokens.join(F.broadcast(words), "token", "left")
     else:
-        # The counts that tell which tokens are frequent also list them.
         counts = cut(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n")))
-        total = counts.agg(F.sum("_n").alias("_n"))
-        hot = counts.withColumn("_salts", salts_of(F.col("_n"), total.scalar()))
-        hot = cut(hot.where("_salts IS NOT NULL").select("token", "_salts"))
-        found = salted_join(tokens, counts.select("token").join(words, "token", "left"), ["token"], hot)
+        common = cut(_most_frequent(counts, BROADCAST_WORDS).join(words, "token", "left"))
+        rare = tokens.join(F.broadcast(common.select("token")), "token", "left_anti")
+        found = tokens.join(F.broadcast(common), "token").unionByName(rare.join(words, "token", "left"))
     mark = F.when((F.char_length("token") == 1) & F.col("token").rlike(PUNCTUATION), F.col("token"))
     tag = F.coalesce(mark, F.col("_tag"), F.lit(default))
     return found.select(id_column, F.col("location").cast("long").alias("location"), "token", tag.alias("tag"))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The tokens (token) of ``counts`` (token, _n) from some power of two on, at most ``most`` of them.
+
+    If any are left out, more than ``most`` tokens are at least half as frequent as each of them, so none
+    of them has a large share.
+    """
+    power = F.floor(F.log2("_n"))
+    sizes = counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, taken = 64, 0
+    for row in sorted(sizes, reverse=True):
+        taken += row["n"]
+        if taken > most:
+            break
+        least = row["power"]
+    return counts.where(power >= least).select("token")
+
+
 def noun_phrases(
     df: DataFrame, id_column: str, tagged: Column | str, legacy_drop_last: bool = False
 ) -> DataFrame:
@@ -203,18 +224,67 @@ def noun_phrases_of_rows(
 ) -> DataFrame:
     """As :func:`noun_phrases`, for a table with one tagged token (id, order, token, tag) a row.
 
-    Tokens are numbered by run of equal tags with one window per document, which spills rather
-    than gathering a document in memory; only the words of one phrase are put together.
+    Documents are dealt out by id and their tokens sorted, which spills rather than gathering a document
+    in memory. The sorted tokens stream by in batches; only the words of a phrase that may go on are kept.
     """
-    in_order = Window.partitionBy(id_column).orderBy(order)
-    same = F.coalesce(F.lag("tag").over(in_order) == F.col("tag"), F.lit(False))
-    runs = (
-        tokens.withColumn("_new", F.when(same, 0).otherwise(1))
-        .withColumn("_run", F.sum("_new").over(in_order))
-        .where(F.col("tag").startswith("NN"))
-    )
-    if legacy_drop_last:
-        runs = runs.withColumn("_last", F.max("_run").over(Window.partitionBy(id_column)))
-        runs = runs.where(F.col("_run") < F.col("_last"))
-    words = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.lower("token").alias("word"))))
-    return runs.groupBy(id_column, "_run").agg(F.array_join(words["word"], " ").alias("entity")).drop("_run")
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+        """(ids, phrases) in order."""
+        last, parts = None, None  # the row before the batch, and the words of the phrase it is in
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, words, tags = batch.columns
+            before = last or batch.slice(0, 0)
+            same_tag = _same_as_before(tags, before.column(2)) & ~tags.is_null().to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(~(_same_as_before(ids, before.column(0)) & same_tag))
+            noun = pc.fill_null(pc.starts_with(tags, "NN"), False).to_numpy(zero_copy_only=False)
+            if parts is not None:
+                parts.append(words.slice(0, starts[0] if len(starts) else len(batch)))
+                if len(starts):
+                    yield before.column(0), _joined(pa.concat_arrays(parts), np.zeros(1, np.int64))
+                    parts = None
+            if len(starts):
+                # The phrases that end within the batch; the last one may go on.
+                whole = starts[:-1][noun[starts[:-1]]]
+                inside = noun.copy()
+                inside[: starts[0]] = inside[starts[-1] :] = False
+                if len(whole):
+                    places = (np.cumsum(inside) - inside)[whole]
+                    yield ids.take(pa.array(whole)), _joined(words.filter(pa.array(inside)), places)
+                if noun[starts[-1]]:
+                    parts = [words.slice(starts[-1])]
+            last = batch.slice(len(batch) - 1)
+        if parts is not None:
+            yield last.column(0), _joined(pa.concat_arrays(parts), np.zeros(1, np.int64))
+
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last phrase, which is kept if its document has another
+        for ids, names in cut_up(batches):
+            if legacy_drop_last:
+                if held is not None:
+                    ids, names = pa.concat_arrays([held[0], ids]), pa.concat_arrays([held[1], names])
+                held = ids.slice(len(ids) - 1), names.slice(len(names) - 1)
+                kept = pa.array(_same_as_before(ids, ids.slice(0, 0))[1:])
+                ids, names = ids.slice(0, len(ids) - 1).filter(kept), names.slice(0, len(names) - 1).filter(kept)
+            yield pa.RecordBatch.from_arrays([ids, names], [id_column, "entity"])
+
+    rows = tokens.select(F.col(id_column).alias("id"), F.col(order).alias("at"), F.lower("token").alias("word"), "tag")
+    schema = StructType([StructField(id_column, tokens.schema[id_column].dataType), StructField("entity", StringType())])
+    return rows.repartition("id").sortWithinPartitions("id", "at", "word").select("id", "word", "tag").mapInArrow(phrases, schema)
+
+
+def _same_as_before(values: pa.Array, before: pa.Array) -> np.ndarray:
+    """Whether each value equals the one before it, null like null; ``before`` has the value before the first, or none."""
+    whole = pa.concat_arrays([before, values])
+    left, right = whole.slice(0, len(whole) - 1), whole.slice(1)
+    same = pc.or_(pc.fill_null(pc.equal(left, right), False), pc.and_(pc.is_null(left), pc.is_null(right)))
+    same = same.to_numpy(zero_copy_only=False)
+    return same if len(before) else np.concatenate([[False], same])
+
+
+def _joined(words: pa.Array, starts: np.ndarray) -> pa.Array:
+    """Words joined by spaces, a text from each of ``starts`` up to the next; null words are left out."""
+    valid = words.is_valid().to_numpy(zero_copy_only=False)
+    places = np.concatenate([[0], np.cumsum(valid)])[np.append(starts, len(words))]
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(places, pa.int32()), words.drop_null()), " ").cast(pa.string())
