@@ -152,3 +152,11 @@ def test_tags_of_rows_are_found_without_sorting_them(spark):
     counts = spark.createDataFrame([(f"w{n}", 1 << n) for n in range(12)] + [("x", 1), ("y", 1)], "token string, _n long")
     assert sorted(row["token"] for row in _most_frequent(counts, 11).collect()) == sorted(f"w{n}" for n in range(1, 12))
     assert _most_frequent(counts, 14).count() == 14 and _most_frequent(counts, 0).count() == 0
+
+
+def test_hashed_ids_are_stored_by_column(spark):
+    """The ids are read without the keys to find shared ones, and a look-up of a few keys skips the rest."""
+    words = spark.range(1000).select(F.concat(F.lit("w"), "id").alias("k"))
+    numbered, exceptions = hashed_ids(words, "k", "n")
+    assert numbered.inputFiles() and exceptions.isEmpty()
+    assert numbered.select("n").distinct().count() == numbered.count() == 1000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplens.session import cut
+from triplens.session import cut, stored
 
 # monotonically_increasing_id keeps the partition in the bits above these.
 _ROW_BITS = 33
@@ -40,24 +40,26 @@ def hashed_ids(rows: DataFrame, key: str, id_column: str, bits: int = 64) -> tup
     the smallest keeps it; the others get a hash of their own, tried until it is free, and are
     listed in ``exceptions`` (key, id): at 64 bits a handful among 10**10 keys.
     """
-    numbered = cut(rows.withColumn(id_column, hashed(key, bits)).withColumn("_tries", F.lit(0)))
+    numbered = stored(rows.withColumn(id_column, hashed(key, bits)).withColumn("_tries", F.lit(0)), "ids")
     tries = 0
     while True:
-        # Who has an id keeps it before those that come later.
-        order = F.struct("_tries", key)
-        shared = numbered.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
-        shared = cut(shared.where("_n > 1").select(id_column, "_first"))
+        # Only the ids are moved to find those that keys share; the keys of these few are looked at then.
+        shared = numbered.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"))
+        shared = cut(shared.where("_n > 1").select(id_column))
         if shared.isEmpty():
             exceptions = numbered.where("_tries > 0").select(key, id_column)
             return numbered.drop("_tries"), exceptions
+        # Who has an id keeps it before those that come later.
+        order = F.struct("_tries", key)
+        shared = cut(numbered.join(shared, id_column).groupBy(id_column).agg(F.min(order).alias("_first")))
         tries += 1
         marked = numbered.join(shared, id_column, "left")
         moves = F.coalesce(order != F.col("_first"), F.lit(False))
-        numbered = cut(marked.select(
+        numbered = stored(marked.select(
             *rows.columns,
             F.when(moves, hashed(key, bits, tries)).otherwise(F.col(id_column)).alias(id_column),
             F.when(moves, tries).otherwise(F.col("_tries")).alias("_tries"),
-        ))
+        ), "ids")
 
 
 def hashed(key: str, bits: int = 64, attempt: int = 0) -> Column:

@@ -116,8 +116,15 @@ def tag_tokens(
     for word, tag in lexicon.items():
         words_of.setdefault(tag, []).append(word.lower())
 
+    longest = max((len(word) for words in words_of.values() for word in words), default=0)
+    every = sorted({word for words in words_of.values() for word in words})
+
     def tagged(token: Column) -> Column:
-        tag = F.when((F.char_length(token) == 1) & token.rlike(PUNCTUATION), token)
+        # Most tokens are longer than all words of the lexicon, or else one look-up tells that they are none of them.
+        length = F.char_length(token)
+        tag = F.when(length > max(longest, 1), F.lit(default)).when((length == 1) & token.rlike(PUNCTUATION), token)
+        if every:
+            tag = tag.when(~token.isin(every), F.lit(default))
         for name, words in sorted(words_of.items()):
             tag = tag.when(token.isin(sorted(words)), F.lit(name))
         return F.struct(token.alias("token"), tag.otherwise(F.lit(default)).alias("tag"))
@@ -194,6 +201,7 @@ def noun_phrases(
         word = F.lower(item["token"])
         for plain, other in escaped:
             word = F.replace(word, F.lit(plain), F.lit(other))
+        word = F.when(F.col("_plain"), item["token"]).otherwise(word)
         return (
             F.when(~item["tag"].startswith("NN"), F.lit(""))
             .when((at > 0) & (before == item["tag"]), F.concat(F.lit(" "), word))
@@ -212,9 +220,13 @@ def noun_phrases(
             plain = F.replace(plain, F.lit(other), F.lit(mark))
         return F.when(F.contains(phrase, F.lit(escape)), plain).otherwise(phrase)
 
-    phrases = F.transform(phrases, read)
+    phrases = F.when(F.col("_plain"), phrases).otherwise(F.transform(phrases, read))
+    # Whether a row's tokens have capitals or marks is asked once for the row, not for each token.
+    whole = F.array_join(F.col("_tagged")["token"], "")
+    plain = (F.lower(whole) == whole) & ~F.contains(whole, F.lit(escape)) & ~F.contains(whole, F.lit(new_phrase))
     return (
         df.select(id_column, tagged.alias("_tagged"))
+        .withColumn("_plain", plain)
         .select(id_column, F.explode(phrases).alias("entity"))
     )
 
