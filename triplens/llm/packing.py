@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -70,8 +71,13 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         encode = encoding.encode_ordinary
-        self.start = Memo(lambda part: np.array(encode(part), "<u4").tobytes())
-        self.inner = Memo(lambda part: np.array(encode(" " + part), "<u4").tobytes())
+
+        def written(part: str) -> bytes:
+            ids = encode(part)
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        self.start = Memo(written)
+        self.inner = Memo(lambda part: written(" " + part))
 
     def ids(self, text: str) -> bytes:
         parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
