@@ -42,6 +42,25 @@ def test_added_tokens_equal_tokenizers(spark):
     assert [tokens[i] for i in range(len(texts))] == [len(want[t]) + 1 for t in texts]
 
 
+def test_byte_bpe_encodes_a_text_at_once(monkeypatch):
+    """A call a text, not one for each new word of it; long runs of rare words and white space included."""
+    import tiktoken
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    calls, plain = [], tiktoken.Encoding.encode_ordinary
+
+    def counted(self, text):
+        calls.append(text)
+        return plain(self, text)
+
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", counted)
+    mine = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [" ".join(f"w{i * 7919:x}q" for i in range(3000)), "a \n  b\t" * 500, "x" * 70 + " y " * 400, ""]
+    for text in texts:
+        assert np.frombuffer(mine.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert calls == texts
+
+
 def test_pieces_equal_sentencepiece():
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     mine = pieces.piece_bpe()

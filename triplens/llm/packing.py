@@ -26,11 +26,6 @@ from pyspark.sql import functions as F
 
 from triplens.llm.common import stored, table
 
-#: A space opens a new pre-token when a visible character follows; the cut there is always one
-#: that the tokeniser makes too, so the parts can be encoded apart.
-_CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
-
 
 class Memo(dict):
     """Byte strings of ``make`` by key, of at most ``limit`` bytes with all that Python adds to an entry.
@@ -61,7 +56,8 @@ class ByteBpe:
 
     ``ranks_path`` holds the ranks of the same vocabulary as the JSON file of the ``tokenizers``
     library; the ids of texts without added tokens are equal to that library's (tests compare
-    them), at several times its speed. ``AddedTokens`` puts the added tokens in.
+    them), at several times its speed. ``AddedTokens`` puts the added tokens in. A text is encoded in one
+    call: to look its words up in a table costs more than to merge them, where many of them are rare.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
@@ -70,19 +66,11 @@ class ByteBpe:
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        encode = encoding.encode_ordinary
-
-        def written(part: str) -> bytes:
-            ids = encode(part)
-            return struct.pack(f"<{len(ids)}I", *ids)
-
-        self.start = Memo(written)
-        self.inner = Memo(lambda part: written(" " + part))
+        self.encode = encoding.encode_ordinary
 
     def ids(self, text: str) -> bytes:
-        parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-        inner = self.inner
-        return self.start[parts[0]] + b"".join([inner[part] for part in parts[1:]])
+        ids = self.encode(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class AddedTokens:
