@@ -83,6 +83,50 @@ def test_positional_bound_keeps_links():
             assert len(a & b) <= most
 
 
+def test_sketches_differ_at_most_as_sets_do():
+    rng = random.Random(9)
+    import numpy as np
+
+    for _ in range(300):
+        a = {rng.getrandbits(64) for _ in range(rng.randrange(1, 900))}
+        b = {x if rng.random() < 0.9 else rng.getrandbits(64) for x in a}
+        x, y = (jaccard.sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+        assert len(x) * 64 == jaccard.SKETCH
+        assert sum(((i ^ j) & (1 << 64) - 1).bit_count() for i, j in zip(x, y)) <= len(a ^ b)
+
+
+def near_but_unlinked(many):
+    """Copies of one text that each lack other words of it: any two share about two thirds of their n-grams."""
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for k in range(many):
+        words = list(base)
+        for at in rng.sample(range(2, 398, 6), 8):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_near_copies_that_do_not_link_form_no_pairs(spark, monkeypatch):
+    """The last round's pairs are far fewer than those that share most n-grams; the classes are those of the full join."""
+    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 0)
+    formed, plain = [], jaccard._pairs
+
+    def counted(joined, *args):
+        formed.append(joined.count())
+        return plain(joined, *args)
+
+    monkeypatch.setattr(jaccard, "_pairs", counted)
+    rows = near_but_unlinked(60)
+    check(spark, rows)
+    assert sum(formed) < 60 * 59 / 2 / 10
+    # A link costs rows only where the n-grams of one prefix begin to be those of the other again.
+    formed.clear()
+    check(spark, [(0, rows[0][1]), (1, rows[0][1].replace("b200", "c")), (2, rows[0][1].replace("b300", "d"))])
+    assert 3 <= sum(formed) <= 12
+
+
 def test_no_rows(spark):
     assert jaccard.similarity_classes(frame(spark, [])).count() == 0
     check(spark, [(4, "a b c d e f g"), (2, "h i j")])

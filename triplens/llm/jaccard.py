@@ -5,10 +5,12 @@ fragments, a document's set thereby into segments. Overlaps are counted for each
 fragment on its own and summed per pair; a pair that cannot reach the threshold after the first
 fragments is dropped before the others are counted. No task ever needs more than two segments.
 
-Pairs come from prefixes: two sets over the threshold share k n-grams among the first
-``n - ceil(threshold * n) + k`` of each in the global order, and what they can have in common behind the last
-of these is bounded by the smaller rest; pairs that this rules out are never counted. Documents with the same set are one
-vertex. What is asked for are the classes, so a group of thousands of near copies need not be
+Pairs come from prefixes: two sets over the threshold share an n-gram among the first
+``n - ceil(threshold * n) + 1`` of each in the global order, and what they have in common is bounded by the
+smaller rest from the first such n-gram on. Each set also has a sketch, the parities of its n-grams per bucket of
+their hash: the buckets in which two sketches differ are at most the n-grams that only one of the sets has. Pairs
+that either bound rules out are never formed, so sets that share much and still don't link cost no row. Documents
+with the same set are one vertex. What is asked for are the classes, so a group of thousands of near copies need not be
 expanded into all its pairs: by a few n-grams of their prefixes, vertices are first compared with one
 leader, and only pairs whose classes still differ are compared after that, all of them. The
 classes are those of the full join.
@@ -42,15 +44,17 @@ from triplens.llm.words import window_hashes, word_hashes
 #: right; the second bounds what is sent out.
 FREQUENT, MOST_FREQUENT, CHUNK_GRAMS = 8, 500_000, 3_000_000
 #: N-grams that two prefixes must share; fewer for sets that are smaller than this.
-SHARED = 2
+SHARED = 1
+#: Buckets of a sketch, 64 to a long. More of them tell larger sets apart; any number leaves the result right.
+SKETCH = 512
 #: Fragments of the order: four ranges of hashes, the frequent n-grams behind the last. One is counted at a time.
 FRAGMENTS = 4
 #: Bits (as a power of two) of the filter that tells whose segments are wanted; it only saves work.
 FILTER_BITS = 22
 #: Members of n-grams are compared with leaders, for at most so many rounds, while more pairs are left over than this many
-#: per member. That looks at a few n-grams of each prefix, of which two sets must share some. It only merges
+#: per member and one of ``MERGING`` pairs compared is a link. That looks at a few n-grams of each prefix, of which two sets must share some. It only merges
 #: classes early; the last round looks at whole prefixes.
-PAIRS_PER_MEMBER, LEADER_ROUNDS, LEAD_GRAMS, LEAD_SHARED = 16, 4, 8, 2
+PAIRS_PER_MEMBER, LEADER_ROUNDS, LEAD_GRAMS, LEAD_SHARED, MERGING = 16, 4, 8, 2, 4
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
@@ -90,6 +94,12 @@ class Order:
         return np.concatenate([grams[places < 0], grams[late]])[:size]
 
 
+def sketch(grams: np.ndarray) -> list[int]:
+    """Whether an odd number of n-grams is in each bucket, as longs. Buckets go by the low bits, the order by the high ones."""
+    odd = np.bincount((grams % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     key = F.lit(None).cast("string").alias("key")
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), key)
@@ -100,20 +110,21 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 
 
 def make_sets(texts: DataFrame, n: int, percent: int, order: Order) -> DataFrame:
-    """(doc_id, key, v, n, prefix) of ``texts`` (doc_id, text, key); ``v`` is null for an empty set."""
+    """(doc_id, key, v, n, prefix, sketch) of ``texts`` (doc_id, text, key); ``v`` is null for an empty set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vertices, sizes, prefixes = [], [], []
+            vertices, sizes, prefixes, sketches = [], [], [], []
             for text in batch.column(1):
                 grams = ngram_set(text.as_py(), n)
                 sizes.append(len(grams))
                 vertices.append(vertex_of(grams) if len(grams) else None)
                 prefixes.append(order.prefix(grams, percent).tobytes() if len(grams) else b"")
+                sketches.append(sketch(grams) if len(grams) else None)
             yield _batch({"doc_id": (batch.column(0), None), "key": (batch.column(2), None), "v": (vertices, pa.int64()),
-                          "n": (sizes, pa.int64()), "prefix": (prefixes, pa.binary())})
+                          "n": (sizes, pa.int64()), "prefix": (prefixes, pa.binary()), "sketch": (sketches, pa.list_(pa.int64()))})
 
-    return texts.mapInArrow(sets, "doc_id long, key string, v long, n long, prefix binary")
+    return texts.mapInArrow(sets, "doc_id long, key string, v long, n long, prefix binary, sketch array<long>")
 
 
 def _some_of(prefix: np.ndarray, count: int) -> np.ndarray:
@@ -124,7 +135,10 @@ def _some_of(prefix: np.ndarray, count: int) -> np.ndarray:
 
 
 def entries_of(vertices: DataFrame, some: int | None = None) -> DataFrame:
-    """(h, v, n, c, place): one row per n-gram of each prefix, or of ``some`` of them, from a row per vertex."""
+    """(h, v, n, c, place, before): one row per n-gram of each prefix, or of ``some`` of them, from a row per vertex.
+
+    ``before`` is the n-gram one place before, or h itself at the first place.
+    """
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,9 +150,10 @@ def entries_of(vertices: DataFrame, some: int | None = None) -> DataFrame:
                     "h": (np.concatenate([p[chosen] for p, chosen in zip(prefixes, places)]), pa.int64()),
                     **{name: (np.repeat(batch.column(at).to_numpy(), lengths), pa.int64()) for at, name in enumerate(("v", "n", "c"))},
                     "place": (np.concatenate(places), pa.int64()),
+                    "before": (np.concatenate([p[np.maximum(chosen - 1, 0)] for p, chosen in zip(prefixes, places)]), pa.int64()),
                 })
 
-    return vertices.select("v", "n", "c", "prefix").mapInArrow(expand, "h long, v long, n long, c long, place long")
+    return vertices.select("v", "n", "c", "prefix").mapInArrow(expand, "h long, v long, n long, c long, place long, before long")
 
 
 def frequent_order(texts: DataFrame, n: int) -> Order:
@@ -264,38 +279,61 @@ def _compatible(na: str, nb: str, percent: int):
 
 def _mixed(held: DataFrame, round_: int) -> DataFrame:
     """(h, s, q, v2, n2, c2) of the n-grams held by several classes: members, the sum of squares of each class's
-    members, and a leader, which is one of the vertices and another in each round."""
+    members, and a leader, which is one of the vertices and another in each round. The first one has the fewest
+    rarer n-grams, as the text has that the others are copies of."""
+    rank = F.xxhash64("v", F.lit(round_))
     lead = F.min(F.struct(
-        F.xxhash64("v", F.lit(round_)).alias("r"), F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2")
+        (F.col("place") if round_ == 0 else F.lit(0).cast("long")).alias("place"), rank.alias("r"),
+        F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("c").alias("c2"),
     ))
     by_class = held.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"), lead.alias("lead"))
     whole = by_class.groupBy("h").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"), F.min("lead").alias("lead"))
     return whole.where("q < s * s").select("h", "s", "q", "lead.v2", "lead.n2", "lead.c2")
 
 
-def _pairs(joined: DataFrame, percent: int, enough) -> DataFrame:
-    """(a, b, na, nb, k, ...) of vertices that share ``enough`` n-grams of ``joined``, a below b."""
+def _pairs(joined: DataFrame, percent: int, enough=None) -> DataFrame:
+    """(a, b, na, nb) of vertices that share ``enough`` n-grams of ``joined``, a below b."""
     swap = F.col("v") > F.col("v2")
 
     def either(one: str, two: str):
         return F.when(swap, F.col(two)).otherwise(F.col(one))
 
-    placed = "place2" in joined.columns
-    last = [F.max(name).alias(name) for name in ("la", "lb")] if placed else []
     pairs = joined.where(_compatible("n", "n2", percent)).select(
-        F.least("v", "v2").alias("a"), F.greatest("v", "v2").alias("b"), either("n", "n2").alias("na"), either("n2", "n").alias("nb"),
-        *([either("place", "place2").alias("la"), either("place2", "place").alias("lb")] if placed else []),
+        F.least("v", "v2").alias("a"), F.greatest("v", "v2").alias("b"), either("n", "n2").alias("na"), either("n2", "n").alias("nb")
+    )
+    if enough is None:
+        return pairs.distinct()
+    return pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= enough).drop("k")
+
+
+def _differing(one: str, two: str):
+    """Buckets in which two sketches differ; both sets together have at least so many n-grams not in common."""
+    bits = [F.bit_count(F.col(one)[k].bitwiseXOR(F.col(two)[k])) for k in range(SKETCH // 64)]
+    return sum(bits[1:], bits[0])
+
+
+def _reachable(held: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs of different classes in ``held`` (h, v, n, c, place, before, sketch), joined on h, those that can link.
+
+    A pair is told by the first n-gram that its prefixes share. Other rows of it go where they are known: those whose n-grams
+    one place before are equal. From the first shared n-gram on, two sets have in common at most the smaller rest.
+    """
+    other = held.select("h", *[F.col(name).alias(f"{name}2") for name in ("v", "n", "c", "place", "before", "sketch")])
+    both = F.col("n") + F.col("n2")
+    room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    first = (F.col("place") == 0) | (F.col("place2") == 0) | (F.col("before") != F.col("before2"))
+    return held.join(other, "h").where("c < c2").where((100 + percent) * room >= percent * both).where(first).where(
+        (100 + percent) * _differing("sketch", "sketch2") <= (100 - percent) * both
     )
-    return pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"), *last).where(F.col("k") >= enough)
 
 
 def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
-    """(v, c) of all vertices that have a link, from ``vertices`` (v, n, prefix).
+    """(v, c) of all vertices that have a link, from ``vertices`` (v, n, prefix, sketch).
 
     ``parts_of`` gives the segments of given vertices (v). Classes are joined to vertices, a row each, before
     the prefixes are laid out.
     """
-    labels, links, tested, round_, last = None, None, None, 0, False
+    labels, links, tested, round_, last, merging = None, None, None, 0, False, True
     while not last:
         classed = vertices.withColumn("c", F.col("v")) if labels is None else (
             vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
@@ -303,35 +341,27 @@ def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], per
         some = entries_of(classed, LEAD_GRAMS)
         mixed = stored(_mixed(some, round_), "mixed")
         left, members = mixed.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-        last = not left or left <= PAIRS_PER_MEMBER * members or round_ == LEADER_ROUNDS
+        last = not left or left <= PAIRS_PER_MEMBER * members or round_ == LEADER_ROUNDS or not merging
         round_ += 1
         if last:
             # Only the postings of n-grams that still are in several classes are joined with each other.
             held = entries_of(classed)
             several = held.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
-            held = stored(held.join(stored(several, "several"), "h"), "held")
-            other = held.select("h", *[F.col(name).alias(f"{name}2") for name in ("v", "n", "c", "place")])
-            # Before the t-th n-gram that two sets share lie t - 1 shared ones, behind it at most the smaller rest. So
-            # the first SHARED ones of a linked pair stand where this holds, and all shared ones before those too.
-            room = SHARED - 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-            joined = held.join(other, "h").where("c < c2").where((100 + percent) * room >= percent * (F.col("n") + F.col("n2")))
-            # Behind the last of the n-grams counted here, two sets have in common at most the smaller rest.
-            enough = F.least(F.lit(SHARED), F.floor((percent * F.least("na", "nb") + 99) / 100))
-            most = F.col("k") + F.least(F.col("na") - F.col("la"), F.col("nb") - F.col("lb")) - 1
-            reachable = (100 + percent) * most >= percent * (F.col("na") + F.col("nb"))
-            pairs = _pairs(joined, percent, enough).where(reachable)
+            held = held.join(stored(several, "several"), "h").join(vertices.select("v", "sketch"), "v")
+            pairs = _pairs(_reachable(stored(held, "held"), percent), percent)
         else:
             joined = some.join(mixed.drop("s", "q"), "h").where("c <> c2")
             pairs = _pairs(joined, percent, F.least(F.lit(LEAD_SHARED), "na", "nb"))
-        pairs = pairs.select("a", "b", "na", "nb")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
+        count = pairs.count()
+        if not count:
             continue
         parts = parts_of(pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct())
         found = verified(pairs, parts, percent)
         discard(parts)
+        merging = last or found.count() * MERGING >= count
         links = found if links is None else links.unionByName(found)
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         labels = components(links)
@@ -345,7 +375,8 @@ def _classified(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     vertices = sets.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("first_id"))
     vertices = stored(vertices, "vertices")
     # Of the documents with one set, one speaks for all.
-    own = stored(sets.where("v IS NOT NULL").groupBy("v").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "own")
+    own = sets.where("v IS NOT NULL").groupBy("v").agg(*[F.first(name).alias(name) for name in ("n", "prefix", "sketch")])
+    own = stored(own, "own")
 
     def parts_of(compared: DataFrame) -> DataFrame:
         return stored(segments(texts, n, order, vertices.join(compared, "v")), "segments")
