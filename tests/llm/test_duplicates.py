@@ -127,6 +127,24 @@ def test_near_copies_that_do_not_link_form_no_pairs(spark, monkeypatch):
     assert 3 <= sum(formed) <= 12
 
 
+def test_vertices_get_their_classes_once_a_round(spark, monkeypatch):
+    """However many near copies there are, a round joins the labels to a row per vertex once, and the result once more."""
+    joins, rounds, mixed = [], [], jaccard._mixed
+
+    def counted(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter"))
+        return stored(df, name)
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(jaccard, "_mixed", lambda held, k: rounds.append(k) or mixed(held, k))
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", 0)
+    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 2)
+    monkeypatch.setattr(jaccard, "MERGING", 1000)
+    check(spark, corpus(3, 10))
+    assert rounds == [0, 1, 2]
+    assert sum(joins) <= len(rounds)
+
+
 def test_no_rows(spark):
     assert jaccard.similarity_classes(frame(spark, [])).count() == 0
     check(spark, [(4, "a b c d e f g"), (2, "h i j")])

@@ -327,16 +327,21 @@ def _reachable(held: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _labelled(vertices: DataFrame, labels: DataFrame) -> DataFrame:
+    """``vertices`` with their class c of ``labels`` (v, c); one without a link is a class of its own."""
+    return vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+
+
 def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
     """(v, c) of all vertices that have a link, from ``vertices`` (v, n, prefix, sketch).
 
     ``parts_of`` gives the segments of given vertices (v). Classes are joined to vertices, a row each, before
-    the prefixes are laid out.
+    the prefixes are laid out, once a round and stored, as a round reads them two or three times.
     """
     labels, links, tested, round_, last, merging = None, None, None, 0, False, True
     while not last:
         classed = vertices.withColumn("c", F.col("v")) if labels is None else (
-            vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+            stored(_labelled(vertices.select("v", "n", "prefix"), labels), "classed")
         )
         some = entries_of(classed, LEAD_GRAMS)
         mixed = stored(_mixed(some, round_), "mixed")
@@ -355,6 +360,8 @@ def classes(vertices: DataFrame, parts_of: Callable[[DataFrame], DataFrame], per
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        if labels is not None:
+            discard(classed)
         count = pairs.count()
         if not count:
             continue
@@ -384,7 +391,7 @@ def _classified(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     labels = classes(own, parts_of, percent)
     if labels is None:
         return sets, vertices.withColumn("c", F.col("v"))
-    return sets, stored(vertices.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v")), "known")
+    return sets, stored(_labelled(vertices, labels), "known")
 
 
 def similarity_classes(
